@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from playrank.functions.scalars import clip
 from playrank.operators.interactions import positive_rate
-from playrank.operators.relational import global_rank
+from playrank.operators.relational import global_rank, running_total
 
 # The quantiles and sizes the report shows.
 ACTIVITY_QUANTILES = (0.50, 0.75, 0.90, 0.95, 0.99)
