@@ -42,6 +42,7 @@ def normal(columns: list[str], rows: list[tuple]) -> list[tuple[str, ...]]:
 def compare(df, con: duckdb.DuckDBPyConnection, text: str) -> str | None:
     """None if equal, else what differs."""
     ours = normal(df.columns, [tuple(r) for r in df.collect()])
+    compare.spark_done = time.time()
     result = con.execute(text)
     columns = [d[0] for d in result.description]
     theirs = normal(columns, result.fetchall())
@@ -53,6 +54,9 @@ def compare(df, con: duckdb.DuckDBPyConnection, text: str) -> str | None:
     return f"{len(bad)} of {len(ours)} rows differ, first {bad[0]}" if bad else None
 
 
+compare.spark_done = 0.0
+
+
 def main() -> None:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as entry
@@ -75,10 +79,11 @@ def main() -> None:
                 problem, kind = compare(df, con, oracles[name]), "oracle"
             else:
                 n = df.count()
+                compare.spark_done = time.time()
                 problem, kind = None if n else "no rows", f"rows only ({n})"
         except Exception as error:  # report and go on
             problem, kind = f"{type(error).__name__}: {str(error)[:1500]}", "error"
-        print(f"{'FAIL' if problem else 'ok  '} {name:34s} {time.time() - start:6.1f}s {kind} {problem or ''}", flush=True)
+        print(f"{'FAIL' if problem else 'ok  '} {name:34s} {time.time() - start:6.1f}s (spark {compare.spark_done - start:5.1f}s) {kind} {problem or ''}", flush=True)
         if problem:
             failed.append(name)
     print("failed:", failed)
