@@ -1 +1,8 @@
 """Recommendation analytics on Spark: prepare, retrieve, rank and evaluate implicit feedback."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to executors travel with the task, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -67,7 +67,9 @@ def _score_block(users: DataFrame, block: DataFrame, k: int, user_type: T.DataTy
             T.StructField("score", T.DoubleType()),
         ]
     )
-    return users.select("user_id", "vec", "seen").mapInPandas(score, schema)
+    # Scoring is bound by compute: spread it over all cores, however small the user table is.
+    spread = users.select("user_id", "vec", "seen").repartition(spark.sparkContext.defaultParallelism, "user_id")
+    return spread.mapInPandas(score, schema)
 
 
 def _attach_seen(users: DataFrame, seen: DataFrame, block: DataFrame) -> DataFrame:
