@@ -22,8 +22,7 @@ def positive_label(hours: Column, threshold: float = 1.0) -> Column:
 
 def to_number(value: Column) -> Column:
     """Number or NULL; garbage and NaN never survive."""
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
 def clip(value: Column, lower: float | None = None, upper: float | None = None) -> Column:

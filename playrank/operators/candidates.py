@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from playrank.operators.interactions import ground_truth
 from playrank.operators.relational import global_rank, lookup_join, top_k_per_group
+from playrank.session import materialize
 
 
 def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def ranking_candidates(recs: DataFrame, interactions: DataFrame, train: DataFram
     )
     times = interactions.groupBy("user_id").agg(F.max("event_time").alias("event_time"))
     rows = recs.select("user_id", "item_id").join(known, ["user_id", "item_id"], "left").join(times, "user_id", "left")
-    rows = lookup_join(rows, item_mean_hours(train), "item_id", "user_id")
+    rows = lookup_join(rows, materialize(item_mean_hours(train), "item_means"), "item_id", "user_id")
     estimate = F.coalesce("item_avg_hours", F.lit(0.0))
     hours = F.coalesce("_hours", estimate) if hours_source == "heldout" else estimate
     return rows.select(

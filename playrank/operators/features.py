@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from playrank.functions.scalars import clip, cyclic_hour, days_between, feature_name, log_price, scaled_year
 from playrank.operators.interactions import positive_rate
 from playrank.operators.relational import lookup_join
+from playrank.session import materialize
 
 UNKNOWN = "Unknown"
 MAX_CATEGORIES = 5_000
@@ -113,11 +114,12 @@ def one_hot(vocabulary: Sequence[str], category: Column) -> list[Column]:
     return [(value == F.lit(v)).cast("int").alias(f"category_{v}") for v in vocabulary]
 
 
-def cross_and_temporal(candidates: DataFrame, train: DataFrame, catalog: DataFrame) -> DataFrame:
+def cross_and_temporal(candidates: DataFrame, train: DataFrame, catalog: DataFrame, items: DataFrame) -> DataFrame:
     """Candidates with user, item, cross and temporal features and the category.
 
-    Only training rows of users who have candidates are aggregated. User-keyed inputs are
-    joined on one partitioning; the last event time rides along with the user aggregates.
+    ``items`` are the item features of ``train``. Only training rows of users who have
+    candidates are aggregated. User-keyed inputs are joined on one partitioning; the last
+    event time rides along with the user aggregates.
     """
     asked = candidates.select("user_id").distinct()
     own_rows = train.join(asked, "user_id", "left_semi")
@@ -131,7 +133,7 @@ def cross_and_temporal(candidates: DataFrame, train: DataFrame, catalog: DataFra
         F.max("event_time").alias("last_event_time"),
     )
     with_users = candidates.join(users, "user_id", "left")
-    with_items = lookup_join(with_users, item_features(train, catalog), "item_id", "user_id")
+    with_items = lookup_join(with_users, items, "item_id", "user_id")
     joined = with_items.join(category_affinity(own_rows, catalog), ["user_id", "category"], "left")
     hour_sin, hour_cos = cyclic_hour(F.col("event_time"))
     return joined.withColumns(
@@ -148,9 +150,10 @@ def cross_and_temporal(candidates: DataFrame, train: DataFrame, catalog: DataFra
 def build_features(candidates: DataFrame, train: DataFrame, catalog: DataFrame, vocabulary: Sequence[str] | None = None) -> tuple[DataFrame, list[str], list[str]]:
     """(features, feature names, vocabulary). The names are an explicit list, so a context
     column that happens to be among the candidates never becomes a feature."""
-    rows = cross_and_temporal(candidates, train, catalog)
+    items = materialize(item_features(train, catalog), "item_features")  # counted, joined and listed below
+    rows = cross_and_temporal(candidates, train, catalog, items)
     if vocabulary is None:
-        vocabulary = category_vocabulary(item_features(train, catalog))
+        vocabulary = category_vocabulary(items)
     encoded = one_hot(vocabulary, F.col("category"))
     names = NUMERIC_FEATURES + [f"category_{v}" for v in vocabulary]
     keys = ["user_id", "item_id", "event_time", "hours", "is_positive"]

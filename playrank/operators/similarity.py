@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playrank.functions.arrow import flat, lengths, matrix
 from playrank.functions.vectors import l2_normalize, mean_vector
 from playrank.operators.relational import cut_by_order, lookup_join, top_k_per_group
 from playrank.session import materialize
@@ -33,31 +34,22 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def _score_block(users: DataFrame, block: DataFrame, k: int, user_type: T.DataType, item_type: T.DataType) -> DataFrame:
     """Top-k of one bounded item block for every user row (user_id, vec, seen)."""
-    local = block.orderBy("item_id").toPandas()  # at most BLOCK_ITEMS rows
+    local = block.select("item_id", "vec", F.col("bias").cast("double").alias("bias")).orderBy("item_id").toArrow()
     spark = users.sparkSession
-    ids = spark.sparkContext.broadcast(local["item_id"].to_numpy())
-    vectors = spark.sparkContext.broadcast(np.stack(local["vec"]).astype(np.float64))
-    biases = spark.sparkContext.broadcast(local["bias"].to_numpy(dtype=np.float64))
+    shared = spark.sparkContext.broadcast((local["item_id"].combine_chunks(), matrix(local["vec"]), local["bias"].to_numpy()))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        item_ids, matrix, bias = ids.value, vectors.value, biases.value
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        item_ids, vectors, bias = shared.value  # at most BLOCK_ITEMS rows
         step = max(1, SCORE_CELLS // len(item_ids))
         for batch in batches:
-            for start in range(0, len(batch), step):
-                part = batch.iloc[start : start + step]
-                scores = np.stack(part["vec"]).astype(np.float64) @ matrix.T + bias
-                for row, seen in enumerate(part["seen"]):
-                    if seen is not None and len(seen):
-                        scores[row, seen] = -np.inf
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                scores = matrix(part.column("vec")) @ vectors.T + bias
+                seen = part.column("seen")
+                scores[np.repeat(np.arange(len(seen)), lengths(seen)), flat(seen)] = -np.inf
                 rows, cols, ranks = _best(scores, k)
-                yield pd.DataFrame(
-                    {
-                        "user_id": part["user_id"].to_numpy()[rows],
-                        "rank": ranks,
-                        "item_id": item_ids[cols],
-                        "score": scores[rows, cols],
-                    }
-                )
+                found = [part.column("user_id").take(pa.array(rows)), pa.array(ranks.astype(np.int32)), item_ids.take(pa.array(cols))]
+                yield pa.RecordBatch.from_arrays([*found, pa.array(scores[rows, cols])], ["user_id", "rank", "item_id", "score"])
 
     schema = T.StructType(
         [
@@ -69,7 +61,7 @@ def _score_block(users: DataFrame, block: DataFrame, k: int, user_type: T.DataTy
     )
     # Scoring is bound by compute: spread it over all cores, however small the user table is.
     spread = users.select("user_id", "vec", "seen").repartition(spark.sparkContext.defaultParallelism, "user_id")
-    return spread.mapInPandas(score, schema)
+    return spread.mapInArrow(score, schema)
 
 
 def _attach_seen(users: DataFrame, seen: DataFrame, block: DataFrame) -> DataFrame:

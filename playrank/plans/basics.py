@@ -28,6 +28,7 @@ from playrank.operators.sampling import sample_rows
 from playrank.operators.splitting import most_recent, split_boundaries, time_based_split
 from playrank.plans.fixtures import catalog, clock_events, interactions, item_vectors, prepared, raw_events, sql
 from playrank.plans.registry import query, rounded
+from playrank.session import materialize
 
 # ---------------------------------------------------------------- projections and functions
 
@@ -202,7 +203,7 @@ def user_and_item_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = data.train.groupBy("user_id").agg(F.count(F.lit(1)).alias("user_rows"), F.avg("hours").alias("user_hours"))
     stats = data.train.groupBy("item_id").agg(F.count(F.lit(1)).alias("popularity"), F.avg("hours").alias("mean_hours"))
     rows = data.test.select("user_id", "item_id").join(users, "user_id", "left")
-    return rounded(lookup_join(rows, stats, "item_id", "user_id"), "user_hours", "mean_hours", places=9)
+    return rounded(lookup_join(rows, materialize(stats, "item_stats"), "item_id", "user_id"), "user_hours", "mean_hours", places=9)
 
 
 _COUNTS = """SELECT t.user_id, coalesce(c.category, 'Unknown') AS category, count(*) AS cat_count
@@ -252,7 +253,7 @@ def lookup_with_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = prepared(spark, sf_dir)
     frequent = data.train.groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).where("n > 15").select("item_id")
     means = item_mean_hours(data.train.join(frequent, "item_id", "left_semi"))
-    rows = lookup_join(data.test.select("user_id", "item_id"), means, "item_id", "user_id")
+    rows = lookup_join(data.test.select("user_id", "item_id"), materialize(means, "item_means"), "item_id", "user_id")
     return rounded(rows.select("user_id", "item_id", F.coalesce("item_avg_hours", F.lit(0.0)).alias("mean_hours")), "mean_hours", places=9)
 
 

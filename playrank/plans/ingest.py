@@ -12,7 +12,7 @@ from playrank.operators.interactions import positive_rate
 from playrank.operators.splitting import split_boundaries
 from playrank.plans.fixtures import catalog, interactions, prepared, raw_events, sql, table
 from playrank.plans.registry import query, rounded
-from playrank.session import new_path
+from playrank.session import materialize, new_path
 from playrank.sources.cleaning import (
     INTERACTION_COLUMNS,
     build_catalog,
@@ -37,10 +37,13 @@ from playrank.sources.tables import (
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Play events as loosely typed raw records, with some missing and malformed fields."""
+    """Play events as loosely typed raw records, with some missing and malformed fields.
+
+    Written out first, as raw data is: the cleaning then reads a file and not this expression.
+    """
     events = raw_events(spark, sf_dir)
     number = (F.col("text_length") / 10).cast("int")
-    return events.select(
+    records = events.select(
         F.when((number == 7) & (F.col("item_id") % 10 == 0), F.lit("")).otherwise(F.col("user_id").cast("string")).alias("username"),
         F.when((number == 6) & (F.col("item_id") % 10 == 1), F.lit(None)).otherwise(F.col("item_id").cast("string")).alias("product_id"),
         F.when((number == 5) & (F.col("item_id") % 10 == 2), F.lit("soon")).otherwise(F.date_format("event_time", "yyyy-MM-dd")).alias("date"),
@@ -54,6 +57,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(number != 1, F.col("found_funny").cast("string")).alias("found_funny"),
         F.when(F.col("received_for_free"), F.lit("Product received for FREE")).alias("compensation"),
     )
+    return materialize(records, "raw_reviews")
 
 
 _RAW_SQL = """
