@@ -73,7 +73,7 @@ def read_literal_lines(spark: SparkSession, path: str, schema: T.StructType, mod
     lines = (
         spark.read.text(path)
         .select(
-            F.col("value"),
+            F.make_valid_utf8("value").alias("value"),
             F.col("_metadata.file_path").alias("_source"),
             F.monotonically_increasing_id().alias("_line"),
         )
