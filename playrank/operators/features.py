@@ -114,31 +114,53 @@ def one_hot(vocabulary: Sequence[str], category: Column) -> list[Column]:
     return [(value == F.lit(v)).cast("int").alias(f"category_{v}") for v in vocabulary]
 
 
+def user_profiles(rows: DataFrame, catalog: DataFrame) -> DataFrame:
+    """User features, the last event time and a category -> share map, in one pass.
+
+    The rows are summed per (user, category) first and per user from there. An item has one
+    category, so distinct items add up. The map has an entry per category, never per row.
+    """
+    columns = rows.select("user_id", "item_id", "hours", "is_positive", "text_length", "event_time")
+    placed = lookup_join(columns, item_categories(catalog), "item_id", "user_id").withColumns(
+        {"category": F.coalesce("category", F.lit(UNKNOWN)), "positive": F.col("is_positive").cast("int")}
+    )
+    measured = ("hours", "positive", "text_length")
+    parts = placed.groupBy("user_id", "category").agg(
+        F.count("item_id").alias("rows"),
+        F.count_distinct("item_id").alias("items"),
+        *[F.sum(c).alias(f"sum_{c}") for c in measured],
+        *[F.count(c).alias(f"n_{c}") for c in measured],
+        F.max("event_time").alias("last"),
+    )
+    mean = lambda c: F.sum(f"sum_{c}") / F.sum(f"n_{c}")
+    users = parts.groupBy("user_id").agg(
+        F.sum("rows").alias("user_activity_count"),
+        mean("hours").alias("user_avg_hours"),
+        F.sum("items").alias("user_distinct_items"),
+        mean("positive").alias("user_positive_rate"),
+        F.sum("sum_hours").alias("user_total_hours"),
+        mean("text_length").alias("user_avg_text_length"),
+        F.max("last").alias("last_event_time"),
+        F.map_from_entries(F.collect_list(F.struct("category", "rows"))).alias("_counts"),
+    )
+    shares = F.transform_values("_counts", lambda _, n: n / F.col("user_activity_count"))
+    return users.withColumn("category_share", shares).drop("_counts")
+
+
 def cross_and_temporal(candidates: DataFrame, train: DataFrame, catalog: DataFrame, items: DataFrame) -> DataFrame:
     """Candidates with user, item, cross and temporal features and the category.
 
     ``items`` are the item features of ``train``. Only training rows of users who have
-    candidates are aggregated. User-keyed inputs are joined on one partitioning; the last
-    event time rides along with the user aggregates.
+    candidates are aggregated. The candidates are shuffled once, by user; item features come
+    from the lookup and the category affinity from the user's own map.
     """
     asked = candidates.select("user_id").distinct()
-    own_rows = train.join(asked, "user_id", "left_semi")
-    users = own_rows.groupBy("user_id").agg(
-        F.count("item_id").alias("user_activity_count"),
-        F.avg("hours").alias("user_avg_hours"),
-        F.count_distinct("item_id").alias("user_distinct_items"),
-        positive_rate().alias("user_positive_rate"),
-        F.sum("hours").alias("user_total_hours"),
-        F.avg("text_length").alias("user_avg_text_length"),
-        F.max("event_time").alias("last_event_time"),
-    )
-    with_users = candidates.join(users, "user_id", "left")
-    with_items = lookup_join(with_users, items, "item_id", "user_id")
-    joined = with_items.join(category_affinity(own_rows, catalog), ["user_id", "category"], "left")
+    users = user_profiles(train.join(asked, "user_id", "left_semi"), catalog)
+    joined = lookup_join(candidates.join(users, "user_id", "left"), items, "item_id", "user_id")
     hour_sin, hour_cos = cyclic_hour(F.col("event_time"))
     return joined.withColumns(
         {
-            "user_category_affinity": F.coalesce("user_category_affinity", F.lit(0.0)),
+            "user_category_affinity": F.coalesce(F.try_element_at("category_share", F.col("category")), F.lit(0.0)),
             "user_item_hours_vs_avg": playtime_ratio(F.col("hours"), F.col("user_avg_hours")),
             "days_since_last": days_since(F.col("event_time"), F.col("last_event_time")),
             "hour_sin": hour_sin,
@@ -150,7 +172,8 @@ def cross_and_temporal(candidates: DataFrame, train: DataFrame, catalog: DataFra
 def build_features(candidates: DataFrame, train: DataFrame, catalog: DataFrame, vocabulary: Sequence[str] | None = None) -> tuple[DataFrame, list[str], list[str]]:
     """(features, feature names, vocabulary). The names are an explicit list, so a context
     column that happens to be among the candidates never becomes a feature."""
-    items = materialize(item_features(train, catalog), "item_features")  # counted, joined and listed below
+    candidates = materialize(candidates, "candidates")  # read for its users and for its rows
+    items = materialize(item_features(train, catalog), "item_features")  # counted, joined and listed
     rows = cross_and_temporal(candidates, train, catalog, items)
     if vocabulary is None:
         vocabulary = category_vocabulary(items)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from playrank.session import materialize
 
 BROADCAST_ROW_LIMIT = 1_000_000
+SMALL_ROWS = 100_000
 SALTS = 32
 
 
@@ -45,19 +46,26 @@ def _add_before(parts: DataFrame, weight: Column) -> DataFrame:
     return parts.join(F.broadcast(offsets), "_part")
 
 
-def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rn") -> DataFrame:
-    """Exact 1-based row number over the whole table without a single-task window.
+def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rn", small: int = SMALL_ROWS) -> DataFrame:
+    """Exact 1-based row number over the whole table without a large single-task window.
 
     Range-sort, number the rows inside each partition, then add how many rows the earlier
-    partitions hold. The only single-task step sees one row per partition.
+    partitions hold; the only single-task step sees one row per partition. A table counted
+    to be small is numbered by a plain window.
     """
-    placed = _add_before(_sorted_parts(df, order), F.lit(1))
+    written = materialize(df, "unsorted")  # the range sort reads its input twice
+    if written.count() <= small:
+        return written.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("bigint"))
+    placed = _add_before(_sorted_parts(written, order), F.lit(1))
     return placed.withColumn(name, F.col("_before") + F.col("_row")).drop("_part", "_row", "_before")
 
 
-def running_total(df: DataFrame, order: Sequence[Column], weight: str, name: str = "upto") -> DataFrame:
-    """Exact inclusive running sum of an integer column over the whole table, as distributed."""
-    placed = _add_before(_sorted_parts(df, order), F.col(weight))
+def running_total(df: DataFrame, order: Sequence[Column], weight: str, name: str = "upto", small: int = SMALL_ROWS) -> DataFrame:
+    """Exact inclusive running sum of an integer column over the whole table, made likewise."""
+    written = materialize(df, "unsorted")
+    if written.count() <= small:
+        return written.withColumn(name, F.sum(weight).over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
+    placed = _add_before(_sorted_parts(written, order), F.col(weight))
     inside = W.partitionBy("_part").orderBy("_row").rowsBetween(W.unboundedPreceding, 0)
     total = F.col("_before") + F.sum(weight).over(inside)
     return placed.withColumn(name, total).drop("_part", "_row", "_before")
@@ -110,14 +118,16 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left", limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Join a large side to a table with one row per ``key``.
+def lookup_join(
+    left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left", limit: int = BROADCAST_ROW_LIMIT, size: int | None = None
+) -> DataFrame:
+    """Join a large side to a table with one row per ``key``; ``size`` is its row count if known.
 
     The lookup side is broadcast only if its counted rows fit. Otherwise it is repeated once
     per salt and the large side is spread over the salts by ``spread``, so that a key holding
     a large share of the rows still lands in many tasks.
     """
-    if fits_broadcast(right, limit):
+    if (size <= limit) if size is not None else fits_broadcast(right, limit):
         return left.join(F.broadcast(right), key, how)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))

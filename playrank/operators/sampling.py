@@ -62,9 +62,9 @@ def pair_negatives(positives: DataFrame, index: DataFrame, n_items: int, seed: i
     Users who like the whole catalog have no negative and drop out.
     """
     pairs = positives.select("user_id", "item_id").distinct()
-    own = seen_positions(pairs, index)
+    own = seen_positions(pairs, index, n_items)
     left = own.groupBy("user_id").agg((F.lit(n_items).cast("bigint") - F.count(F.lit(1))).alias("left"))
     number = hash_number(seed, F.col("user_id"), F.col("item_id"))
     queries = pairs.join(left.where("left > 0"), "user_id").select("user_id", "item_id", (number % F.col("left")).alias("nth"))
     names = index.select("idx", F.col("item_id").alias("negative"))
-    return lookup_join(nth_unseen(queries, own), names, "idx", "user_id", "inner").select("user_id", "item_id", "negative")
+    return lookup_join(nth_unseen(queries, own), names, "idx", "user_id", "inner", size=n_items).select("user_id", "item_id", "negative")

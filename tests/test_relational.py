@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from playrank.operators import relational
 from playrank.operators.exploration import monthly_counts, quantiles
 from playrank.operators.relational import cut_by_order, global_rank, latest_per_key, lookup_join, running_total, top_k_per_group
 from playrank.operators.sampling import sample_rows
@@ -25,17 +26,19 @@ def events(spark, rows):
     return spark.createDataFrame(rows, "user_id bigint, item_id bigint, event_time timestamp_ntz").repartition(5)
 
 
-def test_global_rank_equals_sort(spark):
+@pytest.mark.parametrize("small", [0, 10_000])
+def test_global_rank_equals_sort(spark, small):
     rows = [(random.Random(i).randrange(10), i) for i in range(500)]
     df = spark.createDataFrame(rows, "a int, b int").repartition(7)
-    ranked = {(r["a"], r["b"]): r["rn"] for r in global_rank(df, [F.col("a").desc(), F.col("b").asc()]).collect()}
+    ranked = {(r["a"], r["b"]): r["rn"] for r in global_rank(df, [F.col("a").desc(), F.col("b").asc()], small=small).collect()}
     expected = {row: n + 1 for n, row in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])))}
     assert ranked == expected
 
 
-def test_running_total(spark):
+@pytest.mark.parametrize("small", [0, 10_000])
+def test_running_total(spark, small):
     df = spark.createDataFrame([(i, i % 5) for i in range(200)], "k int, n int").repartition(6)
-    got = {r["k"]: r["upto"] for r in running_total(df, [F.col("k").asc()], "n").collect()}
+    got = {r["k"]: r["upto"] for r in running_total(df, [F.col("k").asc()], "n", small=small).collect()}
     total, expected = 0, {}
     for i in range(200):
         total += i % 5
@@ -44,7 +47,8 @@ def test_running_total(spark):
 
 
 @pytest.mark.parametrize("hot_share", [0.0, 0.4, 1.0])
-def test_time_split_is_exact_with_a_hot_instant(spark, hot_share):
+def test_time_split_is_exact_with_a_hot_instant(spark, monkeypatch, hot_share):
+    monkeypatch.setattr(relational.global_rank, "__defaults__", ("rn", 0))
     rows = days(997, hot_share)
     ordered = sorted(rows, key=lambda r: (r[2], r[0], r[1]))
     upper = int(997 * (1 - 0.2))
