@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,25 +141,44 @@ def top_categories(catalog: DataFrame, n: int = TOP_CATEGORIES) -> DataFrame:
     return counted.orderBy(F.col("n").desc(), F.col("category").asc()).limit(n)
 
 
+def _pair_sums(columns: Sequence[str], shifts: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per partition: for every column pair the count and sums over rows where both are present."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, len(columns), len(columns)))
+        for batch in batches:
+            raw = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in columns])
+            here = (~np.isnan(raw)).astype(np.float64)
+            x = np.where(here > 0, raw - shifts, 0.0)
+            total += np.stack([here.T @ here, x.T @ here, here.T @ x, (x * x).T @ here, here.T @ (x * x), x.T @ x])
+        a, b = np.triu_indices(len(columns), 1)
+        numbers = [pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), *[pa.array(t[a, b]) for t in total]]
+        yield pa.RecordBatch.from_arrays(numbers, ["a", "b", "n", "x", "y", "xx", "yy", "xy"])
+
+    return add_up
+
+
 def correlated_pairs(rows: DataFrame, columns: Sequence[str], limit: float = CORRELATION_LIMIT) -> DataFrame:
     """Pearson correlation of every column pair, kept where its size exceeds ``limit``.
 
-    One aggregate computes all pairs, each over the rows where both values are present.
-    Constant columns have no correlation and drop out.
+    Each pair uses the rows where both values are present. One pass reduces every partition
+    to a handful of sums per pair by matrix products; only those are shuffled. Values are
+    taken relative to the column mean, so large offsets do not cost precision. Constant
+    columns have no correlation and drop out.
     """
-    pairs = list(combinations(columns, 2))
-    result = None
-    for start in range(0, len(pairs), 500):
-        some = pairs[start : start + 500]
-        both = [F.col(a).isNotNull() & F.col(b).isNotNull() for a, b in some]
-        values = [
-            F.corr(F.when(ok, F.col(a).cast("double")), F.when(ok, F.col(b).cast("double")))
-            for (a, b), ok in zip(some, both, strict=True)
-        ]
-        packed = [
-            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), v.alias("correlation"))
-            for (a, b), v in zip(some, values, strict=True)
-        ]
-        part = rows.agg(F.array(*packed).alias("all")).select(F.explode("all").alias("p")).select("p.*")
-        result = part if result is None else result.unionByName(part)
-    return result.where((F.abs("correlation") > limit) & ~F.isnan("correlation"))
+    numbers = rows.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    means = numbers.agg(*[F.avg(f"`{c}`").alias(c) for c in columns]).first()
+    shifts = np.array([m if m is not None else 0.0 for m in means])
+    schema = "a int, b int, n double, x double, y double, xx double, yy double, xy double"
+    sums = numbers.mapInArrow(_pair_sums(list(columns), shifts), schema).groupBy("a", "b")
+    sums = sums.agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    spread_a = F.col("xx") - F.col("x") * F.col("x") / F.col("n")
+    spread_b = F.col("yy") - F.col("y") * F.col("y") / F.col("n")
+    shared = F.col("xy") - F.col("x") * F.col("y") / F.col("n")
+    # A constant column leaves nothing but rounding noise of its own squares.
+    varies = (spread_a > F.col("xx") * 1e-12) & (spread_b > F.col("yy") * 1e-12)
+    named = F.array(*[F.lit(c) for c in columns])
+    pairs = sums.where((F.col("n") > 1) & varies).select(
+        F.get(named, F.col("a")).alias("feature_a"), F.get(named, F.col("b")).alias("feature_b"), (shared / F.sqrt(spread_a * spread_b)).alias("correlation")
+    )
+    return pairs.where(F.abs("correlation") > limit)

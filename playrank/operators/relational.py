@@ -121,7 +121,7 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
 def lookup_join(
     left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left", limit: int = BROADCAST_ROW_LIMIT, size: int | None = None
 ) -> DataFrame:
-    """Join a large side to a table with one row per ``key``; ``size`` is its row count if known.
+    """Join a large side to a small table by ``key``; ``size`` is the small one's row count if known.
 
     The lookup side is broadcast only if its counted rows fit. Otherwise it is repeated once
     per salt and the large side is spread over the salts by ``spread``, so that a key holding

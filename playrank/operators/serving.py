@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from playrank.operators.candidates import most_played
 from playrank.operators.relational import lookup_join, top_k_per_group
 from playrank.operators.similarity import similar_items
+from playrank.session import materialize
 from playrank.sources.cleaning import UNKNOWN_CATEGORY
 
 # List sizes of the served tables.
@@ -51,8 +52,8 @@ def user_history(split: DataFrame, catalog: DataFrame, k: int = 10) -> DataFrame
 def because_you_liked(split: DataFrame, items: DataFrame, catalog: DataFrame, k: int = 10) -> DataFrame:
     """Items similar to each user's most-played held-out item."""
     liked = most_played(split, 1).select("user_id", F.col("item_id").alias("liked_id"))
-    near = similar_items(items, k).withColumnRenamed("item_id", "liked_id")
-    return item_cards(liked.join(near, "liked_id"), catalog, "similar_id", "user_id")
+    near = materialize(similar_items(items, k).withColumnRenamed("item_id", "liked_id"), "similar")
+    return item_cards(lookup_join(liked, near, "liked_id", "user_id", "inner"), catalog, "similar_id", "user_id")
 
 
 def active_users(split: DataFrame, known_users: DataFrame, limit: int = 100) -> DataFrame:

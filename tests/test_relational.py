@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from playrank.operators import relational
-from playrank.operators.exploration import monthly_counts, quantiles
+from playrank.operators.exploration import correlated_pairs, monthly_counts, quantiles
 from playrank.operators.relational import cut_by_order, global_rank, latest_per_key, lookup_join, running_total, top_k_per_group
 from playrank.operators.sampling import sample_rows
 from playrank.operators.splitting import most_recent, time_based_split
@@ -137,3 +137,20 @@ def test_monthly_counts_fill_gaps(spark):
     df = spark.createDataFrame([(dt.datetime(2020, 1, 31),), (dt.datetime(2020, 4, 1),), (dt.datetime(2020, 4, 30, 23),)], "event_time timestamp_ntz")
     got = [(r["month_end"].isoformat(), r["interactions"]) for r in monthly_counts(df).orderBy("month_end").collect()]
     assert got == [("2020-01-31", 1), ("2020-02-29", 0), ("2020-03-31", 0), ("2020-04-30", 2)]
+
+
+def test_correlation_is_pairwise_complete(spark):
+    import numpy as np
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        a = rng.uniform(-1, 1)
+        rows.append((1e6 + a, a * 2 + rng.uniform(-0.1, 0.1) if i % 3 else None, -a if i % 4 else None, 5.0, rng.random()))
+    df = spark.createDataFrame(rows, "a double, b double, c double, flat double, noise double").repartition(4)
+    got = {(r["feature_a"], r["feature_b"]): r["correlation"] for r in correlated_pairs(df, ["a", "b", "c", "flat", "noise"], 0.9).collect()}
+    assert set(got) == {("a", "b"), ("a", "c"), ("b", "c")}
+    for (x, y), value in got.items():
+        at = ["a", "b", "c"].index(x), ["a", "b", "c"].index(y)
+        both = np.array([(r[at[0]], r[at[1]]) for r in rows if r[at[0]] is not None and r[at[1]] is not None])
+        assert value == pytest.approx(np.corrcoef(both.T)[0, 1])

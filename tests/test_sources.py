@@ -3,6 +3,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
+from playrank.session import materialize, shared_dir
 from playrank.sources.cleaning import build_catalog, load_events, load_games, minimal_catalog
 from playrank.sources.literal_lines import GAME_SCHEMA, REVIEW_SCHEMA, read_literal_lines
 from playrank.sources.tables import export_serving, insert_missing, serving_tables
@@ -92,3 +93,9 @@ def test_export_inserts_only_what_is_missing(spark, tmp_path):
     counts = {n: spark.read.parquet(str(tmp_path / n)).count() for n in ("users", "items", "interactions")}
     assert counts == {"users": 2, "items": 1, "interactions": 2}
     assert insert_missing(catalog, None, "item_id").count() == 1
+
+
+def test_intermediate_tables_go_to_the_configured_folder(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == configured
+    assert all(f.startswith(f"file://{configured}") for f in materialize(spark.range(3), "x").inputFiles())
