@@ -77,7 +77,8 @@ def cut_by_order(df: DataFrame, coarse: Column, order: Sequence[Column], cuts: S
     Each cut maps the table's row count to a position; the first that many rows in ``order``
     lie below the cut. ``coarse`` is a key of limited range that never decreases along
     ``order`` (a day, a hash prefix). Its counts locate the cuts, so only the rows of the
-    coarse values a cut falls into are sorted; all others are placed by comparison.
+    coarse values a cut falls into are sorted; all others are placed by comparison. The
+    input is read three times: hand over a written table, not a costly plan.
     """
     keyed = df.withColumn("_coarse", coarse)
     counts = keyed.groupBy("_coarse").agg(F.count(F.lit(1)).alias("_n"))

@@ -492,7 +492,8 @@ def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rel3_time_split", sql("split_rows", "SELECT user_id, item_id, event_time, split FROM split_rows"))
 def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return time_based_split(interactions(spark, sf_dir).select("user_id", "item_id", "event_time"))
+    rows = interactions(spark, sf_dir).select("user_id", "item_id", "event_time")
+    return time_based_split(materialize(rows, "interactions"))
 
 
 @query(

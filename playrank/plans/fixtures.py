@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from playrank.operators.similarity import mean_item_vectors
 from playrank.operators.splitting import time_based_split
-from playrank.session import SESSION_CONF, new_path
+from playrank.session import SESSION_CONF, materialize, new_path
 from playrank.sources.cleaning import latest_events
 from playrank.sources.tables import read_catalog, read_split, read_splits, save_splits
 
@@ -97,7 +97,8 @@ def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _saved:
         path = new_path(spark, "splits")
-        save_splits(time_based_split(interactions(spark, sf_dir)), catalog(spark, sf_dir), path)
+        latest = materialize(interactions(spark, sf_dir), "interactions")  # the split reads it several times
+        save_splits(time_based_split(latest), catalog(spark, sf_dir), path)
         _saved[key] = path
     path = _saved[key]
     splits = {s: read_split(spark, path, s) for s in ("train", "validation", "test")}

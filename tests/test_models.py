@@ -14,7 +14,7 @@ from playrank.operators.evaluation import all_metrics, candidate_ndcg, ranker_me
 from playrank.operators.features import NUMERIC_FEATURES, build_features, contains_value
 from playrank.operators.interactions import ground_truth, history, item_index, item_sets
 from playrank.operators.mf import BprConfig, BprRecommender, bpr_step, draw_negatives
-from playrank.operators.ranker import LambdaRanker, RankerConfig, lambda_targets
+from playrank.operators.ranker import LambdaRanker, RankerConfig, bucketed, lambda_targets
 from playrank.operators.sampling import pair_negatives, sampled_candidates
 from playrank.operators.serving import active_users, with_popular_fallback
 from playrank.operators.towers import TowerConfig, TwoTowerRecommender, init_tower, loss_and_gradient
@@ -269,6 +269,12 @@ def test_lambdas_equal_brute_force(spark):
             assert target == pytest.approx(expected[u][i][0]) and weight == pytest.approx(expected[u][i][1])
 
 
+def test_rounds_need_no_shuffle_of_the_candidates(spark):
+    rows = spark.range(500).select((F.col("id") % 50).alias("user_id"), F.col("id").alias("item_id"), (F.col("id") % 7 == 0).alias("is_positive"), F.lit(0.0).alias("score"))
+    plan = lambda_targets(bucketed(rows, "plan_check"), 10, 30)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_ranker_learns_and_survives_saving(spark, tmp_path):
     rng = random.Random(5)
     rows = []

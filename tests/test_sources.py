@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from playrank.session import materialize, shared_dir
 from playrank.sources.cleaning import build_catalog, load_events, load_games, minimal_catalog
 from playrank.sources.literal_lines import GAME_SCHEMA, REVIEW_SCHEMA, read_literal_lines
-from playrank.sources.tables import export_serving, insert_missing, serving_tables
+from playrank.sources.prepare import prepare_files
+from playrank.sources.tables import export_serving, insert_missing, read_catalog, read_splits, serving_tables, split_row_counts
 
 GOOD = [
     {"username": "ann", "product_id": "7", "date": "2017-01-02", "hours": 1.5, "text": "It's \"good\"\n", "early_access": True, "products": 3},
@@ -95,6 +96,22 @@ def test_export_inserts_only_what_is_missing(spark, tmp_path):
     assert insert_missing(catalog, None, "item_id").count() == 1
 
 
+def test_prepare_from_files(spark, tmp_path):
+    reviews = [{"username": f"u{n % 7}", "product_id": str(n % 11), "date": f"2017-{1 + n % 12:02d}-{1 + n % 28:02d}", "hours": n % 5} for n in range(200)]
+    games = [{"id": str(n), "title": f"t{n}", "genres": ["G"]} for n in range(6)]
+    raw = write(tmp_path / "r.json.gz", [repr(r) for r in reviews]), write(tmp_path / "g.json.gz", [repr(g) for g in games])
+    prepare_files(spark, *raw, str(tmp_path / "all"))
+    counts = {r["split"]: r["rows"] for r in split_row_counts(spark, str(tmp_path / "all")).collect()}
+    assert counts == {"train": 54, "validation": 7, "test": 16}  # 77 different pairs
+    catalog = {r["item_id"]: r["title"] for r in read_catalog(spark, str(tmp_path / "all")).collect()}
+    assert len(catalog) == 11 and catalog["0"] == "t0" and catalog["10"] == "Steam app 10"
+    prepare_files(spark, *raw, str(tmp_path / "capped"), max_rows=50)
+    rows = read_splits(spark, str(tmp_path / "capped"))
+    assert rows.count() == 50
+    assert rows.agg(F.min("event_time")).first()[0] >= read_splits(spark, str(tmp_path / "all")).agg(F.min("event_time")).first()[0]
+    assert spark.read.json(str(tmp_path / "capped" / "data_summary" / "json")).first()["interactions"] == 50
+
+
 def test_intermediate_tables_go_to_the_configured_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == configured
