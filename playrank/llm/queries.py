@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playrank.llm.line_dedup import dedup_lines
 from playrank.llm.mixing import mix_plan
+from playrank.llm.pieces import encode_digests
+from playrank.llm.quality_rules import judge_quality
 from playrank.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from playrank.llm.set_join import jaccard_components
+from playrank.llm.sharding import shard_records
 
 WORDS_SQL = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -82,3 +88,88 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"))
     taken = F.aggregate("draws", F.lit(0).cast("bigint"), lambda total, d: total + d["words"])
     return plan.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), taken.alias("taken"))
+
+
+def line_dedup_sql(docs: str, min_words: int = 50) -> str:
+    """CTEs ending in ``line_kept`` (doc_id, line, kept text of a line) over ``docs`` with unique doc_id."""
+    return f"""
+        all_lines AS MATERIALIZED (
+            SELECT doc_id, unnest(range(len(ls))) AS line, unnest(ls) AS t
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM {docs}) x),
+        word_lines AS MATERIALIZED (
+            SELECT doc_id, line, t, len({WORDS_SQL.format(text="t")}) AS words,
+                   row_number() OVER (PARTITION BY doc_id ORDER BY line) AS pos,
+                   sum(words) OVER (PARTITION BY doc_id ORDER BY line)::BIGINT AS upto
+            FROM all_lines WHERE words > 0),
+        line_windows AS MATERIALIZED (
+            SELECT DISTINCT doc_id, start_pos, end_pos FROM (
+                SELECT p.doc_id, p.pos AS start_pos, min(e.pos) AS end_pos
+                FROM word_lines p JOIN word_lines e ON e.doc_id = p.doc_id AND e.pos >= p.pos
+                    AND e.upto - p.upto + p.words >= {min_words} GROUP BY ALL
+                UNION ALL
+                SELECT e.doc_id, max(p.pos), e.pos
+                FROM word_lines p JOIN word_lines e ON e.doc_id = p.doc_id AND e.pos >= p.pos
+                    AND e.upto - p.upto + p.words >= {min_words} GROUP BY e.doc_id, e.pos) x),
+        window_texts AS MATERIALIZED (
+            SELECT w.doc_id, w.start_pos, w.end_pos, string_agg(l.t, chr(10) ORDER BY l.pos) AS run,
+                   min(l.line) AS from_line, max(l.line) AS to_line
+            FROM line_windows w JOIN word_lines l ON l.doc_id = w.doc_id AND l.pos BETWEEN w.start_pos AND w.end_pos
+            GROUP BY ALL),
+        deleted AS MATERIALIZED (
+            SELECT DISTINCT doc_id, unnest(range(from_line, to_line + 1)) AS line FROM (
+                SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, start_pos) AS nth FROM window_texts) x
+            WHERE nth > 1),
+        line_kept AS MATERIALIZED (
+            SELECT a.doc_id, a.line, a.t, d.line IS NULL AS kept
+            FROM all_lines a LEFT JOIN deleted d ON d.doc_id = a.doc_id AND d.line = a.line)"""
+
+
+LINE_DEDUP_SQL = f"""
+    WITH {line_dedup_sql("documents")}
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT kept) AS n_deleted,
+           coalesce(length(string_agg(t, chr(10) ORDER BY line) FILTER (kept)), 0) AS kept_chars,
+           sha256(coalesce(string_agg(t, chr(10) ORDER BY line) FILTER (kept), '')) AS kept_sha256
+    FROM line_kept GROUP BY doc_id"""
+
+
+@query("op6_line_dedup", LINE_DEDUP_SQL)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = dedup_lines(table(spark, sf_dir, "documents"))
+    gone = F.aggregate(F.coalesce("_deleted", F.array().cast("array<struct<from_line:bigint,to_line:bigint>>")), F.lit(0).cast("bigint"), lambda n, r: n + r["to_line"] - r["from_line"] + 1)
+    text = F.coalesce("text", F.lit(""))
+    left = F.when((F.length(text) == 0) & (gone > 0), F.lit(0)).otherwise(F.size(F.split(text, "\n", -1)))
+    return deduped.select("doc_id", (left + gone).cast("bigint").alias("n_lines"), gone.alias("n_deleted"), F.length(text).cast("bigint").alias("kept_chars"), F.sha2(text, 256).alias("kept_sha256"))
+
+
+@query("op2_sharding")
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = shard_records(table(spark, sf_dir, "documents"), 8)
+    return records.select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("_shard").alias("shard"),
+        F.col("_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op1_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rule", "kept")
+
+
+def public_model() -> str:
+    """Place of the public piece model on the driver; ``PIECE_MODEL`` names another."""
+    if given := os.environ.get("PIECE_MODEL"):
+        return given
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op5_pieces")
+def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), public_model())
