@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playrank.llm.binary_search import search_codes, sign_code
 from playrank.llm.line_dedup import dedup_lines
 from playrank.llm.mixing import mix_plan
 from playrank.llm.pieces import encode_digests
@@ -14,6 +15,7 @@ from playrank.llm.quality_rules import judge_quality
 from playrank.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from playrank.llm.set_join import jaccard_components
 from playrank.llm.sharding import shard_records
+from playrank.llm.warc import archive_pages
 
 WORDS_SQL = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -173,3 +175,35 @@ def public_model() -> str:
 @query("op5_pieces")
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), public_model())
+
+
+SEARCH_SQL = """
+    WITH codes AS MATERIALIZED (
+        SELECT vec_id AS id, list_reduce(list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 THEN 1::HUGEINT << (i - 1) ELSE 0::HUGEINT END), lambda a, b: a | b) AS code
+        FROM embeddings),
+    ranked AS (
+        SELECT q.id AS query_id, c.id, bit_count(xor(q.code, c.code))::BIGINT AS distance,
+               row_number() OVER (PARTITION BY q.id ORDER BY bit_count(xor(q.code, c.code)), c.id) AS rank
+        FROM codes q, codes c WHERE q.id % 50 = 0)
+    SELECT query_id, rank, id, distance FROM ranked WHERE rank <= 10"""
+
+
+@query("op8_binary_search", SEARCH_SQL)
+def binary_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), sign_code("embedding").alias("code"))
+    return search_codes(codes, codes.where("id % 50 = 0"), 10)
+
+
+WARC_SQL = """
+    WITH payloads AS MATERIALIZED (
+        SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM payloads)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+    FROM grouped"""
+
+
+@query("op10_warc", WARC_SQL)
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"))
