@@ -4,9 +4,11 @@
    frequent shingles last; any consistent order keeps the prefix filter exact.
 2. Each distinct set puts the first shingles of its order into index lists. A list is kept in blocks by set size
    and position; a pair of blocks whose positions rule out the wanted overlap is skipped unseen.
-3. What remains of a list is gathered under its smallest set. There that leader's overlaps are computed first, and
-   the answers of the others are derived from them: bounds accept or reject most pairs, and the rest need only
-   the differences from the leader. Pairs that are already connected are not looked at again.
+3. What remains of a list is gathered under its smallest set, first with small parity maps only: two maps differ in no
+   more bits than the sets in elements, so members without a possible partner drop out before any set is shipped.
+4. For those left, the leader's overlaps are computed first, and the answers of the others are derived from them:
+   bounds accept or reject most pairs, and the rest need only the differences from the leader. Pairs that are already
+   connected are not looked at again.
 
 Equal sets are one node, told apart by a 64-bit signature. Groups beyond ``BLOCK_SETS`` are dealt over pairs of blocks,
 so no task holds more than two blocks; only forests of links leave a task, never all pairs.
@@ -48,6 +50,13 @@ def wanted_overlap(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def parity_bits(values: np.ndarray) -> bytes:
+    """How often each hash slot is hit, modulo 2. Two such maps differ in at most as many bits as the sets in elements."""
+    slots = max(64, 1 << int(max(1, len(values) // 2)).bit_length())
+    hits = np.bincount((values & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+    return np.packbits((hits & 1).astype(bool), bitorder="little").tobytes()
+
+
 def _profile(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNT_BITS, np.int32)
@@ -59,11 +68,14 @@ def _profile(size: int):
                 n = pa.array([len(s) for s in sets], pa.int64())
                 names = pa.array([signature(s) if len(s) else None for s in sets], pa.int64())
                 none = pa.nulls(len(sets), pa.int32())
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), n, names, none, pa.nulls(len(sets), pa.binary())], ["doc_id", "n_shingles", "sig", "part", "counts"])
+                bits = pa.array([parity_bits(s) if len(s) else None for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), n, names, bits, none, pa.nulls(len(sets), pa.binary())], columns)
         parts = counts.reshape(COUNT_PARTS, -1)
         used = [k for k in range(COUNT_PARTS) if parts[k].any()]
-        empty = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([*empty, pa.array(used, pa.int32()), pa.array([parts[k].tobytes() for k in used], pa.binary())], ["doc_id", "n_shingles", "sig", "part", "counts"])
+        empty = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*empty, pa.array(used, pa.int32()), pa.array([parts[k].tobytes() for k in used], pa.binary())], columns)
+
+    columns = ["doc_id", "n_shingles", "sig", "bits", "part", "counts"]
 
     return run
 
@@ -167,6 +179,51 @@ def _gather(percent: int):
     return run
 
 
+def _fold(maps: np.ndarray, words: int) -> np.ndarray:
+    """Parity maps for fewer slots from those for more."""
+    return np.bitwise_xor.reduce(maps.reshape(len(maps), -1, words), axis=1)
+
+
+def _may_link(n: np.ndarray, maps: list[bytes], percent: int) -> np.ndarray:
+    """Which sets of a group have a partner that sizes and parity maps allow."""
+    found = np.zeros(len(n), bool)
+    width = np.array([len(m) // 8 for m in maps])
+    for w in np.unique(width).tolist():
+        here = np.flatnonzero(width == w)
+        own = np.frombuffer(b"".join([maps[k] for k in here.tolist()]), np.uint64).reshape(len(here), w)
+        for v in (w, 2 * w, 4 * w):  # similar sets are close in size, so their maps are too
+            there = here if v == w else np.flatnonzero(width == v)
+            if not len(there):
+                continue
+            other = own if v == w else _fold(np.frombuffer(b"".join([maps[k] for k in there.tolist()]), np.uint64).reshape(len(there), v), w)
+            step = max(1, (1 << 20) // (len(there) * w))
+            for at in range(0, len(here), step):
+                rows = here[at : at + step]
+                apart = np.bitwise_count(own[at : at + step, None, :] ^ other[None, :, :]).sum(2, dtype=np.int64)
+                na, nb = n[rows][:, None], n[there][None, :]
+                ok = (na + nb - apart) // 2 >= wanted_overlap(na, nb, percent)
+                ok &= rows[:, None] != there[None, :]
+                found[rows] |= ok.any(1)
+                found[there] |= ok.any(0)
+    return found
+
+
+def _sift(percent: int):
+    """Groups of (n, bits) to the members that still may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["leader", "left", "right", "sig"]
+        for table in key_runs(batches, names[:3]):
+            leader, left, right, sig = (table[c].to_numpy() for c in names)
+            n, bits = table["n"].to_numpy(), table["bits"].to_pylist()
+            bounds = run_bounds(leader, left, right)
+            keep = [np.flatnonzero(_may_link(n[a:b], bits[a:b], percent)) + a for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True) if b - a > 1]
+            kept = pa.array(np.concatenate(keep) if keep else np.empty(0, np.int64))
+            yield from table.select(names).take(kept).to_batches()
+
+    return run
+
+
 def _needed_sets(size: int, bits):
     """Sets of the texts whose signature is in the filter, once per task."""
 
@@ -297,8 +354,8 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     only_text = texts.select("text")
 
-    profile = materialize(texts.mapInArrow(_profile(size), "doc_id bigint, n_shingles bigint, sig bigint, part int, counts binary"), "profile")
-    nodes = profile.where("part IS NULL").select("doc_id", "n_shingles", "sig")
+    profile = materialize(texts.mapInArrow(_profile(size), "doc_id bigint, n_shingles bigint, sig bigint, bits binary, part int, counts binary"), "profile")
+    nodes = profile.where("part IS NULL").select("doc_id", "n_shingles", "sig", "bits")
     parts = profile.where("part IS NOT NULL").select("part", "counts").repartition(COUNT_PARTS, "part").sortWithinPartitions("part")
     order_of = np.zeros((COUNT_PARTS, (1 << COUNT_BITS) // COUNT_PARTS), np.int64)
     for row in parts.mapInArrow(_sum_counts, "part int, counts binary").collect():  # COUNT_PARTS rows at most
@@ -309,18 +366,22 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     lists = postings.repartition("token").sortWithinPartitions("token", "n", "pos", "sig")
     members = materialize(lists.mapInArrow(_gather(percent), "leader bigint, sig bigint").distinct(), "members")
 
+    width = members.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(BLOCK_SETS)).cast("int").alias("blocks"))
+    dealt = members.join(width, "leader").withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    placed = dealt.select("leader", "sig", "block", others.alias("other")).select("leader", "sig", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
+    maps = nodes.where("sig IS NOT NULL").groupBy("sig").agg(F.min("n_shingles").alias("n"), F.min("bits").alias("bits"))
+    keys = ["leader", "left", "right"]
+    sifted = placed.join(maps, "sig").repartition(*keys).sortWithinPartitions(*keys)
+    sifted = materialize(sifted.mapInArrow(_sift(percent), "leader bigint, left int, right int, sig bigint"), "sifted")
+
     slot = F.expr(f"(sig ^ shiftright(sig, 32)) & {(1 << FILTER_BITS) - 1}")
-    words = members.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits"))
+    words = sifted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits"))
     bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     found = words.toArrow()  # one row per 64 bits of the filter at most
     bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     sets = only_text.mapInArrow(_needed_sets(size, context.broadcast(bits)), "sig bigint, items binary")
-
-    width = members.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(BLOCK_SETS)).cast("int").alias("blocks"))
-    dealt = members.join(width, "leader").withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = dealt.select("leader", "sig", "block", others.alias("other")).select("leader", "sig", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
-    grouped = placed.join(sets, "sig").repartition("leader", "left", "right").sortWithinPartitions("leader", "left", "right")
+    grouped = sifted.join(sets, "sig").repartition(*keys).sortWithinPartitions(*keys)
     edges = grouped.mapInArrow(_verify(percent), "a bigint, b bigint")
 
     roots = components(edges)
