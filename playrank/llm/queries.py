@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playrank.llm.binary_search import search_codes, sign_code
+from playrank.llm.language_model import score_texts
 from playrank.llm.line_dedup import dedup_lines
 from playrank.llm.mixing import mix_plan
 from playrank.llm.pieces import encode_digests
@@ -207,3 +208,8 @@ WARC_SQL = """
 @query("op10_warc", WARC_SQL)
 def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op9_language_model")
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
