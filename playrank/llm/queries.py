@@ -11,6 +11,7 @@ from playrank.llm.binary_search import search_codes, sign_code
 from playrank.llm.language_model import score_texts
 from playrank.llm.line_dedup import dedup_lines
 from playrank.llm.mixing import mix_plan
+from playrank.llm.personal_data import find_personal_data
 from playrank.llm.pieces import encode_digests
 from playrank.llm.quality_rules import judge_quality
 from playrank.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
@@ -213,3 +214,9 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_language_model")
 def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+@query("op7_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
