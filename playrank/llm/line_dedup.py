@@ -95,9 +95,10 @@ def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
     first = keyed.groupBy("len", "head", "tail").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = keyed.join(first, ["len", "head", "tail"]).where(F.col("place") > F.col("first"))
 
-    in_order = W.partitionBy("d").orderBy("from_line", "to_line")
-    reached = F.max("to_line").over(in_order.rowsBetween(W.unboundedPreceding, -1))
-    opened = later.select("d", "from_line", "to_line").distinct().withColumn("opens", F.coalesce((F.col("from_line") > reached + 1).cast("int"), F.lit(1)))
+    # Merged by position, so the blank lines between two deleted lines are inside the range.
+    in_order = W.partitionBy("d").orderBy("start", "len")
+    reached = F.max(F.col("start") + F.col("len")).over(in_order.rowsBetween(W.unboundedPreceding, -1))
+    opened = later.select("d", "start", "len", "from_line", "to_line").distinct().withColumn("opens", F.coalesce((F.col("start") > reached).cast("int"), F.lit(1)))
     merged = opened.withColumn("run", F.sum("opens").over(in_order.rowsBetween(W.unboundedPreceding, 0)))
     return merged.groupBy("d", "run").agg(F.min("from_line").alias("from_line"), F.max("to_line").alias("to_line")).drop("run")
 

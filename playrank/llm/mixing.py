@@ -162,7 +162,8 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     ``repartition("_shard").sortWithinPartitions("_shard", "_place")`` gives the shuffled shards.
     ``doc_id`` must be unique here, since the plan is brought back to the texts by it.
     """
-    plan = mix_plan(docs, **options).select(F.col("doc_id").alias("_doc"), "size", F.explode("draws").alias("_draw"))
-    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_doc"]))
-    text = F.when(F.col("_draw.words") < F.col("size"), first_words(F.col("text"), F.col("_draw.words"))).otherwise(F.col("text"))
-    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns], F.col("_draw.shard").alias("_shard"), F.col("_draw.place").alias("_place"))
+    plan = mix_plan(docs, **options).select(F.col("doc_id").alias("__doc"), F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
+    docs = docs.drop("_shard", "_place")
+    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["__doc"]))
+    text = F.when(F.col("__draw.words") < F.col("__size"), first_words(F.col("text"), F.col("__draw.words"))).otherwise(F.col("text"))
+    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns], F.col("__draw.shard").alias("_shard"), F.col("__draw.place").alias("_place"))

@@ -115,17 +115,24 @@ def line_dedup_sql(docs: str, min_words: int = 50) -> str:
                 FROM word_lines p JOIN word_lines e ON e.doc_id = p.doc_id AND e.pos >= p.pos
                     AND e.upto - p.upto + p.words >= {min_words} GROUP BY e.doc_id, e.pos) x),
         window_texts AS MATERIALIZED (
-            SELECT w.doc_id, w.start_pos, w.end_pos, string_agg(l.t, chr(10) ORDER BY l.pos) AS run,
-                   min(l.line) AS from_line, max(l.line) AS to_line
+            SELECT w.doc_id, w.start_pos, w.end_pos, string_agg(l.t, chr(10) ORDER BY l.pos) AS run
             FROM line_windows w JOIN word_lines l ON l.doc_id = w.doc_id AND l.pos BETWEEN w.start_pos AND w.end_pos
             GROUP BY ALL),
         deleted AS MATERIALIZED (
-            SELECT DISTINCT doc_id, unnest(range(from_line, to_line + 1)) AS line FROM (
+            SELECT DISTINCT doc_id, unnest(range(start_pos, end_pos + 1)) AS pos FROM (
                 SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, start_pos) AS nth FROM window_texts) x
             WHERE nth > 1),
+        marked AS MATERIALIZED (
+            SELECT a.doc_id, a.line, a.t, CASE WHEN l.pos IS NOT NULL THEN d.pos IS NOT NULL END AS gone
+            FROM all_lines a LEFT JOIN word_lines l ON l.doc_id = a.doc_id AND l.line = a.line
+            LEFT JOIN deleted d ON d.doc_id = l.doc_id AND d.pos = l.pos),
         line_kept AS MATERIALIZED (
-            SELECT a.doc_id, a.line, a.t, d.line IS NULL AS kept
-            FROM all_lines a LEFT JOIN deleted d ON d.doc_id = a.doc_id AND d.line = a.line)"""
+            -- A blank line goes if the lines with words before and behind it do.
+            SELECT doc_id, line, t, NOT coalesce(gone,
+                last_value(gone IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                AND first_value(gone IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+                false) AS kept
+            FROM marked)"""
 
 
 LINE_DEDUP_SQL = f"""

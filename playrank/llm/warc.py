@@ -187,6 +187,8 @@ class WarcReader(DataSourceReader):
         return True
 
     def read(self, partition: WarcPartition) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # an empty folder
+            return
         names = [*HEADER_OF, "payload_length", "payload"]
         rows: list[dict] = []
         held = 0
