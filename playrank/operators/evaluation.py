@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,34 +12,36 @@ from pyspark.sql import functions as F
 from playrank.functions.scalars import discount, ideal_dcg
 
 
-def user_metrics(recs: DataFrame, truth: DataFrame, users: DataFrame, recall_k: int = 20, ndcg_k: int = 10) -> DataFrame:
+def user_metrics(recs: DataFrame, truth: DataFrame, users: DataFrame, recall_k: int = 20, ndcg_k: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """Recall and NDCG of every evaluated user who has positives; an empty list scores 0.
 
     Recommendations, truth and users are stacked and grouped instead of joined: one shuffle
-    by user serves both groupings, and no user is lost for lack of recommendations.
+    by user serves both groupings, and no user is lost for lack of recommendations. ``by``
+    names further columns that all three have, for several lists of a user side by side.
     """
     depth = max(recall_k, ndcg_k)
     item_type = truth.schema["item_id"].dataType
     listed = recs.where(F.col("rank") <= depth).select(
-        "user_id", "item_id", F.col("rank").cast("int").alias("rank"), F.lit(0).alias("positive"), F.lit(0).alias("evaluated")
+        *by, "user_id", "item_id", F.col("rank").cast("int").alias("rank"), F.lit(0).alias("positive"), F.lit(0).alias("evaluated")
     )
-    relevant = truth.select("user_id", "item_id", F.lit(None).cast("int").alias("rank"), F.lit(1).alias("positive"), F.lit(0).alias("evaluated"))
+    relevant = truth.select(*by, "user_id", "item_id", F.lit(None).cast("int").alias("rank"), F.lit(1).alias("positive"), F.lit(0).alias("evaluated"))
     asked = users.select(
-        "user_id", F.lit(None).cast(item_type).alias("item_id"), F.lit(None).cast("int").alias("rank"), F.lit(0).alias("positive"), F.lit(1).alias("evaluated")
+        *by, "user_id", F.lit(None).cast(item_type).alias("item_id"), F.lit(None).cast("int").alias("rank"), F.lit(0).alias("positive"), F.lit(1).alias("evaluated")
     )
     stacked = listed.unionByName(relevant).unionByName(asked).repartition("user_id")
-    pairs = stacked.groupBy("user_id", "item_id").agg(
+    pairs = stacked.groupBy(*by, "user_id", "item_id").agg(
         F.min("rank").alias("rank"), F.max("positive").alias("positive"), F.max("evaluated").alias("evaluated")
     )
     hit = F.col("positive") == 1
     gained = F.coalesce(F.sum(F.when(hit & (F.col("rank") <= ndcg_k), discount(F.col("rank")))), F.lit(0.0))
-    per_user = pairs.groupBy("user_id").agg(
+    per_user = pairs.groupBy(*by, "user_id").agg(
         F.sum("positive").alias("positives"),
         F.max("evaluated").alias("evaluated"),
         F.count(F.when(hit & (F.col("rank") <= recall_k), 1)).alias("hits"),
         gained.alias("dcg"),
     )
     return per_user.where((F.col("evaluated") == 1) & (F.col("positives") > 0)).select(
+        *by,
         "user_id",
         "positives",
         "hits",
@@ -83,14 +86,26 @@ def all_metrics(recs: DataFrame, truth: DataFrame, users: DataFrame, catalog: Da
 
 
 def compare_models(runs: dict[tuple[str, str], DataFrame], truths: dict[str, DataFrame], catalog: DataFrame, recall_k: int = 20, ndcg_k: int = 10) -> DataFrame:
-    """One row per (split, model); every user with a positive in the split is evaluated."""
-    rows = []
-    for (split, model), recs in runs.items():
-        truth = truths[split]
-        users = truth.select("user_id").distinct()
-        metrics = all_metrics(recs, truth, users, catalog, recall_k, ndcg_k)
-        rows.append(metrics.select(F.lit(split).alias("split"), F.lit(model).alias("model"), "*"))
-    return reduce(DataFrame.unionByName, rows)
+    """One row per (split, model); every user with a positive in the split is evaluated.
+
+    All lists are stacked under their split and model, so one grouped pass gives all metrics.
+    """
+    by = ["split", "model"]
+    tagged = lambda rows, split, model: rows.withColumns({"split": F.lit(split), "model": F.lit(model)})
+    recs = reduce(DataFrame.unionByName, [tagged(r.select("user_id", "rank", "item_id"), *key) for key, r in runs.items()])
+    truth = reduce(DataFrame.unionByName, [tagged(truths[key[0]].select("user_id", "item_id"), *key) for key in runs])
+    quality = user_metrics(recs, truth, truth.select(*by, "user_id").distinct(), recall_k, ndcg_k, by).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("users"), F.avg("recall").alias("recall"), F.avg("ndcg").alias("ndcg")
+    )
+    known = catalog.select("item_id").distinct()
+    listed = recs.where(F.col("rank") <= recall_k).select(*by, "item_id").distinct().join(known, "item_id", "left_semi")
+    covered = listed.groupBy(*by).agg(F.count(F.lit(1)).alias("covered"))
+    total = known.count()
+    every = recs.sparkSession.createDataFrame(list(runs), "split string, model string")
+    zero = lambda c, kind="double": F.coalesce(F.col(c), F.lit(0).cast(kind)).alias(c)
+    rows = every.join(quality, by, "left").join(covered, by, "left")
+    share = F.coalesce("covered", F.lit(0)) / F.lit(max(total, 1))
+    return rows.select(*by, zero("users", "bigint"), zero("recall"), zero("ndcg"), share.alias("coverage"))
 
 
 def ranked_candidates(scored: DataFrame, k: int) -> DataFrame:

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playrank.session import materialize
 
-BROADCAST_ROW_LIMIT = 1_000_000
+BROADCAST_BYTES = 64 << 20
 SMALL_ROWS = 100_000
 SALTS = 32
 
@@ -78,11 +79,12 @@ def cut_by_order(df: DataFrame, coarse: Column, order: Sequence[Column], cuts: S
     lie below the cut. ``coarse`` is a key of limited range that never decreases along
     ``order`` (a day, a hash prefix). Its counts locate the cuts, so only the rows of the
     coarse values a cut falls into are sorted; all others are placed by comparison. The
-    input is read three times: hand over a written table, not a costly plan.
+    input is read three times: hand over a written table, not a costly plan. Rows without
+    a coarse key come last; no row is lost.
     """
     keyed = df.withColumn("_coarse", coarse)
     counts = keyed.groupBy("_coarse").agg(F.count(F.lit(1)).alias("_n"))
-    upto = W.orderBy("_coarse").rowsBetween(W.unboundedPreceding, 0)
+    upto = W.orderBy(F.col("_coarse").asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
     whole = W.partitionBy()
     counts = counts.select(
         "_coarse", "_n", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(whole).alias("_total")
@@ -94,7 +96,7 @@ def cut_by_order(df: DataFrame, coarse: Column, order: Sequence[Column], cuts: S
     found = {r["_cut"]: r for r in hits.collect()}  # one row per cut at most
 
     # A cut that no value contains lies before the first row: its position is zero.
-    edges = sorted({r["_coarse"] for r in found.values()})
+    edges = sorted({r["_coarse"] for r in found.values()}, key=lambda e: (e is None, e))
     if not edges:
         return keyed.drop("_coarse").withColumn("segment", F.lit(len(cuts)))
     preceding, rows_before = {}, 0
@@ -108,27 +110,43 @@ def cut_by_order(df: DataFrame, coarse: Column, order: Sequence[Column], cuts: S
         terms = [condition_of(r["_coarse"], r["_pos"] - (r["_upto"] - r["_n"])).cast("int") for r in found.values()]
         return reduce(lambda a, b: a + b, terms, F.lit(below))
 
-    on_edge = F.col("_coarse").isin(edges)
-    clear = keyed.where(~on_edge).withColumn("segment", passed(lambda edge, _: F.col("_coarse") > F.lit(edge)))
+    def beyond(edge: object, _: int) -> Column:
+        return F.lit(False) if edge is None else F.coalesce(F.col("_coarse") > F.lit(edge), F.lit(True))
+
+    on_edge = reduce(lambda a, b: a | b, [F.col("_coarse").isNull() if e is None else F.col("_coarse").eqNullSafe(F.lit(e)) for e in edges])
+    clear = keyed.where(~on_edge).withColumn("segment", passed(beyond))
     ranked = global_rank(keyed.where(on_edge), order, "_rn")
     ranked = ranked.withColumn("segment", passed(lambda edge, keep: F.col("_rn") > F.lit(preceding[edge] + keep)))
     return clear.drop("_coarse").unionByName(ranked.drop("_rn", "_coarse"))
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    return df.limit(limit + 1).count() <= limit
+def row_bytes(schema: T.StructType) -> Column:
+    """Estimated width of a row: what varies is measured, the rest counts 8 bytes a value."""
+
+    def width(value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+        if isinstance(kind, T.ArrayType):
+            each = 32 if isinstance(kind.elementType, (T.StringType, T.BinaryType)) else 8
+            return F.coalesce(F.size(value), F.lit(0)) * each + 16
+        return F.lit(64 if isinstance(kind, (T.MapType, T.StructType)) else 8)
+
+    return reduce(lambda a, b: a + b, [width(F.col(f"`{f.name}`"), f.dataType) for f in schema.fields], F.lit(8))
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows are at most ``limit`` bytes, measured by one partial sum per task."""
+    return (df.agg(F.sum(row_bytes(df.schema).cast("bigint"))).first()[0] or 0) <= limit
 
 
-def lookup_join(
-    left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left", limit: int = BROADCAST_ROW_LIMIT, size: int | None = None
-) -> DataFrame:
-    """Join a large side to a small table by ``key``; ``size`` is the small one's row count if known.
+def lookup_join(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Join a large side to a small table by ``key``.
 
-    The lookup side is broadcast only if its counted rows fit. Otherwise it is repeated once
+    The lookup side is broadcast only if its measured bytes fit. Otherwise it is repeated once
     per salt and the large side is spread over the salts by ``spread``, so that a key holding
     a large share of the rows still lands in many tasks.
     """
-    if (size <= limit) if size is not None else fits_broadcast(right, limit):
+    if fits_broadcast(right, limit):
         return left.join(F.broadcast(right), key, how)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from playrank.functions.draws import hash_key, hash_number
 from playrank.operators.baselines import draw_unseen, nth_unseen, seen_positions
 from playrank.operators.relational import cut_by_order, lookup_join, top_k_per_group
+from playrank.session import materialize
 
 HASH_PREFIX = 4  # hex digits: 65,536 buckets of near-equal size
 
@@ -29,7 +30,7 @@ def sample_training_positives(train: DataFrame, n: int, seed: int = 42) -> DataF
 def sample_eligible_users(truth: DataFrame, known: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` users who have ground truth and are known to the model."""
     eligible = truth.select("user_id").distinct().join(known.select("user_id").distinct(), "user_id", "left_semi")
-    return sample_rows(eligible, ["user_id"], n, seed)
+    return sample_rows(materialize(eligible, "eligible"), ["user_id"], n, seed)  # read three times
 
 
 def sampled_candidates(split: DataFrame, train: DataFrame, index: DataFrame, n_items: int, n_negatives: int = 99, seed: int = 42) -> DataFrame:
@@ -67,4 +68,4 @@ def pair_negatives(positives: DataFrame, index: DataFrame, n_items: int, seed: i
     number = hash_number(seed, F.col("user_id"), F.col("item_id"))
     queries = pairs.join(left.where("left > 0"), "user_id").select("user_id", "item_id", (number % F.col("left")).alias("nth"))
     names = index.select("idx", F.col("item_id").alias("negative"))
-    return lookup_join(nth_unseen(queries, own), names, "idx", "user_id", "inner", size=n_items).select("user_id", "item_id", "negative")
+    return lookup_join(nth_unseen(queries, own), names, "idx", "user_id", "inner").select("user_id", "item_id", "negative")

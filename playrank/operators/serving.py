@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playrank.operators.candidates import most_played
+from playrank.operators.candidates import item_mean_hours, most_played
 from playrank.operators.relational import lookup_join, top_k_per_group
 from playrank.operators.similarity import similar_items
 from playrank.session import materialize
@@ -66,12 +68,26 @@ def active_users(split: DataFrame, known_users: DataFrame, limit: int = 100) ->
     return flagged.orderBy(F.col("in_model").desc(), F.col("history_count").desc(), F.col("user_id").asc()).limit(limit)
 
 
-def with_popular_fallback(personal: DataFrame, users: DataFrame, train: DataFrame, k: int, label: str) -> DataFrame:
-    """Personal lists, and the popular list for users who have none; ``model`` says which."""
+def with_popular_fallback(personal: DataFrame, users: DataFrame, known: DataFrame, train: DataFrame, k: int, label: str) -> DataFrame:
+    """Personal lists of the users the model knows, the popular list for all others; ``model`` says which.
+
+    Whether a user is known is asked of the model (``known``), never of the lists or of later rows.
+    """
     own = personal.where(F.col("rank") <= k).select("user_id", "rank", "item_id", F.lit(label).alias("model"))
-    cold = users.select("user_id").distinct().join(personal.select("user_id").distinct(), "user_id", "left_anti")
+    asked = users.select("user_id").distinct()
+    cold = asked.join(known.select("user_id").distinct(), "user_id", "left_anti")
     head = [F.struct(F.lit(r["rank"]).alias("rank"), F.lit(r["item_id"]).alias("item_id")) for r in popular_items(train, k).collect()]
     rest = cold.select("user_id", F.explode(F.array(*head)).alias("p")).select(
         "user_id", "p.rank", "p.item_id", F.lit("popularity").alias("model")
     )
-    return own.unionByName(rest)
+    return own.join(asked, "user_id", "left_semi").unionByName(rest)
+
+
+def serving_candidates(retrieved: DataFrame, train: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Retrieved items as ranking candidates at one moment, by default the last of training.
+
+    Nothing of a later split is read: hours are the item's training mean, and no label is known.
+    """
+    moment = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.lit(train.agg(F.max("event_time")).first()[0])
+    rows = lookup_join(retrieved.select("user_id", "item_id"), materialize(item_mean_hours(train), "item_means"), "item_id", "user_id")
+    return rows.select("user_id", "item_id", moment.alias("event_time"), F.coalesce("item_avg_hours", F.lit(0.0)).alias("hours"), F.lit(False).alias("is_positive"))

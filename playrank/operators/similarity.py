@@ -6,17 +6,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playrank.functions.arrow import flat, lengths, matrix
+from playrank.functions.arrow import lengths, matrix
 from playrank.functions.vectors import l2_normalize, mean_vector
-from playrank.operators.relational import cut_by_order, lookup_join, top_k_per_group
+from playrank.operators.relational import lookup_join, top_k_per_group
 from playrank.session import materialize
 
-BLOCK_ITEMS = 100_000  # items whose vectors are broadcast together; 51 MB at 64 dimensions
+BLOCK_ITEMS = 100_000  # items whose vectors a task holds together; 51 MB at 64 dimensions
+PART_USERS = 100_000
 SCORE_CELLS = 4_000_000  # users x items scored at once inside a task
 
 
@@ -32,78 +33,95 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return rows[keep], cols[keep], place[keep] + 1
 
 
-def _score_block(users: DataFrame, block: DataFrame, k: int, user_type: T.DataType, item_type: T.DataType) -> DataFrame:
-    """Top-k of one bounded item block for every user row (user_id, vec, seen)."""
-    local = block.select("item_id", "vec", F.col("bias").cast("double").alias("bias")).orderBy("item_id").toArrow()
-    spark = users.sparkSession
-    shared = spark.sparkContext.broadcast((local["item_id"].combine_chunks(), matrix(local["vec"]), local["bias"].to_numpy()))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_ids, vectors, bias = shared.value  # at most BLOCK_ITEMS rows
-        step = max(1, SCORE_CELLS // len(item_ids))
-        for batch in batches:
-            for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                scores = matrix(part.column("vec")) @ vectors.T + bias
-                seen = part.column("seen")
-                scores[np.repeat(np.arange(len(seen)), lengths(seen)), flat(seen)] = -np.inf
-                rows, cols, ranks = _best(scores, k)
-                found = [part.column("user_id").take(pa.array(rows)), pa.array(ranks.astype(np.int32)), item_ids.take(pa.array(cols))]
-                yield pa.RecordBatch.from_arrays([*found, pa.array(scores[rows, cols])], ["user_id", "rank", "item_id", "score"])
-
-    schema = T.StructType(
-        [
-            T.StructField("user_id", user_type),
-            T.StructField("rank", T.IntegerType()),
-            T.StructField("item_id", item_type),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    # Scoring is bound by compute: spread it over all cores, however small the user table is.
-    spread = users.select("user_id", "vec", "seen").repartition(spark.sparkContext.defaultParallelism, "user_id")
-    return spread.mapInArrow(score, schema)
-
-
-def _attach_seen(users: DataFrame, seen: DataFrame, block: DataFrame) -> DataFrame:
-    """Add the positions of the user's seen items in ``block``; never more than the block holds."""
-    by_id = W.partitionBy("_block").orderBy("item_id")
-    numbered = block.select("item_id", (F.row_number().over(by_id) - 1).alias("_pos"))
-    pairs = seen.select("user_id", "item_id").distinct().join(F.broadcast(numbered), "item_id")
-    lists = pairs.groupBy("user_id").agg(F.collect_list("_pos").alias("seen"))
-    return users.join(lists, "user_id", "left")
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], bool, pa.RecordBatch]]:
+    """Slices of sorted batches with one (part, block) and one kind of row each."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part, block, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "block", "is_user"))
+        change = np.flatnonzero((part[1:] != part[:-1]) | (block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) + 1
+        bounds = [0, *change.tolist(), batch.num_rows]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield (int(part[a]), int(block[a])), bool(kind[a]), batch.slice(a, b - a)
+
+
+def _score(k: int):
+    """Each part's users against the item block that stands before them; top k per user and block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, ready = None, [], None
+        for key, is_user, rows in _pieces(batches):
+            if key != current:
+                current, held, ready = key, [], None
+            if not is_user:
+                held.append(rows)
+                continue
+            if not held:
+                continue
+            if ready is None:  # at most a block of items
+                items = pa.Table.from_batches(held)
+                ready = items["item_id"].combine_chunks(), matrix(items["vec"]), items["bias"].to_numpy()
+            item_ids, vectors, bias = ready
+            step = max(1, SCORE_CELLS // len(item_ids))
+            for start in range(0, rows.num_rows, step):
+                users = rows.slice(start, step)
+                scores = matrix(users.column("vec")) @ vectors.T + bias
+                seen = users.column("seen")
+                place = pc.index_in(seen.flatten(), item_ids)
+                known = np.flatnonzero(place.is_valid().to_numpy(zero_copy_only=False))
+                owner = np.repeat(np.arange(len(seen)), lengths(seen))
+                scores[owner[known], place.fill_null(0).to_numpy(zero_copy_only=False)[known]] = -np.inf
+                row, col, ranks = _best(scores, k)
+                found = [users.column("user_id").take(pa.array(row)), pa.array(ranks.astype(np.int32)), item_ids.take(pa.array(col))]
+                yield pa.RecordBatch.from_arrays([*found, pa.array(scores[row, col])], ["user_id", "rank", "item_id", "score"])
+
+    return run
 
 
 def score_top_k(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None) -> DataFrame:
     """(user_id, rank, item_id, score) by ``vec . vec + bias``, seen items left out.
 
-    ``users`` is (user_id, vec); ``items`` is (item_id, vec[, bias]). Users stay partitioned
-    and items are broadcast in blocks of limited size; each block yields its own top k per
-    user, and with several blocks the final top k is taken from their union, which is exact.
+    ``users`` is (user_id, vec); ``items`` is (item_id, vec[, bias]). Items are dealt into blocks
+    of about ``BLOCK_ITEMS`` and users into parts; every part meets every block as rows of one
+    shuffle, so neither side is gathered anywhere and a task holds one block. Each block yields its own top
+    k per user, and with several blocks the final top k is taken from their union, which is exact.
     """
+    spark = users.sparkSession
     user_type, item_type = users.schema["user_id"].dataType, items.schema["item_id"].dataType
     if "bias" not in items.columns:
         items = items.withColumn("bias", F.lit(0.0))
-    total = items.count()
-    if total == 0:
-        return users.select("user_id", F.lit(0).alias("rank"), F.lit(None).cast(item_type).alias("item_id"), F.lit(0.0).alias("score")).limit(0)
-    n_blocks = -(-total // BLOCK_ITEMS)
-    blocked = items.select("item_id", "vec", "bias").withColumn("_block", F.lit(0))
-    if n_blocks > 1:
-        cuts = [lambda _, b=b: F.lit(b * BLOCK_ITEMS) for b in range(1, n_blocks)]
-        prefix = F.substring(F.md5(F.col("item_id").cast("string").cast("binary")), 1, 4)
-        order = [F.md5(F.col("item_id").cast("string").cast("binary")), F.col("item_id")]
-        blocked = cut_by_order(blocked.drop("_block"), prefix, order, cuts).withColumnRenamed("segment", "_block")
-        blocked = materialize(blocked, "item_blocks")
-
-    parts = None
-    for number in range(n_blocks):
-        block = blocked.where(F.col("_block") == number)
-        if seen is None:
-            asked = users.withColumn("seen", F.lit(None).cast("array<int>"))
-        else:
-            asked = _attach_seen(users, seen, block)
-        scored = _score_block(asked, block, k, user_type, item_type)
-        parts = scored if parts is None else parts.unionByName(scored)
+    items = materialize(items.select("item_id", F.col("vec").cast("array<double>").alias("vec"), F.col("bias").cast("double").alias("bias")), "scored_items")
+    users = materialize(users.select("user_id", F.col("vec").cast("array<double>").alias("vec")), "scored_users")
+    n_items, n_users = items.count(), users.count()  # from the files' footers
+    schema = T.StructType(
+        [
+            T.StructField("user_id", user_type),
+            T.StructField("rank", T.IntegerType()),
+            T.StructField("item_id", item_type),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+    if n_items == 0 or n_users == 0:
+        return spark.createDataFrame([], schema)
+    n_blocks = -(-n_items // BLOCK_ITEMS)
+    # Scoring is bound by compute: parts for all cores, and more where there are many users.
+    n_parts = max(min(spark.sparkContext.defaultParallelism, n_users), -(-n_users // PART_USERS))
+    part = F.pmod(F.xxhash64("user_id"), F.lit(n_parts)).cast("int").alias("part")
+    block_of = F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)).cast("int").alias("block")
+    each = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+
+    asked = users.select("user_id", "vec", part, each(n_blocks, "block"))
+    if seen is None:
+        asked = asked.withColumn("seen", F.lit(None).cast(T.ArrayType(item_type)))
+    else:  # distinct items of one block, so never more than it holds
+        lists = seen.select("user_id", "item_id").distinct().withColumn("block", block_of).groupBy("user_id", "block").agg(F.collect_list("item_id").alias("seen"))
+        asked = asked.join(lists, ["user_id", "block"], "left")
+    absent = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    user_rows = asked.select("part", "block", F.lit(True).alias("is_user"), "user_id", absent("item_id", item_type), "vec", absent("bias", "double"), "seen")
+    item_rows = items.select(each(n_parts, "part"), block_of, F.lit(False).alias("is_user"), absent("user_id", user_type), "item_id", "vec", "bias", absent("seen", T.ArrayType(item_type)))
+    keys = ["part", "block", "is_user"]
+    dealt = item_rows.unionByName(user_rows).repartitionByRange(n_parts * n_blocks, "part", "block").sortWithinPartitions(*keys, "item_id")
+    parts = dealt.mapInArrow(_score(k), schema)
     if n_blocks == 1:
         return parts
     best = top_k_per_group(parts.drop("rank"), "user_id", [F.col("score").desc(), F.col("item_id").asc()], k)

@@ -247,13 +247,19 @@ def counts_to_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "jn6_lookup_with_default",
-    sql("train test", "SELECT t.user_id, t.item_id, round(coalesce(s.mean_hours, 0.0), 9) AS mean_hours FROM test t LEFT JOIN stats s ON t.item_id = s.item_id AND s.popularity > 15", stats=_ITEM_STATS),
+    sql(
+        "train test",
+        """SELECT t.user_id, t.item_id, round(coalesce(s.mean_hours, 0.0), 9) AS mean_hours
+           FROM (SELECT user_id, item_id FROM test UNION ALL SELECT user_id, -item_id FROM test) t LEFT JOIN stats s ON t.item_id = s.item_id""",
+        stats=_ITEM_STATS,
+    ),
 )
 def lookup_with_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair once more under an id that no item has, so that the default shows."""
     data = prepared(spark, sf_dir)
-    frequent = data.train.groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).where("n > 15").select("item_id")
-    means = item_mean_hours(data.train.join(frequent, "item_id", "left_semi"))
-    rows = lookup_join(data.test.select("user_id", "item_id"), materialize(means, "item_means"), "item_id", "user_id")
+    pairs = data.test.select("user_id", "item_id")
+    pairs = pairs.unionByName(pairs.select("user_id", (-F.col("item_id")).alias("item_id")))
+    rows = lookup_join(pairs, materialize(item_mean_hours(data.train), "item_means"), "item_id", "user_id")
     return rounded(rows.select("user_id", "item_id", F.coalesce("item_avg_hours", F.lit(0.0)).alias("mean_hours")), "mean_hours", places=9)
 
 
@@ -263,7 +269,7 @@ _USER_SAMPLE = """SELECT user_id FROM (SELECT DISTINCT user_id FROM train) u ORD
 @query("jn7_semi_join_sampled_users", sql("train", "SELECT user_id, item_id, hours FROM train WHERE user_id IN (SELECT user_id FROM chosen)", chosen=_USER_SAMPLE))
 def semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = prepared(spark, sf_dir).train
-    chosen = sample_rows(train.select("user_id").distinct(), ["user_id"], 200)
+    chosen = sample_rows(materialize(train.select("user_id").distinct(), "users"), ["user_id"], 200)
     return train.select("user_id", "item_id", "hours").join(chosen, "user_id", "left_semi")
 
 
@@ -410,10 +416,11 @@ _SUMMARY = """
     FROM {source}"""
 
 
-@query("ag9_global_counts", sql("test catalog", _SUMMARY.format(source="test")))
+@query("ag9_global_counts", sql("train validation test catalog", _SUMMARY.format(source="whole"), whole="SELECT * FROM train UNION ALL SELECT * FROM validation UNION ALL SELECT * FROM test"))
 def global_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over all three saved splits."""
     data = prepared(spark, sf_dir)
-    return rounded(dataset_summary(data.test, data.catalog), "positive_rate", "sparsity")
+    return rounded(dataset_summary(data.train.unionByName(data.validation).unionByName(data.test), data.catalog), "positive_rate", "sparsity")
 
 
 @query("ex1_dataset_summary", sql("interactions catalog", _SUMMARY.format(source="interactions")))
@@ -436,10 +443,15 @@ _MONTHS = """
     LEFT JOIN (SELECT date_trunc('month', event_time) AS k, count(*) AS n FROM {source} GROUP BY 1) c ON c.k = s.m"""
 
 
-@query("ag11_monthly_resample", sql("interactions", _MONTHS.format(source="sparse"), sparse="SELECT * FROM interactions WHERE month(event_time) <> 6"))
+@query(
+    "ag11_monthly_resample",
+    sql("interactions", _MONTHS.format(source="sparse"), sparse="SELECT event_time FROM interactions UNION ALL SELECT max(event_time) + INTERVAL 7 MONTH FROM interactions"),
+)
 def monthly_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without the June rows, so that empty months appear."""
-    return monthly_counts(prepared(spark, sf_dir).labelled.where(F.month("event_time") != 6))
+    """All rows and one more half a year later, so that empty months appear."""
+    times = prepared(spark, sf_dir).labelled.select("event_time")
+    later = times.agg((F.max("event_time") + F.expr("INTERVAL 7 MONTH")).alias("event_time"))
+    return monthly_counts(times.unionByName(later))
 
 
 @query("ex5_monthly_counts", sql("interactions", _MONTHS.format(source="interactions")))

@@ -129,20 +129,24 @@ def clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ft7_one_hot_category",
     sql(
         "test catalog",
-        """SELECT t.user_id, t.item_id, CAST(c.category = 'ECONOMY' AS INT) AS economy, CAST(coalesce(c.category, 'Unknown') = 'Unknown' AS INT) AS unknown,
-                  CAST(coalesce(c.category, 'Unknown') IN (SELECT coalesce(category, 'Unknown') FROM catalog WHERE price < 1000) AS INT) AS flags
-           FROM test t LEFT JOIN catalog c ON c.item_id = t.item_id""".replace("CAST(c.category = 'ECONOMY' AS INT)", "CAST(coalesce(c.category, 'Unknown') = 'ECONOMY' AS INT)"),
+        """SELECT t.user_id, t.item_id, CAST(coalesce(c.category, 'Unknown') = 'ECONOMY' AS INT) AS economy,
+                  CAST(coalesce(c.category, 'Unknown') = 'Unknown' AS INT) AS unknown, 1 AS flags
+           FROM test t LEFT JOIN catalog c ON c.item_id = t.item_id
+           UNION ALL SELECT user_id, -item_id, 0, 0, 0 FROM test""",
     ),
 )
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vocabulary comes from the cheap items; categories outside it are all zero."""
+    """The vocabulary of the whole catalog; every row once more with a category outside it, which is all zero."""
     data = prepared(spark, sf_dir)
-    vocabulary = category_vocabulary(data.catalog.where("price < 1000"))
+    vocabulary = category_vocabulary(data.catalog)
     rows = lookup_join(data.test.select("user_id", "item_id"), item_categories(data.catalog), "item_id", "user_id")
+    unseen = rows.select("user_id", (-F.col("item_id")).alias("item_id"), F.lit("never seen before").alias("category"))
     flags = one_hot(vocabulary, F.col("category"))
-    wide = rows.select("user_id", "item_id", *flags)
+    wide = rows.select("user_id", "item_id", "category").unionByName(unseen).select("user_id", "item_id", *flags)
     total = F.aggregate(F.array(*[F.col(f"`category_{v}`") for v in vocabulary]), F.lit(0), lambda a, x: a + x)
-    return wide.select("user_id", "item_id", F.col("category_ECONOMY").alias("economy"), F.col("category_Unknown").alias("unknown"), total.alias("flags"))
+    unknown = F.col("category_Unknown") if "Unknown" in vocabulary else F.lit(0)
+    economy = F.col("category_ECONOMY") if "ECONOMY" in vocabulary else F.lit(0)
+    return wide.select("user_id", "item_id", economy.alias("economy"), unknown.alias("unknown"), total.alias("flags"))
 
 
 @query(

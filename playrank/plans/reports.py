@@ -29,7 +29,7 @@ from playrank.operators.serving import active_users, because_you_liked, item_car
 from playrank.operators.similarity import recommend_from_vectors
 from playrank.plans.fixtures import Prepared, item_vectors, prepared, sql, user_vectors
 from playrank.plans.registry import query, rounded
-from playrank.plans.retrieval import _SCORES, _TOP, HISTORY, ITEMS, POPULAR, RANKED, SEED, SIMILAR, TRUTH, draw_views, test_task
+from playrank.plans.retrieval import _SCORES, _TOP, _UNSEEN, HISTORY, ITEMS, POPULAR, RANKED, SEED, SIMILAR, TRUTH, draw_views, test_task
 from playrank.session import materialize
 
 # ---------------------------------------------------------------- evaluation
@@ -142,6 +142,9 @@ def _model_views(split: str, seen: str) -> dict[str, str]:
     return {
         p + "truth": f"SELECT DISTINCT user_id, item_id FROM {split} WHERE is_positive",
         p + "history": f"SELECT DISTINCT user_id, item_id FROM split_rows WHERE {seen}",
+        p + "factors": _TOP.format(
+            scores=_SCORES.format(bias="", items="item_vectors", where=f"WHERE u.user_id IN (SELECT user_id FROM {p}truth) AND {_UNSEEN}").replace("FROM history h", f"FROM {p}history h"), k=20
+        ),
         p + "popular": POPULAR.format(k=20).replace("FROM truth", f"FROM {p}truth").replace("FROM history", f"FROM {p}history"),
         **{n: t.replace("FROM items", "FROM items") for n, t in draw_views(f"SELECT DISTINCT user_id FROM {p}truth", f"SELECT * FROM {p}history", 20, p).items()},
     }
@@ -155,8 +158,10 @@ def _model_row(split: str, model: str, recs: str) -> str:
 @query(
     "ev7_model_comparison",
     sql(
-        "train validation test",
-        " UNION ALL ".join(_model_row(s, m, r) for s in ("validation", "test") for m, r in (("popularity", f"{s}_popular"), ("random", f"{s}_picked"))),
+        "train validation test user_vectors item_vectors",
+        " UNION ALL ".join(
+            _model_row(s, m, r) for s in ("validation", "test") for m, r in (("popularity", f"{s}_popular"), ("random", f"{s}_picked"), ("factors", f"{s}_factors"))
+        ),
         items=ITEMS,
         ranked=RANKED,
         **_model_views("validation", "split = 'train'"),
@@ -164,15 +169,22 @@ def _model_row(split: str, model: str, recs: str) -> str:
     ),
 )
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Popularity, random and given factors; whoever has no factors is evaluated with an empty list."""
     data = prepared(spark, sf_dir)
-    models = {"popularity": PopularityRecommender().fit(data.train), "random": RandomRecommender(SEED).fit(data.train)}
+    vectors = item_vectors(spark, sf_dir)
+    known_users = materialize(user_vectors(data, vectors), "user_vectors")
+    models = {
+        "popularity": PopularityRecommender().fit(data.train).recommend,
+        "random": RandomRecommender(SEED).fit(data.train).recommend,
+        "factors": lambda users, seen, k: recommend_from_vectors(users, known_users, vectors, seen, k),
+    }
     splits = {"validation": (data.validation, history(data.train)), "test": (data.test, history(data.train, data.validation))}
     truths = {s: materialize(ground_truth(held), "truth") for s, (held, _) in splits.items()}
     runs = {}
     for split, (_, seen) in splits.items():
         known = materialize(seen, "history")
-        for name, model in models.items():
-            recs = model.recommend(truths[split].select("user_id"), known, 20)
+        for name, recommend in models.items():
+            recs = recommend(truths[split].select("user_id").distinct(), known, 20)
             runs[(split, name)] = materialize(recs, "recs")
     compared = compare_models(runs, truths, data.train.select("item_id").distinct())
     return rounded(compared, "recall", "ndcg", "coverage")
@@ -312,13 +324,14 @@ def because(spark: SparkSession, sf_dir: str) -> DataFrame:
     "sv6_item_cards",
     sql(
         "interactions catalog",
-        f"SELECT o.item_id, {_CARD.format(id='o.item_id')} FROM (SELECT DISTINCT item_id FROM interactions) o LEFT JOIN catalog c ON c.item_id = o.item_id AND c.item_id % 9 <> 0",
+        f"SELECT o.item_id, {_CARD.format(id='o.item_id')} FROM (SELECT item_id FROM interactions UNION SELECT -item_id FROM interactions) o LEFT JOIN catalog c ON c.item_id = o.item_id",
     ),
 )
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part of the catalog is withheld so that the defaults show."""
+    """Every item once more under an id that the catalog lacks, so that the defaults show."""
     data = prepared(spark, sf_dir)
-    return item_cards(data.labelled.select("item_id").distinct(), data.catalog.where("item_id % 9 <> 0"))
+    seen = data.labelled.select("item_id").distinct()
+    return item_cards(seen.unionByName(seen.select((-F.col("item_id")).alias("item_id"))).distinct(), data.catalog)
 
 
 @query(

@@ -336,8 +336,10 @@ def test_fallback_and_active_users(spark):
     train = spark.createDataFrame([(1, 10), (2, 10), (2, 11)], "user_id int, item_id int")
     own = spark.createDataFrame([(1, 1, 11)], "user_id int, rank int, item_id int")
     users = spark.createDataFrame([(1,), (9,)], "user_id int")
-    got = with_popular_fallback(own, users, train, 2, "mine").collect()
+    got = with_popular_fallback(own, users, own.select("user_id"), train, 2, "mine").collect()
     assert {(r["user_id"], r["rank"], r["item_id"], r["model"]) for r in got} == {(1, 1, 11, "mine"), (9, 1, 10, "popularity"), (9, 2, 11, "popularity")}
+    nothing_left = with_popular_fallback(own.limit(0), users, users.where("user_id = 1"), train, 2, "mine").collect()
+    assert {r["user_id"] for r in nothing_left} == {9}  # user 1 is known, though the list is empty
     listed = active_users(train.union(users.select("user_id", F.lit(5))), users.where("user_id = 9"), 2).collect()
     assert [(r["user_id"], r["history_count"], r["in_model"]) for r in listed] == [(9, 1, True), (1, 2, False)]
     with pytest.raises(ValueError):

@@ -31,4 +31,4 @@ def test_every_oracle_has_its_query():
 def test_entry_rows_and_schema(spark):
     df = entry.entry(spark)
     assert df.columns == ["split", "model", "users", "recall", "ndcg", "coverage"]
-    assert df.count() == 4
+    assert df.count() == 6

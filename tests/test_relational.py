@@ -103,10 +103,32 @@ def test_salted_lookup_equals_broadcast(spark, how):
 def test_lookup_broadcasts_only_what_fits(spark):
     left, right = spark.range(100).withColumnRenamed("id", "k").withColumn("u", F.col("k")), spark.range(60).withColumnRenamed("id", "k")
     plan = lambda limit: lookup_join(left, right, "k", "u", "left", limit)._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(100)
+    assert "broadcast" in plan(60 * 16)
     assert "broadcast" not in plan(10)
 
 
+def test_lookup_measures_bytes_not_rows(spark):
+    """Few rows with long values do not fit where many short ones do."""
+    from playrank.operators.relational import fits_broadcast
+
+    long = spark.range(10).select("id", F.array_repeat(F.lit(1.0), 1000).alias("vec"), F.repeat(F.lit("x"), 5000).alias("text"))
+    assert not fits_broadcast(long, 100_000) and fits_broadcast(long, 200_000)
+    assert fits_broadcast(spark.range(5000), 100_000) and fits_broadcast(spark.range(0), 0)
+
+
+def test_rows_without_a_time_come_last_and_stay(spark):
+    from playrank.operators.splitting import most_recent, time_based_split
+
+    time = F.when(F.col("id") >= 10, F.lit("2020-01-01").cast("timestamp_ntz") + F.make_interval(days=(F.col("id") % 30).cast("int")))
+    rows = spark.range(100).select(F.col("id").alias("user_id"), (F.col("id") % 7).alias("item_id"), time.alias("event_time"))
+    split = time_based_split(rows).collect()
+    assert len(split) == 100 and {r["split"] for r in split if r["event_time"] is None} == {"test"}
+    assert sorted(r["split"] for r in split).count("test") == 20
+    for n in (5, 10, 12, 95):
+        kept = most_recent(rows, n).collect()
+        assert len(kept) == n and sum(r["event_time"] is None for r in kept) == min(n, 10)
+
+
 def test_latest_per_key_and_top_k(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 2), ("b", 5)], "k string, v int")
     assert {(r["k"], r["v"]) for r in latest_per_key(df, ["k"], [F.col("v").desc()]).collect()} == {("a", 3), ("b", 5)}
