@@ -58,3 +58,27 @@ def sum_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, parts = np.add.reduceat(stacked[order], starts), np.add.reduceat(counts[order], starts)
     if len(keys):
         yield pa.RecordBatch.from_arrays([pa.array(keys), pack(sums), pa.array(parts)], ["key", "vec", "parts"])
+
+
+def part_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(part, all its rows) from batches in which the rows of a part follow each other.
+
+    A part is put together whole, so what is made of it depends neither on how Arrow cuts
+    batches nor on which parts share a task.
+    """
+    current, held = None, []
+
+    def whole() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        parts = batch.column("part").to_numpy(zero_copy_only=False)
+        bounds = [0, *(np.flatnonzero(parts[1:] != parts[:-1]) + 1).tolist(), len(parts)] if len(parts) else []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if held and parts[a] != current:
+                yield current, whole()
+                held = []
+            current = int(parts[a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield current, whole()

@@ -23,7 +23,6 @@ from playrank.sources.cleaning import (
     valid_events,
 )
 from playrank.sources.literal_lines import REVIEW_SCHEMA, read_literal_lines
-from playrank.sources.models import load_table, save_table
 from playrank.sources.tables import (
     export_serving,
     read_results,
@@ -281,10 +280,10 @@ def summary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     "snk3_serving_export",
     sql(
         "train test catalog",
-        """SELECT 'users' AS name, count(*) AS n, count(DISTINCT user_id) AS keys
-           FROM (SELECT user_id FROM train UNION SELECT user_id FROM test) u
-           UNION ALL SELECT 'items', count(*), count(DISTINCT item_id) FROM catalog
-           UNION ALL SELECT 'interactions', 2 * count(*), count(DISTINCT (user_id, item_id)) FROM test""",
+        """SELECT 'users' AS name, count(*) AS n, count(DISTINCT user_id) AS keys, min(t) AS first_time, max(t) AS last_time
+           FROM (SELECT user_id, min(event_time) AS t FROM (SELECT * FROM train UNION ALL SELECT * FROM test) r GROUP BY user_id) u
+           UNION ALL SELECT 'items', count(*), count(DISTINCT item_id), NULL, NULL FROM catalog
+           UNION ALL SELECT 'interactions', 2 * count(*), 2 * count(*), min(event_time), max(event_time) FROM test""",
     ),
 )
 def serving_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,10 +293,16 @@ def serving_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = serving_tables(data.train, data.test, data.catalog)
     export_serving(tables, path)
     export_serving(tables, path)
-    keys = {"users": ["user_id"], "items": ["item_id"], "interactions": ["user_id", "item_id"]}
+    keys = {"users": ("user_id", "created_at"), "items": ("item_id", None), "interactions": ("id", "event_time")}
     parts = [
-        spark.read.parquet(os.path.join(path, n)).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n"), F.count_distinct(*k).alias("keys"))
-        for n, k in keys.items()
+        spark.read.parquet(os.path.join(path, n)).agg(
+            F.lit(n).alias("name"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_distinct(key).alias("keys"),
+            (F.min(time) if time else F.lit(None).cast("timestamp_ntz")).alias("first_time"),
+            (F.max(time) if time else F.lit(None).cast("timestamp_ntz")).alias("last_time"),
+        )
+        for n, (key, time) in keys.items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -311,10 +316,10 @@ def serving_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def model_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = PopularityRecommender().fit(prepared(spark, sf_dir).train)
+    """Saved, loaded and written out by the loaded model."""
     path = new_path(spark, "model")
-    save_table(model.ranked, path, "popularity")
-    return load_table(spark, path, "popularity")
+    PopularityRecommender().fit(prepared(spark, sf_dir).train).save(path)
+    return PopularityRecommender.load(spark, path).ranked
 
 
 @query(

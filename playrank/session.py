@@ -35,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return configured
+        return _shared(spark, configured)
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
@@ -45,6 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _shared(spark: SparkSession, path: str) -> str:
+    """Refuse a bare local path on a cluster; a mount that all machines share is named with its scheme."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if not spark.sparkContext.master.startswith("local") and ":" not in path and default.startswith("file:"):
+        raise RuntimeError(f"spark.checkpoint.dir {path!r} is a local folder; name a shared one, or a shared mount as file://")
+    return path
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 

@@ -79,8 +79,9 @@ def image_url(item_id: Column) -> Column:
     return F.concat(F.lit(IMAGE_URL_PREFIX), item_id.cast("string"), F.lit(IMAGE_URL_SUFFIX))
 
 
-def load_games(raw: DataFrame, line: str = "_line") -> DataFrame:
-    """Metadata with one row per item: the last line wins."""
+def load_games(raw: DataFrame) -> DataFrame:
+    """Metadata with one row per item: the last line wins, in the order of files and of lines in a file."""
+    place = [F.col(c) for c in ("_source", "_block", "_line") if c in raw.columns]
     first_genre = F.try_element_at("genres", F.lit(1))
     first_tag = F.try_element_at("tags", F.lit(1))
     games = raw.where(F.col("id").isNotNull()).select(
@@ -95,7 +96,7 @@ def load_games(raw: DataFrame, line: str = "_line") -> DataFrame:
         to_number(F.col("price")).alias("price"),
         F.coalesce(F.col("early_access"), F.lit(False)).alias("early_access_item"),
         F.col("url").alias("store_url"),
-        F.col(line).alias("_order"),
+        F.struct(*place).alias("_order"),
     )
     return latest_per_key(games, ["item_id"], [F.col("_order").desc()]).drop("_order")
 

@@ -42,6 +42,9 @@ GAME_SCHEMA = T.StructType(
 )
 
 
+PLACE = ["_source", "_block", "_line"]
+
+
 def _convert(value: object, kind: T.DataType) -> object:
     if isinstance(kind, T.ArrayType):
         return [str(v) for v in value] if isinstance(value, list) else None
@@ -60,12 +63,14 @@ def _to_json(line: str, fields: list[tuple[str, T.DataType]]) -> str | None:
 
 
 def read_literal_lines(spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST") -> DataFrame:
-    """Parse literal lines to ``schema`` plus ``_line`` order and ``_source``.
+    """Parse literal lines to ``schema`` plus ``_source``, ``_block`` and ``_line``, which together give the file order.
 
     Lines are checked in Python and typed by ``from_json``. FAILFAST raises on the first
     malformed line, with its file and the line itself; PERMISSIVE keeps it in
-    ``_corrupt_record``. Blank lines are skipped and undecodable bytes replaced. A gzip file
-    is a single split, so its lines are numbered while reading and spread right after.
+    ``_corrupt_record``. Blank lines are skipped and undecodable bytes replaced. ``_block`` is
+    where the line's split begins in its file, and ``_line`` rises inside a split; how Spark packs
+    splits into tasks does not matter. A gzip file is a single split: where there are fewer
+    splits than cores, the lines are spread right after they are numbered.
     """
     if mode not in ("FAILFAST", "PERMISSIVE"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -75,22 +80,24 @@ def read_literal_lines(spark: SparkSession, path: str, schema: T.StructType, mod
         .select(
             F.make_valid_utf8("value").alias("value"),
             F.col("_metadata.file_path").alias("_source"),
+            F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_line"),
         )
         .where(F.length(F.trim("value")) > 0)
-        .repartition(F.xxhash64("_source", "_line"))
     )
+    if lines.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        lines = lines.repartition(F.xxhash64("_source", "_line"))
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.assign(_json=[_to_json(v, fields) for v in batch["value"]])
 
-    parsed = lines.mapInPandas(parse, "value string, _source string, _line bigint, _json string")
+    parsed = lines.mapInPandas(parse, "value string, _source string, _block bigint, _line bigint, _json string")
     bad = F.col("_json").isNull()
-    columns = [F.from_json("_json", schema).alias("_row"), "_source", "_line"]
+    columns = [F.from_json("_json", schema).alias("_row"), *PLACE]
     if mode == "FAILFAST":
         message = F.concat(F.lit("could not parse a line of "), F.col("_source"), F.lit(": "), F.col("value"))
         checked = parsed.withColumn("_json", F.when(bad, F.raise_error(message).cast("string")).otherwise(F.col("_json")))
-        return checked.select(*columns).select("_row.*", "_source", "_line")
+        return checked.select(*columns).select("_row.*", *PLACE)
     corrupt = F.when(bad, F.col("value")).alias("_corrupt_record")
-    return parsed.select(*columns, corrupt).select("_row.*", "_source", "_line", "_corrupt_record")
+    return parsed.select(*columns, corrupt).select("_row.*", *PLACE, "_corrupt_record")

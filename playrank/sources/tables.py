@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playrank.operators.relational import global_rank
 from playrank.sources.cleaning import INTERACTION_COLUMNS
 
 SPLITS = ("train", "validation", "test")
@@ -78,8 +79,12 @@ def insert_missing(new: DataFrame, existing: DataFrame | None, key: str) -> Data
 
 
 def serving_tables(train: DataFrame, test: DataFrame, catalog: DataFrame) -> dict[str, DataFrame]:
-    """Relational serving schema. Users cover both splits, so no interaction lacks its user."""
-    users = train.select("user_id").union(test.select("user_id")).distinct()
+    """Relational serving schema. Users cover both splits, so no interaction lacks its user.
+
+    A user is created with the first event; interaction ids are given when they are stored.
+    """
+    times = train.select("user_id", "event_time").unionByName(test.select("user_id", "event_time"))
+    users = times.groupBy("user_id").agg(F.min("event_time").alias("created_at"))
     items = catalog.select("item_id", "title", "category", "image_url")
     interactions = test.select(
         "user_id",
@@ -92,15 +97,21 @@ def serving_tables(train: DataFrame, test: DataFrame, catalog: DataFrame) -> dic
 
 
 def export_serving(tables: dict[str, DataFrame], path: str) -> None:
-    """Insert users and items that are absent, append the interactions."""
+    """Insert users and items that are absent, append the interactions with ids that go on from the last one."""
     spark = tables["users"].sparkSession
-    for name, key in (("users", "user_id"), ("items", "item_id")):
-        target = os.path.join(path, name)
+
+    def stored(name: str) -> DataFrame | None:
         try:
-            existing = spark.read.parquet(target)
+            return spark.read.parquet(os.path.join(path, name))
         except Exception as missing:  # the first export has nothing to compare with
             if "PATH_NOT_FOUND" not in str(missing):
                 raise
-            existing = None
-        insert_missing(tables[name], existing, key).write.mode("append").parquet(target)
-    tables["interactions"].write.mode("append").parquet(os.path.join(path, "interactions"))
+            return None
+
+    for name, key in (("users", "user_id"), ("items", "item_id")):
+        insert_missing(tables[name], stored(name), key).write.mode("append").parquet(os.path.join(path, name))
+    before = stored("interactions")
+    last = before.agg(F.max("id")).first()[0] or 0 if before is not None else 0
+    numbered = global_rank(tables["interactions"], [F.col(c) for c in ("event_time", "user_id", "item_id")], "id")
+    rows = numbered.select((F.col("id") + F.lit(last)).alias("id"), *tables["interactions"].columns)
+    rows.write.mode("append").parquet(os.path.join(path, "interactions"))

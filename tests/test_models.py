@@ -16,13 +16,15 @@ from playrank.operators.interactions import ground_truth, history, item_index, i
 from playrank.operators.mf import BprConfig, BprRecommender, bpr_step, draw_negatives
 from playrank.operators.ranker import LambdaRanker, RankerConfig, bucketed, lambda_targets
 from playrank.operators.sampling import pair_negatives, sampled_candidates
-from playrank.operators.serving import active_users, with_popular_fallback
+from playrank.operators.serving import active_users, serving_candidates, with_popular_fallback
 from playrank.operators.towers import TowerConfig, TwoTowerRecommender, init_tower, loss_and_gradient
+from playrank.sources.models import load_vocabulary, save_vocabulary
 
-TOY_TRAIN = [("u1", "i1"), ("u1", "i2"), ("u2", "i2"), ("u2", "i3"), ("u3", "i1"), ("u3", "i3")]
-SHORT_TRAIN = [*TOY_TRAIN, ("u4", "i2"), ("u4", "i4")]
-SHORT_VALID = [("u1", "i3"), ("u2", "i1"), ("u3", "i4"), ("u4", "i1")]
-SHORT_TEST = [("u1", "i4"), ("u2", "i4"), ("u3", "i2"), ("u4", "i3")]
+# A games evening: everybody has played some of four games, and each held-out game is new to the player.
+EVENING = [("ann", "chess"), ("ann", "go"), ("bob", "go"), ("bob", "darts"), ("bob", "chess"), ("cy", "darts")]
+SEASON = [(p, g) for p, games in {"ann": "chess go", "bob": "go darts", "cy": "darts tag", "dee": "tag chess", "eve": "chess darts"}.items() for g in games.split()]
+NEXT = [("ann", "darts"), ("bob", "tag"), ("cy", "chess"), ("dee", "go"), ("eve", "tag")]
+LAST = [("ann", "tag"), ("bob", "chess"), ("cy", "go"), ("dee", "darts"), ("eve", "go")]
 
 
 def pairs(spark, rows, positive=True):
@@ -47,9 +49,9 @@ def crowd(spark, n_users=40, n_items=25, seed=3):
 
 
 def test_history_and_truth(spark):
-    df = spark.createDataFrame([("u1", "i1", True), ("u1", "i2", False), ("u2", "i3", True)], "user_id string, item_id string, is_positive boolean")
-    assert {r["user_id"]: r["items"] for r in item_sets(history(df)).collect()} == {"u1": ["i1", "i2"], "u2": ["i3"]}
-    assert {(r["user_id"], r["item_id"]) for r in ground_truth(df).collect()} == {("u1", "i1"), ("u2", "i3")}
+    df = pairs(spark, EVENING).withColumn("is_positive", F.col("item_id") != "go")
+    assert {r["user_id"]: r["items"] for r in item_sets(history(df)).collect()} == {"ann": ["chess", "go"], "bob": ["chess", "darts", "go"], "cy": ["darts"]}
+    assert {(r["user_id"], r["item_id"]) for r in ground_truth(df).collect()} == {("ann", "chess"), ("bob", "darts"), ("bob", "chess"), ("cy", "darts")}
 
 
 @pytest.mark.parametrize("k", [1, 4, 30])
@@ -153,23 +155,85 @@ def test_candidate_ndcg_averages_ties_and_skips(spark):
 
 
 def test_end_to_end_on_short_splits(spark):
-    train, valid, test = (pairs(spark, r) for r in (SHORT_TRAIN, SHORT_VALID, SHORT_TEST))
+    train, valid, test = (pairs(spark, r) for r in (SEASON, NEXT, LAST))
     truth = ground_truth(test)
     model = BprRecommender(BprConfig(n_factors=4, epochs=2)).fit(train)
     for recs in (model.recommend(truth, history(train, valid), 2), PopularityRecommender().fit(train).recommend(truth, history(train, valid), 2)):
         row = all_metrics(recs, truth, truth.select("user_id"), train.select("item_id").distinct(), 2, 2).first()
-        assert row["users"] == 4 and row["recall"] == 1.0  # one item is left for each user
+        assert row["users"] == 5 and row["recall"] == 1.0  # one item is left for each user
 
 
 def test_bpr_recommends_unseen_and_skips_unknown(spark):
-    train = pairs(spark, TOY_TRAIN)
+    train = pairs(spark, EVENING)
     model = BprRecommender(BprConfig(n_factors=4, epochs=3)).fit(train)
-    users = spark.createDataFrame([("u1",), ("stranger",)], "user_id string")
-    assert lists(model.recommend(users, history(train), 5)) == {"u1": ["i3"]}
+    users = spark.createDataFrame([("ann",), ("stranger",)], "user_id string")
+    assert lists(model.recommend(users, history(train), 5)) == {"ann": ["darts"]}
     with pytest.raises(RuntimeError):
         BprRecommender().recommend(users, history(train))
     with pytest.raises(ValueError, match="positive"):
-        BprRecommender().fit(pairs(spark, TOY_TRAIN, False))
+        BprRecommender().fit(pairs(spark, EVENING, False))
+
+
+def test_saved_models_recommend_the_same(spark, tmp_path):
+    train, path = pairs(spark, SEASON), str(tmp_path / "models")
+    users, seen = train.select("user_id").distinct(), history(train)
+    fitted = BprRecommender(BprConfig(n_factors=4, epochs=2)).fit(train)
+    fitted.save(path)
+    assert lists(BprRecommender.load(spark, path).recommend(users, seen, 2)) == lists(fitted.recommend(users, seen, 2))
+    for kind in (PopularityRecommender, RandomRecommender):
+        model = kind().fit(train)
+        model.save(path)
+        assert lists(kind.load(spark, path).recommend(users, seen, 2)) == lists(model.recommend(users, seen, 2))
+    vectors = train.select("user_id", F.array(F.lit(1.0), F.length("item_id").cast("double")).alias("vec")).dropDuplicates(["user_id"])
+    towers = TwoTowerRecommender()
+    towers.user_vectors = vectors
+    towers.item_vectors = train.select("item_id", F.array(F.length("item_id").cast("double"), F.lit(1.0)).alias("vec")).distinct()
+    towers.save(path)
+    assert lists(TwoTowerRecommender.load(spark, path).recommend(users, seen, 2)) == lists(towers.recommend(users, seen, 2))
+    save_vocabulary(spark, ["b", "a", "Unknown"], path)
+    assert load_vocabulary(spark, path) == ["b", "a", "Unknown"]
+
+
+def test_factors_do_not_depend_on_batches_or_tasks(spark, monkeypatch):
+    import playrank.operators.mf as module
+
+    monkeypatch.setattr(module, "PAIRS_PER_PART", 100)
+    _, _, train, _ = crowd(spark)
+
+    def factors():
+        model = BprRecommender(BprConfig(n_factors=4, epochs=2)).fit(train)
+        return {r["item_id"]: (r["vec"], r["bias"]) for r in model.item_factors.collect()}
+
+    first = factors()
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        again = factors()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert all(np.allclose(first[i][0], again[i][0], atol=1e-6) and abs(first[i][1] - again[i][1]) < 1e-6 for i in first)
+
+
+def test_negatives_are_uniform_over_what_is_unseen():
+    own = np.array([0, 3, 4, 9] * 5000)
+    drawn = draw_negatives(np.random.default_rng(1), np.repeat(np.arange(5000), 4), own, 10)
+    counts = np.bincount(drawn, minlength=10)
+    assert counts[[0, 3, 4, 9]].sum() == 0 and abs(counts[[1, 2, 5, 6, 7, 8]] / len(drawn) - 1 / 6).max() < 0.02
+
+
+def test_personal_lists_need_no_later_rows(spark):
+    from datetime import datetime
+
+    train = pairs(spark, SEASON).withColumns({"hours": F.lit(2.0), "event_time": F.lit("2021-05-01").cast("timestamp_ntz")})
+    found = pairs(spark, NEXT)
+    by_default = serving_candidates(found, train).collect()
+    assert {r["event_time"] for r in by_default} == {datetime(2021, 5, 1)} and {r["hours"] for r in by_default} == {2.0}
+    moment = datetime(2022, 1, 2, 3)
+    assert {r["event_time"] for r in serving_candidates(found, train, moment).collect()} == {moment}
 
 
 def test_bpr_step_by_hand():

@@ -75,6 +75,17 @@ def test_games(spark, tmp_path):
     assert (two["title"], two["category"], two["early_access_item"]) == ("Steam app 2", "Unknown", False)
 
 
+def test_the_last_line_of_the_last_file_wins(spark, tmp_path):
+    """However large the files are: Spark packs the larger one first."""
+    old = [repr({"id": "1", "title": "old"}), repr({"id": "2", "title": "only"})]
+    filler = [repr({"id": str(n), "title": "x" * 200}) for n in range(100, 400)]
+    write(tmp_path / "a.json.gz", old)
+    write(tmp_path / "b.json.gz", [*filler, repr({"id": "1", "title": "new"})])
+    write(tmp_path / "c.json.gz", [repr({"id": "3", "title": "third"}), repr({"id": "3", "title": "third again"})])
+    games = {r["item_id"]: r["title"] for r in load_games(read_literal_lines(spark, str(tmp_path), GAME_SCHEMA)).collect()}
+    assert (games["1"], games["2"], games["3"]) == ("new", "only", "third again")
+
+
 def test_catalog_defaults(spark):
     seen = spark.createDataFrame([("1",), ("1",), ("3",)], "item_id string")
     games = spark.createDataFrame([("1", "One", "A"), ("2", "Two", "B")], "item_id string, title string, category string")
@@ -86,13 +97,16 @@ def test_catalog_defaults(spark):
 
 
 def test_export_inserts_only_what_is_missing(spark, tmp_path):
-    train = spark.createDataFrame([(1, 10)], "user_id int, item_id int")
-    test = spark.createDataFrame([(2, 10, 1.0)], "user_id int, item_id int, hours double").withColumn("event_time", F.current_timestamp())
+    train = spark.createDataFrame([(1, 10), (1, 11)], "user_id int, item_id int").withColumn("event_time", F.make_timestamp_ntz(F.lit(2020), F.lit(1), "item_id", F.lit(0), F.lit(0), F.lit(0)))
+    test = spark.createDataFrame([(2, 10, 1.0), (1, 12, 3.0)], "user_id int, item_id int, hours double").withColumn("event_time", F.lit("2021-01-01").cast("timestamp_ntz"))
     catalog = spark.createDataFrame([(10, "t", "c", "u")], "item_id int, title string, category string, image_url string")
     for _ in range(2):
         export_serving(serving_tables(train, test, catalog), str(tmp_path))
     counts = {n: spark.read.parquet(str(tmp_path / n)).count() for n in ("users", "items", "interactions")}
-    assert counts == {"users": 2, "items": 1, "interactions": 2}
+    assert counts == {"users": 2, "items": 1, "interactions": 4}
+    created = {r["user_id"]: str(r["created_at"]) for r in spark.read.parquet(str(tmp_path / "users")).collect()}
+    assert created == {1: "2020-01-10 00:00:00", 2: "2021-01-01 00:00:00"}
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "interactions")).collect()) == [1, 2, 3, 4]
     assert insert_missing(catalog, None, "item_id").count() == 1
 
 
