@@ -91,7 +91,7 @@ def test_probabilities_sum_to_one(make_docs, spark):
 
 
 def test_odd_rows(odd_docs):
-    from conftest import ODD
+    from odd_rows import ODD
 
     got = score_texts(odd_docs)
     assert values(got) == brute(ODD)

@@ -80,7 +80,7 @@ def test_a_long_passage_goes_and_short_common_lines_stay(make_docs):
 
 
 def test_odd_rows(odd_docs):
-    from conftest import ODD
+    from odd_rows import ODD
 
     got = dedup_lines(odd_docs, 5)
     assert got.columns == [*odd_docs.columns, "_deleted"]

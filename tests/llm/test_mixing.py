@@ -72,7 +72,7 @@ def test_mixed_texts_hold_the_words_drawn(make_docs):
 
 
 def test_odd_rows(odd_docs):
-    from conftest import ODD
+    from odd_rows import ODD
 
     rows = mix_plan(odd_docs).collect()
     assert len(rows) == len(ODD)

@@ -73,7 +73,7 @@ def test_without_labels_of_both_kinds_the_base_decides(make_docs, spark, labels)
 
 
 def test_odd_rows(odd_docs, spark):
-    from conftest import ODD
+    from odd_rows import ODD
 
     labels = spark.createDataFrame([(4, 1), (7, 0), (7, 1)], "doc_id bigint, quality int")
     got = judge_quality(odd_docs, labels)

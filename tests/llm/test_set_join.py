@@ -73,7 +73,7 @@ def test_groups_dealt_over_blocks(make_docs, monkeypatch):
 
 
 def test_odd_rows(odd_docs):
-    from conftest import ODD
+    from odd_rows import ODD
 
     got = sorted(map(tuple, jaccard_components(odd_docs, 3, 90).collect()), key=str)
     assert got == brute(ODD, 3, 90)

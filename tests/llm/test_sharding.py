@@ -56,7 +56,7 @@ def test_reruns_agree(make_docs):
 
 
 def test_odd_rows(odd_docs):
-    from conftest import ODD
+    from odd_rows import ODD
 
     got = shard_records(odd_docs, 3).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(ODD, key=str)
