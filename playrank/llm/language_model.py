@@ -39,6 +39,7 @@ PAIRS = 8192  # hashed pairs of words
 NEAR = WORDS + RARE + 1  # contexts of the word tables: a frequent word, a rare class, the start
 BATCH = 16_384
 RATE = 0.3
+OFTEN = 24
 BLOCKS = 32  # parts in which table changes travel
 END = -4611686018427387847  # hash that stands for the end of a text
 
@@ -195,16 +196,28 @@ class Tables:
         return label, ids % CLASS_WORDS, [*wide, pair.astype(np.int64)], [c * CLASSES + np.minimum(label, CLASSES - 1) for c in close]
 
     @staticmethod
-    def _softmax(bias: np.ndarray, tables: list[np.ndarray], rows: list[np.ndarray]) -> np.ndarray:
-        logits = tables[0][rows[0]]
+    def _weights(bias: np.ndarray, tables: list[np.ndarray], rows: list[np.ndarray]) -> np.ndarray:
+        """Logits less the largest of each row."""
+        logits = tables[0].take(rows[0], 0)
         for table, at in zip(tables[1:], rows[1:], strict=True):
-            logits += table[at]
+            logits += table.take(at, 0)
         logits += bias
         logits -= logits.max(1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(1, keepdims=True)
         return logits
 
+    def _softmax(self, bias: np.ndarray, tables: list[np.ndarray], rows: list[np.ndarray]) -> np.ndarray:
+        p = self._weights(bias, tables, rows)
+        np.exp(p, out=p)
+        p *= (1.0 / (p @ np.ones(p.shape[1], np.float32)))[:, None]
+        return p
+
+    def _log_softmax(self, bias: np.ndarray, tables: list[np.ndarray], rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+        """Log probability of one column per row."""
+        logits = self._weights(bias, tables, rows)
+        own = logits[np.arange(len(y)), y].astype(np.float64)
+        np.exp(logits, out=logits)
+        return own - np.log((logits @ np.ones(logits.shape[1], np.float32)).astype(np.float64))
+
     def log10(self, hashes: np.ndarray, kinds: np.ndarray, begun: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of P(class) * P(word | class) for frequent words and of P(class) alone for rare ones; which are frequent."""
         label, place, wide, close = self.contexts(hashes, kinds, begun)
@@ -212,12 +225,11 @@ class Tables:
         for at in range(0, len(hashes), BATCH):
             part = slice(at, at + BATCH)
             y = label[part]
-            p = self._softmax(self.known.class_bias, self.class_tables, [w[part] for w in wide])
-            result[part] = np.log10(np.maximum(p[np.arange(len(y)), y], 1e-30))
+            result[part] = self._log_softmax(self.known.class_bias, self.class_tables, [w[part] for w in wide], y)
             inner = np.flatnonzero(y < CLASSES)
             if len(inner):
-                p = self._softmax(self.word_bias[y[inner]], self.word_tables, [c[part][inner] for c in close])
-                result[at + inner] += np.log10(np.maximum(p[np.arange(len(inner)), place[part][inner]], 1e-30))
+                result[at + inner] += self._log_softmax(self.word_bias.take(y[inner], 0), self.word_tables, [c[part][inner] for c in close], place[part][inner])
+        result /= np.log(10.0)
         return result, label < CLASSES
 
     def learn(self, hashes: np.ndarray, kinds: np.ndarray, begun: np.ndarray, seen: list[np.ndarray]) -> None:
@@ -233,7 +245,7 @@ class Tables:
             inner = np.flatnonzero(y < CLASSES)
             if len(inner):
                 rows = [c[part][inner] for c in close]
-                p = self._softmax(self.word_bias[y[inner]], self.word_tables, rows)
+                p = self._softmax(self.word_bias.take(y[inner], 0), self.word_tables, rows)
                 p[np.arange(len(inner)), place[part][inner]] -= 1
                 for table, row, count in zip(self.word_tables, rows, seen[len(self.class_tables) :], strict=True):
                     _descend(table, count, row, p)
@@ -242,10 +254,19 @@ class Tables:
 def _descend(table: np.ndarray, seen: np.ndarray, row: np.ndarray, gradient: np.ndarray) -> None:
     """Add up the gradient per row and step, less the oftener a row has been seen."""
     order = np.argsort(row.astype(np.uint16) if len(table) <= 1 << 16 else row, kind="stable")
-    starts = run_bounds(row[order])
-    rows = row[order][starts[:-1]]
-    seen[rows] += np.diff(starts)
-    sums = np.add.reduceat(gradient[order], starts[:-1])
+    bounds = run_bounds(row[order])
+    starts, n = bounds[:-1], np.diff(bounds)
+    rows = row[order[starts]]
+    seen[rows] += n
+    # Rows met often are summed one by one, all others together: first visits, then second ones, and so on.
+    sums = gradient.take(order[starts], 0)
+    for k in np.flatnonzero(n > OFTEN).tolist():
+        sums[k] = np.add.reduce(gradient.take(order[starts[k] : starts[k] + n[k]], 0), axis=0)
+    some, visit = np.flatnonzero((n > 1) & (n <= OFTEN)), 1
+    while len(some):
+        sums[some] += gradient.take(order[starts[some] + visit], 0)
+        visit += 1
+        some = some[n[some] > visit]
     table[rows] -= RATE * sums / np.sqrt(seen[rows])[:, None].astype(np.float32)
 
 
