@@ -5,7 +5,7 @@ reports them; only reported files are read, so a lost or repeated attempt leaves
 
 The source plans one partition per file. Filters on the record type and on header fields are pushed down; a record's header
 is parsed first, and where the record is not wanted, or the payload is not (option ``payload`` = ``skip``), its block is passed
-over by a seek without being read, let alone decoded.
+over: by a seek in a plain file, unpacked but neither kept nor decoded in a compressed one.
 """
 
 from __future__ import annotations
@@ -52,10 +52,11 @@ def record_bytes(record_id: str, kind: str, uri: str | None, digest: str, length
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def write_warc(records: DataFrame, path: str | None = None, compress: bool = False, file_bytes: int = FILE_BYTES) -> DataFrame:
+def write_warc(records: DataFrame, path: str | None = None, compress: bool = True, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write records (record_id, warc_type, target_uri, payload_digest, refers_to, payload_length, payload); returns the manifest (file, records).
 
-    ``payload_digest`` is hex SHA-1. A null payload counts as empty. ``compress`` makes every record a gzip member of its own.
+    ``payload_digest`` is hex SHA-1. A null payload counts as empty. ``compress`` makes every record a gzip member of its own,
+    as archives mostly are: a fraction of the disk, but a reader has to unpack what it passes over; plain files are skipped by seeks.
     """
     path = path or new_path(records.sparkSession, "warc")
 
@@ -130,8 +131,13 @@ class _Input:
             self.place += n - here
             self.raw.seek(self.place)
             self.buffer, self.at = b"", 0
-        else:
-            self.take(n)
+        else:  # a packed file has to be unpacked to be passed over, but is not kept
+            while n > len(self.buffer) - self.at:
+                n -= len(self.buffer) - self.at
+                self.buffer, self.at = b"", 0
+                if not self._more():
+                    raise ValueError("a WARC record breaks off")
+            self.at += n
 
     def close(self) -> None:
         self.raw.close()
