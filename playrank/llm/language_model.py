@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playrank.llm.runs import key_runs, run_bounds
-from playrank.llm.text import chunks, mix, signed, span_hashes, words
+from playrank.llm.text import LOWER, chunks, mix, signed, span_hashes, words
 from playrank.session import materialize
 
 HEAD = 1 << 19  # words whose counts are broadcast: 8 MB at most
@@ -43,7 +43,7 @@ OFTEN = 24
 BLOCKS = 32  # parts in which table changes travel
 END = -4611686018427387847  # hash that stands for the end of a text
 
-#: Last byte of a word to one of 8 kinds: letter, stop, comma, mark, symbol, digit, bar, other.
+#: Last byte of a lower-cased word to one of 8 kinds: letter, stop, comma, mark, symbol, digit, bar, other.
 _KIND = np.full(256, 7, np.uint8)
 _KIND[[*range(97, 123), *range(128, 256)]] = 0
 _KIND[46] = 1
@@ -74,7 +74,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         spots[0::2], spots[1::2] = starts, ends
         padded = np.append(_TAIL[data], np.uint8(0))
         letters = np.maximum.reduceat(padded, spots)[0::2].astype(np.int64)
-        kinds[at] = np.where(letters > 0, 1 + letters % 7, 0) * 8 + _KIND[data[ends - 1]]
+        kinds[at] = np.where(letters > 0, 1 + letters % 7, 0) * 8 + _KIND[LOWER[data[ends - 1]]]
     begun = first + np.arange(docs + 1)
     hashes[begun[1:] - 1] = END
     return hashes, kinds, begun

@@ -16,10 +16,10 @@ CHUNK_BYTES = 1 << 20  # texts looked at together inside a task; one longer text
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_LOWER = np.arange(256)
-_LOWER[ord("A") : ord("Z") + 1] += 32
+LOWER = np.arange(256)
+LOWER[ord("A") : ord("Z") + 1] += 32
 _RANDOM = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_CASED, _LOWERED = _RANDOM, _RANDOM[_LOWER]
+_CASED, _LOWERED = _RANDOM, _RANDOM[LOWER]
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from playrank.llm.language_model import CLASS_WORDS, CLASSES, RARE, Tables, count_tokens, held_out, lexicon, score_texts, tokens
 
@@ -90,6 +91,22 @@ def test_probabilities_sum_to_one(make_docs, spark):
     assert total <= 1 + 1e-4 and (total > 0.9 or empty)
 
 
+def test_equal_tokens_share_a_rare_class(make_docs):
+    """Words in capitals too: a word's class holds its count whatever its case."""
+    text = "HEADING Heading heading É. é. NO, no, X x 7"
+    data = np.frombuffer(text.encode(), np.uint8)
+    hashes, kinds, _ = tokens(data, np.array([0, len(data)]))
+    assert len(set(zip(hashes.tolist(), kinds.tolist(), strict=True))) == len(set(hashes.tolist()))
+
+    texts = make_docs([(2, " ".join(f"w{i}x W{i}X" for i in range(2000)))]).select("text", held_out(F.col("doc_id")).alias("held_out"))
+    known = lexicon(count_tokens(texts))
+    data = np.frombuffer(" ".join(f"W{i}X" for i in range(2000)).encode(), np.uint8)
+    hashes, kinds, _ = tokens(data, np.array([0, len(data)]))
+    rare = known.model_id(hashes[:-1]) < 0
+    share = 2.5 / known.rare_mass[kinds[:-1][rare]]
+    assert rare.any() and share.sum() < 1
+
+
 def test_odd_rows(odd_docs):
     from odd_rows import ODD
 
