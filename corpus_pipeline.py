@@ -16,6 +16,7 @@ from playrank.llm.mixing import mixed_documents
 from playrank.llm.pieces import encode_digests
 from playrank.llm.quality_rules import filter_quality
 from playrank.llm.queries import public_model
+from playrank.llm.runs import ROW, keyed_rows
 from playrank.llm.set_join import jaccard_components
 from playrank.session import new_path
 
@@ -40,10 +41,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, stays of each group linked by 5-word shingles at 0.8 or more."""
-    groups = jaccard_components(docs, 5, 80)
-    first = groups.where("doc_id <=> component_id").select("doc_id").distinct().withColumnRenamed("doc_id", "_first")
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_first"]), "left_semi").select(*COLUMNS)
+    """One row stays of each group linked by 5-word shingles at 0.8 or more: that with the smallest id, null last.
+
+    Rows are told apart by a written key, so rows that repeat an id or have none are copies like all others.
+    """
+    rows = keyed_rows(docs.select(*COLUMNS))
+    groups = jaccard_components(rows.select(F.col(ROW).alias("doc_id"), "text"), 5, 80)
+    groups = groups.select(F.col("doc_id").alias(ROW), "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("text"), F.xxhash64("lang", "source", "n_chars").alias("others"), ROW)
+    placed = rows.select(ROW, place.alias("place")).join(groups, ROW)
+    first = placed.groupBy("component_id").agg(F.min("place").alias("place")).select(F.col(f"place.{ROW}").alias(ROW))
+    return rows.join(first, ROW, "left_semi").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

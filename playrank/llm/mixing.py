@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from playrank.llm.runs import ROW, keyed_rows
 from playrank.session import materialize
 
 BLOCKS = 256  # two hex digits of the order; a source with a third of all rows gives as many
@@ -80,19 +81,21 @@ def split_quotas(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> n
     return counts
 
 
-def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), percent: int = 150, most: int = 2, shards: int = 8, seed: str = "mix") -> DataFrame:
-    """(doc_id, source, size, source_size, target, draws) for every row of ``docs`` (doc_id, text, source, ...).
+def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), percent: int = 150, most: int = 2, shards: int = 8, seed: str = "mix", row: str | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, draws) and the column ``row``, if one is named, for every row of ``docs`` (doc_id, text, source, ...).
 
     ``draws`` is an array of (pass, words, shard, place): what the mix takes of the document and where it goes, ``place``
     being its shuffled sort key inside the shard. ``words`` below ``size`` is a passage from the document's start; there
     is one such cut per source, so every source gives its target rounded to a word. A null text has size 0, a null source
     is one source; repeated rows are rows of their own; an empty table gives no rows. Other columns are left aside. A
-    document of size 0 is never drawn.
+    document of size 0 is never drawn. Documents without an id are ordered by their texts.
     """
     spark = docs.sparkSession
-    key = F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string")))
     text = F.col("text").cast("string")
+    key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.md5(text))))
+    kept = [row] if row else []
     sized = docs.select(
+        *kept,
         "doc_id",
         F.col("source").cast("string").alias("source"),
         word_count(text).alias("size"),
@@ -141,7 +144,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), percent: int =
         return F.struct(draw["pass"].alias("pass"), draw["words"].alias("words"), shard.alias("shard"), place.alias("place"))
 
     draws = F.transform(F.filter(whole, lambda d: d["words"] > 0), dealt)
-    return outside.unionByName(inside).select("doc_id", "source", "size", "source_size", "target", draws.alias("draws"))
+    return outside.unionByName(inside).select("doc_id", "source", "size", "source_size", "target", draws.alias("draws"), *kept)
 
 
 def hash_seed(seed: str) -> int:
@@ -160,10 +163,11 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
 
     A draw that takes part of a document has its text cut after that many words. Writing it with
     ``repartition("_shard").sortWithinPartitions("_shard", "_place")`` gives the shuffled shards.
-    ``doc_id`` must be unique here, since the plan is brought back to the texts by it.
+    The plan is brought back to the texts by a written row key, so doc_id may repeat or be null.
     """
-    plan = mix_plan(docs, **options).select(F.col("doc_id").alias("__doc"), F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
     docs = docs.drop("_shard", "_place")
-    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["__doc"]))
+    rows = keyed_rows(docs)
+    plan = mix_plan(rows, row=ROW, **options).select(ROW, F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
+    joined = rows.join(plan, ROW)
     text = F.when(F.col("__draw.words") < F.col("__size"), first_words(F.col("text"), F.col("__draw.words"))).otherwise(F.col("text"))
-    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns], F.col("__draw.shard").alias("_shard"), F.col("__draw.place").alias("_place"))
+    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns], F.col("__draw.shard").alias("_shard"), F.col("__draw.place").alias("_place"))

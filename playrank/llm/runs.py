@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 
 from playrank.session import materialize
 
+ROW = "__row"  # key of a row, for tables whose doc_id may repeat or be null
+
+
+def keyed_rows(df: DataFrame) -> DataFrame:
+    """``df`` with a key per row in ``ROW``, written, so that every later read sees the same keys."""
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
 
 def key_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Complete runs of equal keys from batches sorted by ``keys`` (integer columns).

@@ -84,3 +84,18 @@ def test_odd_rows(odd_docs):
 def test_empty_and_wordless_tables(no_docs, make_docs):
     assert mix_plan(no_docs).count() == 0
     assert [r["draws"] for r in mix_plan(make_docs([(1, None), (2, "")])).collect()] == [[], []]
+
+
+def test_rows_that_share_an_id_or_have_none_are_mixed_as_rows_of_their_own(make_docs):
+    """Every row comes as often as its own draws say, never once per pair of rows."""
+    rows = [(7, "a b c d"), (7, "e f"), (7, "g h i"), *[(None, f"n{i} x{i} y{i}") for i in range(30)], *[(i, f"u{i} v{i}") for i in range(100, 130)]]
+    docs = make_docs([(*r, f"src{i % 2}") for i, r in enumerate(rows)])
+    got = mixed_documents(docs).collect()
+    words = sum(len(r["text"].split()) for r in got)
+    assert abs(words - 1.5 * sum(len(t.split()) for _, t in rows)) <= 2
+    originals, times = {t for _, t in rows}, {}
+    for r in got:
+        whole = next(t for t in originals if t == r["text"] or t.startswith(r["text"] + " "))
+        times[whole] = times.get(whole, 0) + 1
+    assert max(times.values()) <= 2
+    assert sum(r["text"] not in originals for r in got) <= 2  # one cut per source

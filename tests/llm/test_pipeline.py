@@ -100,3 +100,18 @@ def test_odd_rows_pass_every_stage(odd_docs, no_docs, spark):
     for docs in (odd_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES[1:]:
             assert stage(spark, docs, SF).count() >= 0
+
+
+def test_one_row_stays_of_repeated_and_null_ids(make_docs):
+    """Exact rows: copies go whatever their ids are, and all else stays."""
+    import corpus_pipeline
+
+    def text(k):
+        return " ".join(f"w{k}n{i}" for i in range(30))
+
+    docs = make_docs(
+        [(7, text(1)), (7, text(1)), (None, text(1)), (None, text(2)), (None, text(2)), (None, text(3)), (8, text(4)), (8, text(5)), (3, text(5) + " more"), (9, ""), (9, ""), (None, None)]
+    )
+    expected = [(7, text(1)), (None, text(2)), (None, text(3)), (8, text(4)), (3, text(5) + " more"), (9, ""), (9, ""), (None, None)]
+    for given in (docs, docs.repartition(5)):
+        assert rows(corpus_pipeline.near_copies(None, given, SF), "doc_id", "text") == sorted(expected, key=str)
