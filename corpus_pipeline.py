@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playrank.llm.line_dedup import dedup_lines
-from playrank.llm.mixing import mixed_documents
+from playrank.llm.mixing import in_shards, mixed_documents
 from playrank.llm.pieces import encode_digests
 from playrank.llm.quality_rules import filter_quality
 from playrank.llm.queries import public_model
@@ -55,8 +55,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: a document comes as often as the mix draws it."""
-    return _counted(mixed_documents(docs))
+    """Sources at their target weights: a document comes as often as the mix draws it, in the order of the shards."""
+    return _counted(in_shards(mixed_documents(docs)))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

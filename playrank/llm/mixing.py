@@ -112,11 +112,12 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), percent: int =
     quotas = materialize(targets.withColumn("passes", F.least(passes, F.lit(most))).withColumn("rest", quota - F.col("passes") * F.col("source_size")), "quotas")
 
     order = W.partitionBy("source").orderBy("b").rowsBetween(W.unboundedPreceding, -1)
-    placed = blocks.withColumn("before", F.coalesce(F.sum("words").over(order), F.lit(0)))
+    # ``i`` numbers the blocks a source has without gaps; further passes go on where the last one ended.
+    placed = blocks.withColumns({"before": F.coalesce(F.sum("words").over(order), F.lit(0)), "i": F.count("*").over(order), "held": F.count("*").over(W.partitionBy("source"))})
     same = lambda left, right: left["source"].eqNullSafe(right["source"])
     placed = placed.join(quotas, same(placed, quotas)).drop(quotas["source"])
     # Block numbers a source gives: all of them once per pass, then those the rest reaches into.
-    reached = F.count(F.when(F.col("before") < F.col("rest"), 1)) + F.first("passes") * F.lit(BLOCKS)
+    reached = F.count(F.when(F.col("before") < F.col("rest"), 1)) + F.first("passes") * F.count("*")
     given = placed.groupBy("source").agg(reached.alias("n")).orderBy(F.col("source").asc_nulls_last()).collect()  # one row per source
     counts = split_quotas(np.array([r["n"] for r in given], np.int64), shards, np.random.default_rng(abs(hash_seed(seed))))
     ends = [(r["source"], [int(x) for x in np.cumsum(c)[:-1]]) for r, c in zip(given, counts, strict=True)]
@@ -138,7 +139,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), percent: int =
     whole = F.transform(F.sequence(F.lit(0), F.lit(most)), lambda p: F.struct(p.alias("pass"), F.when(p < F.col("passes"), F.col("size")).when(p == F.col("passes"), F.col("partial")).otherwise(0).cast("bigint").alias("words")))
 
     def dealt(draw: Column) -> Column:
-        number = draw["pass"] * F.lit(BLOCKS) + F.col("b")
+        number = draw["pass"] * F.col("held") + F.col("i")
         shard = F.size(F.filter("ends", lambda e: e <= number))
         place = F.md5(F.concat_ws("|", F.lit(seed), draw["pass"].cast("string"), F.col("h")))
         return F.struct(draw["pass"].alias("pass"), draw["words"].alias("words"), shard.alias("shard"), place.alias("place"))
@@ -161,8 +162,7 @@ def first_words(text: Column, n: Column) -> Column:
 def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     """The mix itself: the columns of ``docs`` plus ``_shard`` and ``_place``, one row per draw.
 
-    A draw that takes part of a document has its text cut after that many words. Writing it with
-    ``repartition("_shard").sortWithinPartitions("_shard", "_place")`` gives the shuffled shards.
+    A draw that takes part of a document has its text cut after that many words. ``in_shards`` puts the rows in order.
     The plan is brought back to the texts by a written row key, so doc_id may repeat or be null.
     """
     docs = docs.drop("_shard", "_place")
@@ -171,3 +171,8 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     joined = rows.join(plan, ROW)
     text = F.when(F.col("__draw.words") < F.col("__size"), first_words(F.col("text"), F.col("__draw.words"))).otherwise(F.col("text"))
     return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns], F.col("__draw.shard").alias("_shard"), F.col("__draw.place").alias("_place"))
+
+
+def in_shards(mixed: DataFrame) -> DataFrame:
+    """Rows of ``mixed_documents`` shard by shard, each in its shuffled order; a shard may span several partitions."""
+    return mixed.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place")

@@ -1,6 +1,8 @@
+import hashlib
+
 import numpy as np
 
-from playrank.llm.mixing import mix_plan, mixed_documents, split_quotas
+from playrank.llm.mixing import hash_seed, in_shards, mix_plan, mixed_documents, split_quotas
 
 
 def resharing(sizes, weights, total, most):
@@ -99,3 +101,25 @@ def test_rows_that_share_an_id_or_have_none_are_mixed_as_rows_of_their_own(make_
         times[whole] = times.get(whole, 0) + 1
     assert max(times.values()) <= 2
     assert sum(r["text"] not in originals for r in got) <= 2  # one cut per source
+
+
+def test_blocks_are_dealt_as_the_tree_says(make_docs):
+    """Sources with few blocks too; the mix comes shard by shard in shuffled order."""
+    rows = [(i, "w " * (1 + i % 5), "few" if i < 7 else "some" if i < 60 else "many") for i in range(400)]
+    docs = make_docs(rows)
+    dealt, blocks = {}, {}
+    for r in mix_plan(docs).collect():
+        block = hashlib.md5(f"mix|{r['doc_id']}".encode()).hexdigest()[:2]
+        blocks.setdefault(r["source"], set()).add(block)
+        for d in r["draws"]:
+            assert dealt.setdefault((r["source"], d["pass"], block), d["shard"]) == d["shard"]
+    names = sorted(blocks)
+    given = np.array([sum(1 for s, _, _ in dealt if s == name) for name in names])
+    counts = np.zeros((len(names), 8), int)
+    for (s, _, _), shard in dealt.items():
+        counts[names.index(s), shard] += 1
+    assert (counts == split_quotas(given, 8, np.random.default_rng(hash_seed("mix")))).all()
+    assert counts.sum(0).max() - counts.sum(0).min() <= 1
+
+    order = [(r["_shard"], r["_place"]) for r in in_shards(mixed_documents(docs)).collect()]
+    assert order == sorted(order) and len({s for s, _ in order}) == 8
