@@ -5,9 +5,11 @@ classes; every other word is in one of ``RARE`` classes told from its bytes, and
 share of that class's counts, so all words together, known or not, sum to one. Features of a context are its last word
 (bigram), the word before it (skip), and both hashed (trigram); weights are fixed-size tables.
 
-Training is one data-parallel pass over all training texts: every task takes gradient steps on its own part from the exact
-unigram log counts and reports how far each table row moved; rows are averaged over the tasks that moved them. What is
-gathered grows with the number of tasks, while the model has the same size at any input.
+Training is one pass over all training texts, in rounds. Texts are dealt by hash to parts of ``PART_BYTES``; in a round every
+part takes gradient steps on its own from the tables of the round before, at first the exact unigram log counts, and
+reports how far each table row moved; rows are averaged over the parts that moved them. Rounds and the parts in each
+grow with the square root of the data, and the model follows from the data alone, not from splits or the cluster. The
+model has the same size at any input.
 
 Counts cover all training texts. The most frequent words' counts, up to ``HEAD`` of them, are broadcast; the counts of
 all others meet their documents in a join on the word.
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from playrank.llm.runs import key_runs, run_bounds
 from playrank.llm.text import LOWER, chunks, mix, signed, span_hashes, words
-from playrank.session import materialize
+from playrank.session import materialize, new_path
 
 HEAD = 1 << 19  # words whose counts are broadcast: 8 MB at most
 CLASSES, CLASS_WORDS = 16, 64
@@ -40,6 +42,7 @@ NEAR = WORDS + RARE + 1  # contexts of the word tables: a frequent word, a rare
 BATCH = 16_384
 RATE = 0.3
 OFTEN = 24
+PART_BYTES = 1 << 24  # text that one task learns from in a round
 BLOCKS = 32  # parts in which table changes travel
 END = -4611686018427387847  # hash that stands for the end of a text
 
@@ -270,33 +273,44 @@ def _descend(table: np.ndarray, seen: np.ndarray, row: np.ndarray, gradient: np.
     table[rows] -= RATE * sums / np.sqrt(seen[rows])[:, None].astype(np.float32)
 
 
-def train(texts: DataFrame, known: Lexicon) -> Tables:
-    """One pass of local gradient steps over all texts not held out, averaged per table row."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(known)
+def dealt_texts(texts: DataFrame, part_bytes: int) -> tuple[DataFrame | None, int]:
+    """(round, part, doc_id, text) of the texts to learn from, and the number of rounds.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Tables(shared.value)
-        seen = [np.zeros(len(t)) for t in model.all()]
-        for batch in batches:
-            for _, data, offsets in chunks(batch, "text"):
-                model.learn(*tokens(data, offsets), seen)
-        for number, (table, count) in enumerate(zip(model.all(), seen, strict=True)):
-            moved = np.flatnonzero(count)
-            for block in range(BLOCKS):
-                rows = moved[moved % BLOCKS == block]
-                if len(rows):
-                    raw = [rows.astype(np.int32).tobytes(), table[rows].astype(np.float16).tobytes()]
-                    yield pa.RecordBatch.from_arrays([pa.array([number * BLOCKS + block], pa.int32()), pa.array([raw[0]], pa.binary()), pa.array([raw[1]], pa.binary())], ["part", "rows", "change"])
+    Parts of about ``part_bytes`` follow from a hash of the rows, and their number from the bytes of all texts; there are
+    as many rounds as each has parts. More data means more rounds and more parts in each.
+    """
+    learned = texts.where(~F.col("held_out")).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    held = learned.agg(F.sum(F.octet_length("text") + F.lit(1)).alias("n")).first()["n"]
+    if not held:
+        return None, 0
+    parts = -(-held // part_bytes)
+    rounds = int(np.ceil(np.sqrt(parts)))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int")
+    dealt = learned.withColumn("part", part).withColumn("round", F.pmod("part", F.lit(rounds)).cast("int"))
+    path = new_path(texts.sparkSession, "dealt")
+    dealt.write.partitionBy("round").parquet(path)
+    return texts.sparkSession.read.schema(dealt.schema).parquet(path), rounds
+
+
+def train(texts: DataFrame, known: Lexicon, part_bytes: int = PART_BYTES) -> Tables:
+    """One pass over all texts not held out, in rounds that each start from the averaged tables of the one before."""
+    context = texts.sparkSession.sparkContext
+    model = Tables(known)
+    seen = [np.zeros(len(t)) for t in model.all()]
+    dealt, rounds = dealt_texts(texts, part_bytes)
+    shapes = [t.shape for t in model.all()]
+    schema = "part int, rows binary, change binary, seen binary"
+
+    def packed(part: int, rows: np.ndarray, change: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+        raw = [pa.array([x.tobytes()], pa.binary()) for x in (rows.astype(np.int32), change, count)]
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *raw], ["part", "rows", "change", "seen"])
 
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shapes = [t.shape for t in Tables(shared.value).all()]
-        current, total, times = None, None, None
+        current, total, count, times = None, None, None, None
 
         def result() -> pa.RecordBatch:
             rows = np.flatnonzero(times)
-            mean = (total[rows] / times[rows][:, None]).astype(np.float32)
-            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([rows.astype(np.int32).tobytes()], pa.binary()), pa.array([mean.tobytes()], pa.binary())], ["part", "rows", "change"])
+            return packed(current, rows, (total[rows] / times[rows][:, None]).astype(np.float32), count[rows] / times[rows])
 
         for batch in batches:  # sorted by part; one table block is added up at a time
             for k in range(batch.num_rows):
@@ -305,25 +319,49 @@ def train(texts: DataFrame, known: Lexicon) -> Tables:
                     if current is not None:
                         yield result()
                     shape = shapes[part // BLOCKS]
-                    current, total, times = part, np.zeros(shape), np.zeros(shape[0])
+                    current, total, count, times = part, np.zeros(shape), np.zeros(shape[0]), np.zeros(shape[0])
                 rows = np.frombuffer(batch.column("rows")[k].as_buffer(), np.int32)
                 total[rows] += np.frombuffer(batch.column("change")[k].as_buffer(), np.float16).reshape(len(rows), -1)
+                count[rows] += np.rint(np.frombuffer(batch.column("seen")[k].as_buffer(), np.float64))  # whole, so that the order of parts is of no matter
                 times[rows] += 1
         if current is not None:
             yield result()
 
-    schema = "part int, rows binary, change binary"
-    moved = texts.where(~F.col("held_out")).select("text").mapInArrow(run, schema)
-    summed = moved.repartition("part").sortWithinPartitions("part").mapInArrow(average, schema)
-    model = Tables(known)
-    for row in summed.toLocalIterator():  # at most one row per table block, 20 MB in all
-        table = model.all()[row["part"] // BLOCKS]
-        rows = np.frombuffer(row["rows"], np.int32)
-        table[rows] = np.frombuffer(row["change"], np.float32).reshape(len(rows), -1)
+    for turn in range(rounds):
+        shared = context.broadcast((model, seen))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            begin, before = shared.value
+            for table in key_runs(batches, ["part"]):
+                bounds = run_bounds(table["part"].to_numpy())
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    own, counts = Tables(begin.known), [c.copy() for c in before]
+                    for mine, start in zip(own.all(), begin.all(), strict=True):
+                        mine[:] = start
+                    # One batch per part, so steps do not depend on the size of Arrow batches.
+                    whole = pa.RecordBatch.from_arrays([table["text"].slice(a, b - a).cast(pa.large_string()).combine_chunks()], ["text"])
+                    for _, data, offsets in chunks(whole, "text"):
+                        own.learn(*tokens(data, offsets), counts)
+                    for number, (mine, start, count, old) in enumerate(zip(own.all(), begin.all(), counts, before, strict=True)):
+                        moved = np.flatnonzero(count > old)
+                        for block in range(BLOCKS):
+                            rows = moved[moved % BLOCKS == block]
+                            if len(rows):
+                                yield packed(number * BLOCKS + block, rows, (mine[rows] - start[rows]).astype(np.float16), count[rows])
+
+        given = dealt.where(F.col("round") == turn).select("part", "doc_id", "text", F.xxhash64("text").alias("h"))
+        given = given.repartition(2 * rounds, "part").sortWithinPartitions("part", "doc_id", "h").select("part", "text")
+        summed = given.mapInArrow(run, schema).repartition("part").sortWithinPartitions("part").mapInArrow(average, schema)
+        for row in summed.toLocalIterator():  # at most one row per table block, 20 MB in all
+            at = row["part"] // BLOCKS
+            rows = np.frombuffer(row["rows"], np.int32)
+            model.all()[at][rows] += np.frombuffer(row["change"], np.float32).reshape(len(rows), -1)
+            seen[at][rows] = np.frombuffer(row["seen"], np.float64)
+        shared.unpersist()
     return model
 
 
-def score_texts(docs: DataFrame, head_limit: int = HEAD) -> DataFrame:
+def score_texts(docs: DataFrame, head_limit: int = HEAD, part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs`` (doc_id, text, ...).
 
     ``base_score`` is the smoothed unigram log10 probability, ``score`` the model's. A null or empty text is its end alone.
@@ -334,7 +372,7 @@ def score_texts(docs: DataFrame, head_limit: int = HEAD) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out(F.col("doc_id")).alias("held_out"))
     counts = count_tokens(texts)
     known = lexicon(counts, head_limit)
-    model = spark.sparkContext.broadcast(train(texts, known))
+    model = spark.sparkContext.broadcast(train(texts, known, part_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.value

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from playrank.llm.language_model import CLASS_WORDS, CLASSES, RARE, Tables, count_tokens, held_out, lexicon, score_texts, tokens
+from playrank.llm.language_model import CLASS_WORDS, CLASSES, RARE, Tables, count_tokens, held_out, lexicon, score_texts, tokens, train
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -63,6 +63,16 @@ def test_model_beats_the_unigram_on_held_out_texts(make_docs):
     assert len(scored) > 100 and model > base + 0.1 * n
 
 
+def test_model_follows_from_the_data_alone(make_docs):
+    """Several rounds, whatever the splits; later rounds go on from earlier ones and gain from more texts."""
+    texts = make_docs(chain(1500)).select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    known = lexicon(count_tokens(texts))
+    one, other = (train(df, known, 40_000) for df in (texts.coalesce(1), texts.repartition(11)))
+    assert all(np.array_equal(x, y) for x, y in zip(one.all(), other.all(), strict=True))
+    few = train(texts.where("doc_id < 100"), known, 40_000)
+    assert np.abs(one.class_tables[0]).sum() > 1.2 * np.abs(few.class_tables[0]).sum()
+
+
 def test_probabilities_sum_to_one(make_docs, spark):
     from pyspark.sql import functions as F
 
