@@ -11,6 +11,7 @@ from playrank.llm.binary_search import search_codes, sign_code
 from playrank.llm.language_model import score_texts
 from playrank.llm.line_dedup import dedup_lines
 from playrank.llm.mixing import mix_plan
+from playrank.llm.packing import pack_documents
 from playrank.llm.personal_data import find_personal_data
 from playrank.llm.pieces import encode_digests
 from playrank.llm.quality_rules import judge_quality
@@ -227,3 +228,18 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def public_words() -> str:
+    """Place of the public word vocabulary on the driver; ``WORD_VOCABULARY`` names another."""
+    if given := os.environ.get("WORD_VOCABULARY"):
+        return given
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op13_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(table(spark, sf_dir, "documents"), public_words())
+    return pieces.select(F.col("doc_id").cast("bigint").alias("doc_id"), "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
