@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playrank.llm.binary_search import search_codes, sign_code
+from playrank.llm.collocations import mine_phrases, score_phrases
 from playrank.llm.language_model import score_texts
 from playrank.llm.line_dedup import dedup_lines
 from playrank.llm.mixing import mix_plan
@@ -19,6 +20,7 @@ from playrank.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from playrank.llm.set_join import jaccard_components
 from playrank.llm.sharding import shard_records
 from playrank.llm.warc import archive_pages
+from playrank.llm.whitening import whiten
 
 WORDS_SQL = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -243,3 +245,51 @@ def public_words() -> str:
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(table(spark, sf_dir, "documents"), public_words())
     return pieces.select(F.col("doc_id").cast("bigint").alias("doc_id"), "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op12_whitening")
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = whiten(table(spark, sf_dir, "embeddings"), components=32)
+    explained = F.array(*[F.lit(float(x)) for x in model.explained]) if len(model.values) else F.array().cast("array<double>")
+    placed = rows.select("vec_id", F.expr("try_cast(deviation AS bigint)").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    return placed.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.element_at(explained, F.col("at") + 1).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+PHRASES_SQL = rf"""
+    WITH pieces AS MATERIALIZED (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+        FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER_SQL}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents) x),
+    counts AS MATERIALIZED (
+        SELECT lang, m AS words, phrase, count(*)::BIGINT AS f
+        FROM (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+              FROM pieces, unnest([1, 2, 3, 4]) AS sizes(m)) x
+        GROUP BY ALL),
+    totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE words = 1 GROUP BY lang),
+    candidates AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS ws FROM counts WHERE words > 1 AND f >= 30),
+    inside AS MATERIALIZED (
+        SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(f) AS longer
+        FROM candidates, unnest([2, 3]) AS sizes(m), unnest([1, 2, 3]) AS places(i)
+        WHERE m < words AND i + m - 1 <= words GROUP BY ALL),
+    cuts AS (
+        SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.f) // (l.f::HUGEINT + r.f))::BIGINT AS score
+        FROM candidates c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase, unnest([1, 2, 3]) AS splits(k), counts l, counts r
+        WHERE k < c.words AND l.lang = c.lang AND l.phrase = array_to_string(c.ws[:k], ' ')
+          AND r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:], ' ')
+          AND (i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * c.f)),
+    worst AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM cuts),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst WHERE nth = 1)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+@query("op11_collocations", PHRASES_SQL)
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mined = mine_phrases(table(spark, sf_dir, "documents"), longest=4, min_count=30, cover=80)
+    return score_phrases(mined, top=2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
