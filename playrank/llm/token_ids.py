@@ -1,8 +1,9 @@
-"""Token ids of whole texts from a public ``tokenizers`` vocabulary, word by word with a table of known words.
+"""Token ids of whole texts from a public ``tokenizers`` vocabulary, with tables of what is known already.
 
 The vocabulary is one that lower-cases, drops white space and encodes every word on its own, marking the last token of a
 word. A word's ids are therefore the same wherever it stands, and they are asked from the library once per process:
-new words of a chunk go to it together, joined by spaces, and are told apart by the mark of their last tokens.
+new words go to it together, joined by spaces, and are told apart by the mark of their last tokens. Stretches between
+white space (a word with its punctuation, say) are cut into words once and then known as a whole.
 
 Only texts over plain Latin characters take that way, where the library's normalising and cutting is a fixed pattern.
 Any other text is handed to the library whole, so all ids are the library's.
@@ -17,7 +18,7 @@ from itertools import chain
 
 import numpy as np
 
-WORDS_KEPT = 400_000  # words known per process
+KEPT = 400_000  # words, and stretches, known per process
 WORD_END = "</w>"
 
 # The pattern that the vocabulary file cuts words by, over lower-cased characters below U+02B0.
@@ -31,6 +32,44 @@ _OTHER = re.compile("[^\x00-\x1b\x20-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u02
 FILE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+class _Known(dict):
+    """Numbers for strings in the order they are first asked for, and the ids of each."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+        self.ids = np.empty(0, np.uint32)
+        self.starts = np.zeros(1, np.int64)  # where each string's ids begin, and the end
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
+        return number
+
+    def numbers(self, keys: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The keys' numbers, and the keys whose ids must be given now by ``learn``."""
+        found = np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+        new, self.new = self.new, []
+        return found, new
+
+    def learn(self, ids: np.ndarray, stops: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.ids) + stops])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all strings one after the other, and where each begins (and the end)."""
+        first = self.starts[numbers]
+        bounds = np.zeros(len(numbers) + 1, np.int64)
+        np.cumsum(self.starts[numbers + 1] - first, out=bounds[1:])
+        at = np.repeat(first - bounds[:-1], np.diff(bounds))
+        at += np.arange(bounds[-1])
+        return self.ids[at], bounds
+
+
+def _per_group(bounds: np.ndarray, counts: list[int]) -> np.ndarray:
+    """Bounds of groups of ``counts`` neighbouring entries each."""
+    return bounds[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])]
+
+
 class TokenIds:
     """Encoder over the JSON text of a vocabulary file. Strings of special tokens inside a text are ordinary text."""
 
@@ -39,49 +78,44 @@ class TokenIds:
 
         self.library = Tokenizer.from_str(vocabulary)
         self.library.encode_special_tokens = True
-        described = json.loads(vocabulary)
-        self.by_word = _cuts_words(described)
-        n = self.library.get_vocab_size()
-        self.ends = np.zeros(n, bool)
+        self.by_word = _cuts_words(json.loads(vocabulary))
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)
         for piece, i in self.library.get_vocab().items():
             self.ends[i] = piece.endswith(WORD_END)
-        self._forget()
+        self.words, self.stretches = _Known(), _Known()
 
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.empty(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)  # where each known word's ids begin, and the end
-
-    def _learn(self, words: list[str]) -> None:
-        found = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
-        stops = np.flatnonzero(self.ends[found]) + 1
+    def _learn_words(self, words: list[str]) -> None:
+        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(words):
             raise RuntimeError("the vocabulary joins or splits words")
-        first = len(self.known)
-        self.known.update(zip(words, range(first, first + len(words)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.ids) + stops])
-        self.ids = np.concatenate([self.ids, found])
+        self.words.learn(ids, stops)
+
+    def _learn_stretches(self, stretches: list[str]) -> None:
+        parts = [_WORDS.findall(s) for s in stretches]
+        numbers, new = self.words.numbers(list(chain.from_iterable(parts)))
+        if new:
+            self._learn_words(new)
+        ids, bounds = self.words.gather(numbers)
+        self.stretches.learn(ids, _per_group(bounds, [len(p) for p in parts])[1:])
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids (uint32) of every text."""
         result: list[np.ndarray | None] = [None] * len(texts)
         plain = [k for k, t in enumerate(texts) if self.by_word and not _OTHER.search(t)]
         whole = sorted(set(range(len(texts))) - set(plain))
-        for k, e in zip(whole, self.library.encode_batch([texts[k] for k in whole], add_special_tokens=False), strict=True):
+        for k, e in zip(whole, self.library.encode_batch_fast([texts[k] for k in whole], add_special_tokens=False), strict=True):
             result[k] = np.array(e.ids, np.uint32)
-        words = [_WORDS.findall(texts[k].lower()) for k in plain]
-        every = list(chain.from_iterable(words))
-        if len(self.known) > WORDS_KEPT:
-            self._forget()
-        if new := [w for w in dict.fromkeys(every) if w not in self.known]:
-            self._learn(new)
-        code = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
-        size = self.starts[code + 1] - self.starts[code] if len(code) else code
-        before = np.concatenate([[0], np.cumsum(size)])
-        flat = self.ids[np.repeat(self.starts[code] - before[:-1], size) + np.arange(before[-1])] if len(code) else np.empty(0, np.uint32)
-        bounds = before[np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)]
+        if len(self.stretches) > KEPT or len(self.words) > KEPT:
+            self.words, self.stretches = _Known(), _Known()
+        parts = [texts[k].lower().split() for k in plain]
+        numbers, new = self.stretches.numbers(list(chain.from_iterable(parts)))
+        if new:
+            self._learn_stretches(new)
+        ids, bounds = self.stretches.gather(numbers)
+        bounds = _per_group(bounds, [len(p) for p in parts])
         for k, a, b in zip(plain, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            result[k] = flat[a:b]
+            result[k] = ids[a:b]
         return result
 
 
