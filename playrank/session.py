@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
         return _shared(spark, configured)
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
-        return existing
+        return _shared(spark, existing)
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="playrank-"))
@@ -57,6 +59,32 @@ def new_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recording() -> Iterator[list[str]]:
+    """Collects the paths of all tables that ``materialize`` writes meanwhile."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders[:] = [r for r in _recorders if r is not paths]
+
+
+def drop_tables(spark: SparkSession, paths: Iterable[str], keep: DataFrame | None = None) -> None:
+    """Delete tables that ``materialize`` wrote and no result needs any more; those that ``keep`` reads stay."""
+    paths = list(paths)
+    if not paths:
+        return
+    read = keep.inputFiles() if keep is not None else []
+    for path in paths:
+        if not any(f"{os.path.basename(path)}/" in file for file in read):
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
@@ -64,5 +92,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     table behind, so later steps prune columns, push filters down and count from footers.
     """
     path = new_path(df.sparkSession, name)
+    for paths in _recorders:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
