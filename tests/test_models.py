@@ -13,11 +13,11 @@ from playrank.operators.candidates import ranking_candidates
 from playrank.operators.evaluation import all_metrics, candidate_ndcg, ranker_metrics
 from playrank.operators.features import NUMERIC_FEATURES, build_features, contains_value
 from playrank.operators.interactions import ground_truth, history, item_index, item_sets
-from playrank.operators.mf import BprConfig, BprRecommender, bpr_step, draw_negatives
+from playrank.operators.mf import BprConfig, BprRecommender, bpr_step, negatives_in_block
 from playrank.operators.ranker import LambdaRanker, RankerConfig, bucketed, lambda_targets
 from playrank.operators.sampling import pair_negatives, sampled_candidates
 from playrank.operators.serving import active_users, serving_candidates, with_popular_fallback
-from playrank.operators.towers import TowerConfig, TwoTowerRecommender, init_tower, loss_and_gradient
+from playrank.operators.towers import TowerConfig, TwoTowerRecommender, block_gradient, forward, init_tower, log_sum, loss_and_gradient, merged_log_sum
 from playrank.sources.models import load_vocabulary, save_vocabulary
 
 # A games evening: everybody has played some of four games, and each held-out game is new to the player.
@@ -194,10 +194,13 @@ def test_saved_models_recommend_the_same(spark, tmp_path):
     assert load_vocabulary(spark, path) == ["b", "a", "Unknown"]
 
 
-def test_factors_do_not_depend_on_batches_or_tasks(spark, monkeypatch):
+@pytest.mark.parametrize(("block", "sums"), [(50_000, 64), (9, 2)])
+def test_factors_do_not_depend_on_batches_or_tasks(spark, monkeypatch, block, sums):
     import playrank.operators.mf as module
 
     monkeypatch.setattr(module, "PAIRS_PER_PART", 100)
+    monkeypatch.setattr(module, "BLOCK_ITEMS", block)
+    monkeypatch.setattr(module, "SUMS_PER_KEY", sums)
     _, _, train, _ = crowd(spark)
 
     def factors():
@@ -219,8 +222,8 @@ def test_factors_do_not_depend_on_batches_or_tasks(spark, monkeypatch):
 
 
 def test_negatives_are_uniform_over_what_is_unseen():
-    own = np.array([0, 3, 4, 9] * 5000)
-    drawn = draw_negatives(np.random.default_rng(1), np.repeat(np.arange(5000), 4), own, 10)
+    own, u = np.array([0, 3, 4, 9] * 5000), np.repeat(np.arange(5000), 4)
+    drawn = negatives_in_block(np.random.default_rng(1), u, 5000, u, own, 10)
     counts = np.bincount(drawn, minlength=10)
     assert counts[[0, 3, 4, 9]].sum() == 0 and abs(counts[[1, 2, 5, 6, 7, 8]] / len(drawn) - 1 / 6).max() < 0.02
 
@@ -248,8 +251,26 @@ def test_bpr_step_by_hand():
 
 def test_draw_negatives_leaves_full_users_out():
     u, own = np.array([0, 0, 0, 1]), np.array([0, 1, 2, 1])
-    drawn = draw_negatives(np.random.default_rng(0), u, own, 3)
+    drawn = negatives_in_block(np.random.default_rng(0), u, 3, u, own, 3)
     assert list(drawn[:3]) == [-1, -1, -1] and drawn[3] in (0, 2)
+    # A user without items in the block may get any of its places.
+    assert set(negatives_in_block(np.random.default_rng(0), np.full(200, 2), 3, u, own, 3)) == {0, 1, 2}
+
+
+def test_every_stratum_trains_its_pairs_against_all_items(spark, planted, monkeypatch):
+    """Over the turns of an epoch each pair is a positive once, and negatives come from every block."""
+    import playrank.operators.mf as module
+
+    monkeypatch.setattr(module, "BLOCK_ITEMS", 9)
+    monkeypatch.setattr(module, "PAIRS_PER_PART", 400)
+    train, _, _ = planted
+    model = BprRecommender(BprConfig(n_factors=4, epochs=1, init_scale=0.1, learning_rate=1e-9, reg=0.0)).fit(train)
+    # So small a step moves an item's bias by half a step per positive or negative it was in.
+    moved = {r["item_id"]: r["bias"] / 0.5e-9 for r in model.item_factors.collect()}
+    assert len(moved) == 40 and all(v != 0 for v in moved.values())
+    positives = train.groupBy("item_id").count().collect()
+    parts = -(-sum(r["count"] for r in positives) // 400)
+    assert abs(sum(moved.values())) < 0.2 * sum(r["count"] for r in positives) / parts
 
 
 @pytest.fixture(scope="module")
@@ -269,15 +290,21 @@ def planted(spark):
     return frame(rows), frame(held), catalog
 
 
-@pytest.mark.parametrize("name", ["bpr", "towers"])
-def test_trained_models_beat_random_on_planted_taste(spark, planted, name):
+@pytest.mark.parametrize("name", ["bpr", "towers", "bpr in blocks", "towers in blocks"])
+def test_trained_models_beat_random_on_planted_taste(spark, planted, monkeypatch, name):
+    import playrank.operators.mf as mf
+    import playrank.operators.towers as towers
+
+    if name.endswith("in blocks"):
+        monkeypatch.setattr(mf, "BLOCK_ITEMS", 15)
+        monkeypatch.setattr(towers, "BLOCK_ITEMS", 15)
     train, held, catalog = planted
     truth = ground_truth(held)
     random_recs = RandomRecommender().fit(train).recommend(truth, history(train), 10)
-    if name == "bpr":
+    if name.startswith("bpr"):
         model = BprRecommender(BprConfig(n_factors=8, epochs=6, init_scale=0.1, batch_size=64)).fit(train)
     else:
-        model = TwoTowerRecommender(TowerConfig(out_dim=8, hidden_dim=16, epochs=6, batch_size=64, learning_rate=0.01)).fit(train, catalog)
+        model = TwoTowerRecommender(TowerConfig(out_dim=8, hidden_dim=16, epochs=8, batch_size=600, learning_rate=0.03)).fit(train, catalog)
         assert model.losses[-1] < model.losses[0]
     score = lambda recs: all_metrics(recs, truth, truth.select("user_id").distinct(), train.select("item_id").distinct(), 10, 10).first()["recall"]
     assert score(model.recommend(truth, history(train), 10)) > 1.3 * score(random_recs)
@@ -299,6 +326,43 @@ def test_tower_gradient_by_finite_difference():
         assert grads[n][at] == pytest.approx((values[0] - values[1]) / 2e-5, abs=1e-6)
 
 
+@pytest.mark.parametrize("size", [1, 2, 4, 7, 23, 40])
+def test_blocks_add_up_to_the_dense_softmax(size):
+    rng = np.random.default_rng(size)
+    user_net, item_net = init_tower(rng, [3, 6, 4, 5]), init_tower(rng, [4, 6, 4, 5])
+    x, items, target = rng.normal(size=(11, 3)), rng.normal(size=(23, 4)), rng.integers(0, 23, 11)
+    keep = rng.random((11, 6)) * 2, rng.random((23, 6)) * 2
+    loss, grads = loss_and_gradient(user_net, item_net, x, items, target, 0.07, 0.1, keep)
+    blocks = [np.arange(a, min(a + size, 23)) for a in range(0, 23, size)]
+    u = forward(user_net, x, keep[0])[0]
+    logs = merged_log_sum(np.stack([log_sum(u, forward(item_net, items[b], keep[1][b])[0], 0.07) for b in blocks]))
+    parts = []
+    for b in blocks:
+        inside = np.where((target >= b[0]) & (target <= b[-1]), target - b[0], -1)
+        parts.append(block_gradient(user_net, item_net, x, items[b], inside, logs, 0.07, 0.1, (keep[0], keep[1][b])))
+    assert sum(p[0] for p in parts) / 11 == pytest.approx(loss, rel=1e-12)
+    for n, grad in enumerate(grads):
+        assert np.allclose(sum(p[1][n] for p in parts) / 11, grad, atol=1e-13)
+
+
+def test_towers_do_not_depend_on_blocks(spark, planted, monkeypatch):
+    import playrank.operators.towers as module
+
+    train, _, catalog = planted
+    cfg = TowerConfig(out_dim=4, hidden_dim=8, epochs=2, batch_size=500, dropout=0.0)
+
+    def vectors(block, pairs):
+        monkeypatch.setattr(module, "BLOCK_ITEMS", block)
+        monkeypatch.setattr(module, "PAIRS_PER_PART", pairs)
+        model = TwoTowerRecommender(cfg).fit(train, catalog)
+        return model.losses, {r["item_id"]: r["vec"] for r in model.item_vectors.collect()}
+
+    losses, whole = vectors(8192, 700)
+    again, blocked = vectors(11, 700)
+    assert np.allclose(losses, again, atol=1e-4) and whole.keys() == blocked.keys()
+    assert all(np.allclose(whole[i], blocked[i], atol=1e-3) for i in whole)
+
+
 def brute_lambdas(rows, k, truncation):
     rows = sorted(rows, key=lambda r: (-r[2], r[0]))
     ideal = sum(1 / math.log2(n + 2) for n in range(min(k, sum(r[1] for r in rows))))
