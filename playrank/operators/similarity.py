@@ -1,130 +1,256 @@
-"""Exact top-k scoring of user vectors against item vectors."""
+"""Exact top-k scoring of user vectors against item vectors, skipping what cannot reach a list.
+
+Inside a task the items stand in groups of near vectors. A group's centre, radius, greatest length and greatest bias bound
+every score in it, so a user skips the groups that cannot beat its k-th score so far. Where the items make several
+blocks, the block of the longest vectors goes first, and users meet only those further blocks whose bound can still beat
+their k-th score. Bounds decide only what is left out unseen; results are those of scoring everything.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playrank.functions.arrow import lengths, matrix
+from playrank.functions.arrow import matrix
 from playrank.functions.vectors import l2_normalize, mean_vector
 from playrank.operators.relational import lookup_join, top_k_per_group
 from playrank.session import materialize
 
 BLOCK_ITEMS = 100_000  # items whose vectors a task holds together; 51 MB at 64 dimensions
-PART_USERS = 100_000
-SCORE_CELLS = 4_000_000  # users x items scored at once inside a task
+GROUP_ITEMS = 128
+USERS_AT_ONCE = 2048
+ROUNDING = 1e-9  # by which bounds are widened
+ITEM, USER, SEEN = 0, 1, 2  # kinds of rows that a task gets
+
+
+@dataclass(frozen=True)
+class Groups:
+    """Items of a block in groups of near vectors."""
+
+    members: list[np.ndarray]  # places of the items, rising
+    vectors: list[np.ndarray]
+    biases: list[np.ndarray]
+    centre: np.ndarray
+    radius: np.ndarray
+    length: np.ndarray
+    bias: np.ndarray
+    n: int
+
 
+def group_items(vectors: np.ndarray, bias: np.ndarray) -> Groups:
+    """Bands of like length, in each of which an item joins the nearest of some pivots."""
+    n = len(vectors)
+    lengths = np.linalg.norm(vectors, axis=1)
+    wanted = max(1, n // GROUP_ITEMS)
+    members: list[np.ndarray] = []
+    for band in np.array_split(np.argsort(-lengths, kind="stable"), max(1, round(wanted**0.5))):
+        held = vectors[band]
+        pivots = held[np.linspace(0, len(band) - 1, max(1, len(band) // GROUP_ITEMS)).astype(np.int64)]
+        nearest = np.empty(len(band), np.int64)
+        for at in range(0, len(band), 4096):
+            nearest[at : at + 4096] = (np.square(pivots).sum(1) - 2.0 * (held[at : at + 4096] @ pivots.T)).argmin(1)
+        members += [np.sort(band[nearest == g]) for g in np.unique(nearest)]
+    centre = np.stack([vectors[m].mean(0) for m in members])
+    radius = np.array([np.linalg.norm(vectors[m] - c, axis=1).max() for m, c in zip(members, centre, strict=True)])
+    return Groups(members, [vectors[m] for m in members], [bias[m] for m in members], centre, radius, np.array([lengths[m].max() for m in members]), np.array([bias[m].max() for m in members]), n)
 
-def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, column and rank of the k largest finite scores per row; ties go to the lower column."""
-    k = min(k, scores.shape[1])
-    kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-    rows, cols = np.nonzero((scores >= kth) & np.isfinite(scores))
-    order = np.lexsort((cols, -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
+
+def _cut(rows: np.ndarray, cols: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The k best entries of every row, in order, and their places from 0; ties go to the lower column."""
+    order = np.lexsort((cols, -scores, rows))
+    rows, cols, scores = rows[order], cols[order], scores[order]
     place = np.arange(len(rows)) - np.searchsorted(rows, rows)
     keep = place < k
-    return rows[keep], cols[keep], place[keep] + 1
+    return rows[keep], cols[keep], scores[keep], place[keep]
+
+
+def pruned_top_k(users: np.ndarray, groups: Groups, k: int, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """(row, column, score, place) of every user's k best items, and how many (user, group) pairs were skipped.
+
+    ``seen`` holds ``row * n + column`` of what is left out, sorted.
+    """
+    m = len(users)
+    length = np.linalg.norm(users, axis=1)[:, None]
+    bound = np.minimum(users @ groups.centre.T + length * groups.radius, length * groups.length) + groups.bias
+    bound += ROUNDING * (1.0 + np.abs(bound))
+    kth = np.full(m, -np.inf)
+    found = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+    waiting: list[tuple] = []
+    held = skipped = 0
+
+    def settle() -> None:
+        nonlocal found, waiting, held
+        parts = [found[:3], *waiting]
+        found = _cut(*(np.concatenate([p[c] for p in parts]) for c in range(3)), k)
+        last = found[3] == k - 1
+        kth[found[0][last]] = found[2][last]
+        waiting, held = [], 0
 
+    def unseen(row: np.ndarray, col: np.ndarray) -> np.ndarray:
+        key = row * groups.n + col
+        return seen[np.minimum(np.searchsorted(seen, key), len(seen) - 1)] != key if len(seen) else np.ones(len(row), bool)
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], bool, pa.RecordBatch]]:
-    """Slices of sorted batches with one (part, block) and one kind of row each."""
-    for batch in batches:
-        if not batch.num_rows:
+    order = np.argsort(-bound.mean(0), kind="stable")
+    # All users meet the first groups, enough of them for a first k-th score.
+    start = int(np.searchsorted(np.cumsum([len(groups.members[g]) for g in order]), min(4 * k, groups.n))) + 1
+    cols = np.concatenate([groups.members[g] for g in order[:start]])
+    scores = np.concatenate([users @ groups.vectors[g].T + groups.biases[g] for g in order[:start]], axis=1)
+    if len(seen):
+        where = np.full(groups.n, -1)
+        where[cols] = np.arange(len(cols))
+        place = where[seen % groups.n]
+        scores[(seen // groups.n)[place >= 0], place[place >= 0]] = -np.inf
+    if scores.shape[1] > k:
+        least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+        row, col = np.nonzero((scores >= least) & np.isfinite(scores))
+    else:
+        row, col = np.nonzero(np.isfinite(scores))
+    waiting.append((row, cols[col], scores[row, col]))
+    settle()
+    for g in order[start:]:
+        active = np.flatnonzero(bound[:, g] >= kth)
+        skipped += m - len(active)
+        if not len(active):
             continue
-        part, block, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "block", "is_user"))
-        change = np.flatnonzero((part[1:] != part[:-1]) | (block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) + 1
-        bounds = [0, *change.tolist(), batch.num_rows]
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            yield (int(part[a]), int(block[a])), bool(kind[a]), batch.slice(a, b - a)
+        scores = (users if len(active) == m else users[active]) @ groups.vectors[g].T + groups.biases[g]
+        row, col = np.nonzero(scores >= kth[active][:, None])
+        value, row, col = scores[row, col], active[row], groups.members[g][col]
+        fresh = unseen(row, col)
+        waiting.append((row[fresh], col[fresh], value[fresh]))
+        held += int(fresh.sum())
+        if held > m * k:
+            settle()
+    settle()
+    return *found, skipped
+
 
+def _task(k: int):
+    """Top k of the users of a task, block by block: a block's items stand first, then each user before what it has seen."""
 
-def _score(k: int):
-    """Each part's users against the item block that stands before them; top k per user and block."""
+    def score(ready: tuple, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        item_ids, groups = ready
+        kind = rows["kind"].to_numpy()
+        at = np.flatnonzero(kind == USER)
+        if not len(at):
+            return
+        asked = rows.take(pa.array(at))
+        names = asked["user_id"].combine_chunks()
+        vectors = matrix(asked["vec"])
+        owner = np.cumsum(kind == USER) - 1
+        listed = np.flatnonzero((kind == SEEN) & (owner >= 0))
+        marks = rows.take(pa.array(listed))
+        same = pc.fill_null(pc.equal(marks["user_id"].combine_chunks(), names.take(pa.array(owner[listed]))), False)
+        place = pc.index_in(marks["item_id"].combine_chunks(), item_ids)
+        known = np.flatnonzero(pc.and_(same, place.is_valid()).to_numpy(zero_copy_only=False))
+        who, what = owner[listed][known], place.fill_null(0).to_numpy(zero_copy_only=False)[known].astype(np.int64)
+        seen = np.unique(who * groups.n + what)
+        for start in range(0, len(at), USERS_AT_ONCE):
+            stop = min(start + USERS_AT_ONCE, len(at))
+            mine = seen[np.searchsorted(seen, start * groups.n) : np.searchsorted(seen, stop * groups.n)] - start * groups.n
+            row, col, value, nth, _ = pruned_top_k(vectors[start:stop], groups, k, mine)
+            found = [names.take(pa.array(row + start)), pa.array((nth + 1).astype(np.int32)), item_ids.take(pa.array(col)), pa.array(value)]
+            yield pa.RecordBatch.from_arrays(found, ["user_id", "rank", "item_id", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held, ready = None, [], None
-        for key, is_user, rows in _pieces(batches):
-            if key != current:
-                current, held, ready = key, [], None
-            if not is_user:
-                held.append(rows)
+        block, items, ready, waiting = None, [], None, []
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            if not held:
-                continue
-            if ready is None:  # at most a block of items
-                items = pa.Table.from_batches(held)
-                ready = items["item_id"].combine_chunks(), matrix(items["vec"]), items["bias"].to_numpy()
-            item_ids, vectors, bias = ready
-            step = max(1, SCORE_CELLS // len(item_ids))
-            for start in range(0, rows.num_rows, step):
-                users = rows.slice(start, step)
-                scores = matrix(users.column("vec")) @ vectors.T + bias
-                seen = users.column("seen")
-                place = pc.index_in(seen.flatten(), item_ids)
-                known = np.flatnonzero(place.is_valid().to_numpy(zero_copy_only=False))
-                owner = np.repeat(np.arange(len(seen)), lengths(seen))
-                scores[owner[known], place.fill_null(0).to_numpy(zero_copy_only=False)[known]] = -np.inf
-                row, col, ranks = _best(scores, k)
-                found = [users.column("user_id").take(pa.array(row)), pa.array(ranks.astype(np.int32)), item_ids.take(pa.array(col))]
-                yield pa.RecordBatch.from_arrays([*found, pa.array(scores[row, col])], ["user_id", "rank", "item_id", "score"])
+            blocks, kinds = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
+            change = np.flatnonzero((blocks[1:] != blocks[:-1]) | ((kinds[1:] == ITEM) != (kinds[:-1] == ITEM))) + 1
+            bounds = [0, *change.tolist(), batch.num_rows]
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                if int(blocks[a]) != block:
+                    if waiting and ready:
+                        yield from score(ready, pa.Table.from_batches(waiting))
+                    block, items, ready, waiting = int(blocks[a]), [], None, []
+                if kinds[a] == ITEM:
+                    items.append(batch.slice(a, b - a))
+                    continue
+                if ready is None and items:  # at most a block of items
+                    table = pa.Table.from_batches(items)
+                    ready = table["item_id"].combine_chunks(), group_items(matrix(table["vec"]), table["bias"].to_numpy())
+                waiting.append(batch.slice(a, b - a))
+                users = np.flatnonzero(kinds[a:b] == USER)
+                # The last user's list may go on in the next batch.
+                if ready and len(users) and sum(w.num_rows for w in waiting) >= USERS_AT_ONCE:
+                    cut = int(users[-1])
+                    yield from score(ready, pa.Table.from_batches([*waiting[:-1], waiting[-1].slice(0, cut)]))
+                    waiting = [waiting[-1].slice(cut)]
+        if waiting and ready:
+            yield from score(ready, pa.Table.from_batches(waiting))
 
     return run
 
 
+def _length(vector: str) -> Column:
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x))
+
+
 def score_top_k(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None) -> DataFrame:
     """(user_id, rank, item_id, score) by ``vec . vec + bias``, seen items left out.
 
-    ``users`` is (user_id, vec); ``items`` is (item_id, vec[, bias]). Items are dealt into blocks
-    of about ``BLOCK_ITEMS`` and users into parts; every part meets every block as rows of one
-    shuffle, so neither side is gathered anywhere and a task holds one block. Each block yields its own top
-    k per user, and with several blocks the final top k is taken from their union, which is exact.
+    ``users`` is (user_id, vec); ``items`` is (item_id, vec[, bias]); ``seen`` may name other users and items too. Items
+    are dealt by length into blocks of about ``BLOCK_ITEMS`` and users into parts by id. Items, users and what they have
+    seen meet as rows of one shuffle, so neither side is gathered anywhere and a task holds one block. With several
+    blocks, users first meet that of the longest vectors and then only those that can still change their lists.
     """
     spark = users.sparkSession
     user_type, item_type = users.schema["user_id"].dataType, items.schema["item_id"].dataType
     if "bias" not in items.columns:
         items = items.withColumn("bias", F.lit(0.0))
-    items = materialize(items.select("item_id", F.col("vec").cast("array<double>").alias("vec"), F.col("bias").cast("double").alias("bias")), "scored_items")
-    users = materialize(users.select("user_id", F.col("vec").cast("array<double>").alias("vec")), "scored_users")
-    n_items, n_users = items.count(), users.count()  # from the files' footers
-    schema = T.StructType(
-        [
-            T.StructField("user_id", user_type),
-            T.StructField("rank", T.IntegerType()),
-            T.StructField("item_id", item_type),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    if n_items == 0 or n_users == 0:
+    items = items.select("item_id", F.col("vec").cast("array<double>").alias("vec"), F.col("bias").cast("double").alias("bias"))
+    items = materialize(items, "scored_items")
+    users = users.select("user_id", F.col("vec").cast("array<double>").alias("vec"))
+    seen = seen.select("user_id", "item_id") if seen is not None else spark.createDataFrame([], T.StructType([T.StructField("user_id", user_type), T.StructField("item_id", item_type)]))
+    n_items = items.count()  # from the files' footers
+    schema = T.StructType([T.StructField("user_id", user_type), T.StructField("rank", T.IntegerType()), T.StructField("item_id", item_type), T.StructField("score", T.DoubleType())])
+    if n_items == 0:
         return spark.createDataFrame([], schema)
     n_blocks = -(-n_items // BLOCK_ITEMS)
-    # Scoring is bound by compute: parts for all cores, and more where there are many users.
-    n_parts = max(min(spark.sparkContext.defaultParallelism, n_users), -(-n_users // PART_USERS))
-    part = F.pmod(F.xxhash64("user_id"), F.lit(n_parts)).cast("int").alias("part")
-    block_of = F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)).cast("int").alias("block")
-    each = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-
-    asked = users.select("user_id", "vec", part, each(n_blocks, "block"))
-    if seen is None:
-        asked = asked.withColumn("seen", F.lit(None).cast(T.ArrayType(item_type)))
-    else:  # distinct items of one block, so never more than it holds
-        lists = seen.select("user_id", "item_id").distinct().withColumn("block", block_of).groupBy("user_id", "block").agg(F.collect_list("item_id").alias("seen"))
-        asked = asked.join(lists, ["user_id", "block"], "left")
+    # Tasks stream their users, so parts need not follow their number.
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     absent = lambda c, kind: F.lit(None).cast(kind).alias(c)
-    user_rows = asked.select("part", "block", F.lit(True).alias("is_user"), "user_id", absent("item_id", item_type), "vec", absent("bias", "double"), "seen")
-    item_rows = items.select(each(n_parts, "part"), block_of, F.lit(False).alias("is_user"), absent("user_id", user_type), "item_id", "vec", "bias", absent("seen", T.ArrayType(item_type)))
-    keys = ["part", "block", "is_user"]
-    dealt = item_rows.unionByName(user_rows).repartitionByRange(n_parts * n_blocks, "part", "block").sortWithinPartitions(*keys, "item_id")
-    parts = dealt.mapInArrow(_score(k), schema)
+    part = F.pmod(F.xxhash64("user_id"), F.lit(n_parts)).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1)))
+
+    def meet(items: DataFrame, users: DataFrame, seen: DataFrame, blocks: int) -> DataFrame:
+        """All take a ``block``; the best k of each user in each block."""
+        item_rows = items.select("block", parts.alias("part"), F.lit(ITEM).alias("kind"), absent("user_id", user_type), "item_id", "vec", "bias")
+        user_rows = users.select("block", part.alias("part"), F.lit(USER).alias("kind"), "user_id", absent("item_id", item_type), "vec", absent("bias", "double"))
+        seen_rows = seen.select("block", part.alias("part"), F.lit(SEEN).alias("kind"), "user_id", "item_id", absent("vec", "array<double>"), absent("bias", "double"))
+        rows = item_rows.unionByName(user_rows).unionByName(seen_rows).withColumn("task", (F.col("part") * blocks + F.col("block")).cast("int"))
+        rows = rows.repartitionById(n_parts * blocks, "task").drop("task", "part")
+        return rows.sortWithinPartitions("block", F.col("kind") != ITEM, "user_id", "kind", "item_id").mapInArrow(_task(k), schema)
+
     if n_blocks == 1:
-        return parts
-    best = top_k_per_group(parts.drop("rank"), "user_id", [F.col("score").desc(), F.col("item_id").asc()], k)
+        one = F.lit(0).alias("block")
+        return meet(items.select("*", one), users.select("*", one), seen.select("*", one), 1)
+
+    # Blocks by length and bias; where the cuts lie decides speed alone.
+    placed = items.withColumn("reach", _length("vec") + F.abs("bias"))
+    cuts = placed.agg(F.percentile_approx("reach", [1 - (b + 1) / n_blocks for b in range(n_blocks - 1)], 10_000)).first()[0]
+    block = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: F.col("reach") < c))
+    placed = materialize(placed.withColumn("block", block).drop("reach"), "item_blocks")
+    reach = {r["block"]: (r["length"], r["bias"]) for r in placed.groupBy("block").agg(F.max(_length("vec")).alias("length"), F.max("bias").alias("bias")).collect()}  # n_blocks rows
+    first, *others = sorted(reach)
+    users = materialize(users, "scored_users")
+    where = lookup_join(seen, placed.select("item_id", "block"), "item_id", "user_id", "inner")
+    where = materialize(where.join(users.select("user_id"), "user_id", "left_semi"), "seen_in_blocks")
+    ahead = materialize(meet(placed.where(F.col("block") == first), users.withColumn("block", F.lit(first)), where.where(F.col("block") == first), n_blocks), "first_block")
+    kth = ahead.where(F.col("rank") == k).select("user_id", F.col("score").alias("kth"))
+    reached = [F.when(F.coalesce(F.col("kth") <= (F.col("length") * reach[b][0] + reach[b][1]) * 1.0 + (F.col("length") * reach[b][0] + abs(reach[b][1]) + 1.0) * ROUNDING, F.lit(True)), b) for b in others]
+    open_to = F.filter(F.array(*reached), lambda b: b.isNotNull()) if others else F.array().cast("array<int>")
+    asked = users.join(kth, "user_id", "left").withColumn("length", _length("vec")).select("user_id", "vec", F.explode(open_to).alias("block"))
+    rest = meet(placed.where(F.col("block") != first), asked, where.where(F.col("block") != first), n_blocks)
+    best = top_k_per_group(ahead.unionByName(rest).drop("rank"), "user_id", [F.col("score").desc(), F.col("item_id").asc()], k)
     return best.select("user_id", "rank", "item_id", "score")
 
 
@@ -142,8 +268,7 @@ def recommend_from_vectors(users: DataFrame, user_vectors: DataFrame, items: Dat
     ``history=None`` leaves seen items in, as plain vector search does.
     """
     known = user_vectors.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    asked = history.join(known.select("user_id"), "user_id", "left_semi") if history is not None else None
-    return score_top_k(known, items, k, asked)
+    return score_top_k(known, items, k, history)
 
 
 def mean_item_vectors(pairs: DataFrame, items: DataFrame, dim: int) -> DataFrame:

@@ -106,17 +106,49 @@ def test_one_positive_and_negatives(spark):
     assert {r["user_id"] for r in rows} == {0, 3}
 
 
-@pytest.mark.parametrize("block", [100_000, 7])
-def test_scoring_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "batch"), [(100_000, 10_000), (7, 10_000), (100_000, 9), (4, 3)])
+def test_scoring_equals_brute_force(spark, monkeypatch, block, batch):
     monkeypatch.setattr(similarity, "BLOCK_ITEMS", block)
-    monkeypatch.setattr(similarity, "SCORE_CELLS", 40)
+    monkeypatch.setattr(similarity, "GROUP_ITEMS", 3)
+    monkeypatch.setattr(similarity, "USERS_AT_ONCE", 4)
     rng = np.random.default_rng(0)
-    users, items = rng.integers(-2, 3, (30, 4)).astype(float), rng.integers(-2, 3, (25, 4)).astype(float)
+    users, items, bias = rng.integers(-2, 3, (30, 4)).astype(float), rng.integers(-2, 3, (25, 4)).astype(float), rng.integers(-3, 4, 25).astype(float)
     seen, _, train, _ = crowd(spark, 30)
-    u = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(users)], "user_id int, vec array<double>")
-    i = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(items)], "item_id int, vec array<double>")
-    expected = {n: [c for c in np.lexsort((np.arange(25), -(items @ v))) if c not in seen[n]][:6] for n, v in enumerate(users)}
-    assert lists(similarity.score_top_k(u, i, 6, history(train))) == {n: v for n, v in expected.items() if v}
+    u = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(users) if n != 5], "user_id int, vec array<double>")
+    i = spark.createDataFrame([(n, v.tolist(), float(b)) for n, (v, b) in enumerate(zip(items, bias, strict=True))], "item_id int, vec array<double>, bias double")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        for given, b in ((i, bias), (i.drop("bias"), bias * 0)):
+            expected = {n: [c for c in np.lexsort((np.arange(25), -(items @ v + b))) if c not in seen[n]][:6] for n, v in enumerate(users) if n != 5}
+            assert lists(similarity.score_top_k(u, given, 6, history(train))) == {n: v for n, v in expected.items() if v}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+@pytest.mark.parametrize("kind", ["lengths", "clusters", "none"])
+def test_bounds_skip_groups_and_change_nothing(kind):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 16))
+    if kind == "lengths":
+        items = rng.normal(size=(3000, 16)) * np.exp(rng.normal(size=3000))[:, None]
+    elif kind == "clusters":
+        items = centres[rng.integers(0, 12, 3000)] + 0.05 * rng.normal(size=(3000, 16))
+    else:
+        items = rng.normal(size=(3000, 16))
+    users = centres[rng.integers(0, 12, 200)] + 0.1 * rng.normal(size=(200, 16))
+    bias = rng.normal(size=3000) * (kind == "lengths")
+    groups = similarity.group_items(items, bias)
+    assert sorted(np.concatenate(groups.members)) == list(range(3000))
+    seen = np.unique(rng.integers(0, 200, 4000) * 3000 + rng.integers(0, 3000, 4000))
+    row, col, score, place, skipped = similarity.pruned_top_k(users, groups, 10, seen)
+    dense = users @ items.T + bias
+    dense[seen // 3000, seen % 3000] = -np.inf
+    expected = np.argsort(-dense, axis=1, kind="stable")[:, :10]
+    assert (col.reshape(200, 10) == expected).all() and (row.reshape(200, 10) == np.arange(200)[:, None]).all()
+    assert np.allclose(score, np.take_along_axis(dense, expected, 1).ravel()) and (place.reshape(200, 10) == np.arange(10)).all()
+    share = skipped / (200 * len(groups.members))
+    assert share > 0.5 if kind != "none" else share >= 0
 
 
 def test_metrics_equal_brute_force(spark):
