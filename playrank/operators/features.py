@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from playrank.functions.scalars import clip, cyclic_hour, days_between, feature_name, log_price, scaled_year
 from playrank.operators.interactions import positive_rate
-from playrank.operators.relational import lookup_join
+from playrank.operators.relational import lookup_join, skewed_join
 from playrank.session import materialize
 
 UNKNOWN = "Unknown"
@@ -252,7 +252,7 @@ def item_tower_features(
     )
     sizes = catalog.groupBy("developer").agg(F.count(F.lit(1)).alias("dev_count"))
     described = catalog.select("item_id", "genres", "tags", "price", "release_date", "early_access_item", "developer")
-    described = stats.join(described, "item_id", "left").join(sizes, "developer", "left")
+    described = skewed_join(stats.join(described, "item_id", "left"), sizes, "developer", "item_id")
     flags = [contains_value(F.col("genres"), g, match).alias(feature_name("genre", g)) for g in genres]
     flags += [contains_value(F.col("tags"), t, match).alias(feature_name("tag", t)) for t in tags]
     rows = described.select(

@@ -15,6 +15,7 @@ from playrank.session import materialize
 BROADCAST_BYTES = 64 << 20
 SMALL_ROWS = 100_000
 SALTS = 32
+HEAVY = 100  # values with a hundredth of all rows are heavy
 
 
 def top_k_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -151,3 +152,26 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, spread: str, how: s
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+
+
+def heavy_values(df: DataFrame, key: str, share: int = HEAVY) -> list:
+    """Values that hold about a share of 1/``share`` of all rows or more, from a sketch of bounded size; nulls left out.
+
+    Each task keeps a sketch of its most frequent values and the sketches are merged, so no value is counted by itself.
+    """
+    found = df.agg(F.count(key).alias("n"), F.call_function("approx_top_k", F.col(key), F.lit(2 * share), F.lit(32 * share)).alias("top")).first()
+    return [r["item"] for r in found["top"] or [] if r["item"] is not None and r["count"] * share >= found["n"]]
+
+
+def skewed_join(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left") -> DataFrame:
+    """Join a large side to a table with unique ``key`` that may be large too; only heavy keys are salted.
+
+    Rows of a heavy value, and rows without one, are spread over the salts by ``spread``; the right side's rows of heavy
+    values, ``HEAVY`` times two at most, are repeated once per salt. All other keys meet as in any join.
+    """
+    heavy = heavy_values(left, key)
+    is_heavy = F.col(key).isin(heavy) if heavy else F.lit(False)
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    salted_left = left.withColumn("_salt", F.when(F.col(key).isNull() | is_heavy, salt).otherwise(F.lit(0)))
+    salts = F.when(is_heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return salted_left.join(right.withColumn("_salt", F.explode(salts)), [key, "_salt"], how).drop("_salt")

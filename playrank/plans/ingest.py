@@ -25,6 +25,7 @@ from playrank.sources.cleaning import (
 from playrank.sources.literal_lines import REVIEW_SCHEMA, read_literal_lines
 from playrank.sources.tables import (
     export_serving,
+    read_export,
     read_results,
     read_split,
     read_tagged,
@@ -287,15 +288,15 @@ def summary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def serving_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exported twice: keyed tables stay as they are, interactions are appended."""
+    """Two batches, the first sent twice: keyed tables stay as they are, a new batch's interactions are appended."""
     data = prepared(spark, sf_dir)
     path = new_path(spark, "serving")
     tables = serving_tables(data.train, data.test, data.catalog)
-    export_serving(tables, path)
-    export_serving(tables, path)
+    for batch in ("first", "first", "second"):
+        export_serving(tables, path, batch)
     keys = {"users": ("user_id", "created_at"), "items": ("item_id", None), "interactions": ("id", "event_time")}
     parts = [
-        spark.read.parquet(os.path.join(path, n)).agg(
+        read_export(spark, path, n).agg(
             F.lit(n).alias("name"),
             F.count(F.lit(1)).alias("n"),
             F.count_distinct(key).alias("keys"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,6 +15,7 @@ from playrank.operators.relational import global_rank
 from playrank.sources.cleaning import INTERACTION_COLUMNS
 
 SPLITS = ("train", "validation", "test")
+PUBLISHED = "published"  # folder of an export with one entry per completed batch
 
 
 def save_splits(labelled: DataFrame, catalog: DataFrame, path: str) -> None:
@@ -96,22 +98,53 @@ def serving_tables(train: DataFrame, test: DataFrame, catalog: DataFrame) -> dic
     return {"users": users, "items": items, "interactions": interactions}
 
 
-def export_serving(tables: dict[str, DataFrame], path: str) -> None:
-    """Insert users and items that are absent, append the interactions with ids that go on from the last one."""
-    spark = tables["users"].sparkSession
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def published_batches(spark: SparkSession, path: str) -> list[str]:
+    """Batches of an export that were completed: one small file each, in name order."""
+    fs, place = _file_system(spark, os.path.join(path, PUBLISHED))
+    return sorted(f.getPath().getName() for f in fs.listStatus(place)) if fs.exists(place) else []
+
+
+def read_export(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    """A table of the export, from published batches alone; None before the first."""
+    folders = [os.path.join(path, name, b) for b in published_batches(spark, path)]
+    return spark.read.parquet(*folders) if folders else None
 
-    def stored(name: str) -> DataFrame | None:
-        try:
-            return spark.read.parquet(os.path.join(path, name))
-        except Exception as missing:  # the first export has nothing to compare with
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return None
-
-    for name, key in (("users", "user_id"), ("items", "item_id")):
-        insert_missing(tables[name], stored(name), key).write.mode("append").parquet(os.path.join(path, name))
-    before = stored("interactions")
-    last = before.agg(F.max("id")).first()[0] or 0 if before is not None else 0
-    numbered = global_rank(tables["interactions"], [F.col(c) for c in ("event_time", "user_id", "item_id")], "id")
-    rows = numbered.select((F.col("id") + F.lit(last)).alias("id"), *tables["interactions"].columns)
-    rows.write.mode("append").parquet(os.path.join(path, "interactions"))
+
+def export_serving(tables: dict[str, DataFrame], path: str, batch: str | None = None) -> None:
+    """Insert users and items that are absent, append the interactions with ids that go on from the last one.
+
+    All parts are written under the name of the batch and seen by no reader until one file publishes them together. A
+    batch that was published adds nothing when it is sent again; one that broke off leaves nothing that is read, and its
+    parts are deleted, at the latest when it is sent again. Batches are to be sent one after the other.
+    """
+    spark = tables["users"].sparkSession
+    batch = batch or uuid.uuid4().hex
+    if not batch.replace("-", "").replace("_", "").isalnum() or batch.startswith("_"):
+        raise ValueError(f"a batch is named by letters, digits, - and _, not {batch!r}")
+    if batch in published_batches(spark, path):
+        return
+    folder = lambda name: os.path.join(path, name, batch)
+    try:
+        for name, key in (("users", "user_id"), ("items", "item_id")):
+            insert_missing(tables[name], read_export(spark, path, name), key).write.mode("overwrite").parquet(folder(name))
+        before = read_export(spark, path, "interactions")
+        last = before.agg(F.max("id")).first()[0] or 0 if before is not None else 0
+        numbered = global_rank(tables["interactions"], [F.col(c) for c in ("event_time", "user_id", "item_id")], "id")
+        rows = numbered.select((F.col("id") + F.lit(last)).alias("id"), *tables["interactions"].columns)
+        rows.write.mode("overwrite").parquet(folder("interactions"))
+        fs, staged = _file_system(spark, os.path.join(path, "staged", batch))
+        fs.create(staged, True).close()
+        _, entry = _file_system(spark, os.path.join(path, PUBLISHED, batch))
+        fs.mkdirs(entry.getParent())
+        if not fs.rename(staged, entry):
+            raise RuntimeError(f"could not publish batch {batch!r}")
+    except BaseException:
+        for name in ("users", "items", "interactions"):
+            fs, place = _file_system(spark, folder(name))
+            fs.delete(place, True)
+        raise

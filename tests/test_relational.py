@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from playrank.operators import relational
 from playrank.operators.exploration import correlated_pairs, monthly_counts, quantiles
-from playrank.operators.relational import cut_by_order, global_rank, latest_per_key, lookup_join, running_total, top_k_per_group
+from playrank.operators.relational import cut_by_order, global_rank, heavy_values, latest_per_key, lookup_join, running_total, skewed_join, top_k_per_group
 from playrank.operators.sampling import sample_rows
 from playrank.operators.splitting import most_recent, time_based_split
 
@@ -176,3 +176,27 @@ def test_correlation_is_pairwise_complete(spark):
         at = ["a", "b", "c"].index(x), ["a", "b", "c"].index(y)
         both = np.array([(r[at[0]], r[at[1]]) for r in rows if r[at[0]] is not None and r[at[1]] is not None])
         assert value == pytest.approx(np.corrcoef(both.T)[0, 1])
+
+
+def test_heavy_keys_land_in_many_tasks(spark):
+    """Half of all rows name one maker and a tenth none; the join gives what a plain one does."""
+    maker = F.when(F.col("id") % 2 == 0, "big").when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.concat(F.lit("m"), (F.col("id") % 700).cast("string")))
+    rows = spark.range(20_000).select("id", maker.alias("maker"))
+    sizes = rows.where("maker IS NOT NULL").groupBy("maker").count()
+    assert heavy_values(rows, "maker") == ["big"]
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        joined = skewed_join(rows, sizes, "maker", "id")
+        found = joined.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert joined.columns == ["maker", "id", "count"]
+    plain = {(r["id"], r["maker"], r["count"]) for r in rows.join(sizes, "maker", "left").collect()}
+    assert len(found) == 20_000 and {(r["id"], r["maker"], r["count"]) for r in found} == plain
+    for value in ("big", None):
+        assert len({r["task"] for r in found if r["maker"] == value}) > 15
+    assert skewed_join(rows.where("id < 0"), sizes, "maker", "id").count() == 0

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from playrank.session import materialize, shared_dir
 from playrank.sources.cleaning import build_catalog, load_events, load_games, minimal_catalog
-from playrank.sources.literal_lines import GAME_SCHEMA, REVIEW_SCHEMA, read_literal_lines
+from playrank.sources.literal_lines import GAME_SCHEMA, REVIEW_SCHEMA, numbered_lines, read_literal_lines
 from playrank.sources.prepare import prepare_files
-from playrank.sources.tables import export_serving, insert_missing, read_catalog, read_splits, serving_tables, split_row_counts
+from playrank.sources.tables import export_serving, insert_missing, published_batches, read_catalog, read_export, read_splits, serving_tables, split_row_counts
 
 GOOD = [
     {"username": "ann", "product_id": "7", "date": "2017-01-02", "hours": 1.5, "text": "It's \"good\"\n", "early_access": True, "products": 3},
@@ -40,10 +40,39 @@ def test_lines_are_parsed_and_cleaned(spark, tmp_path):
 
 def test_failfast_names_file_and_line(spark, tmp_path):
     path = write(tmp_path / "bad.json.gz", [repr(GOOD[0]), "{'username': broken"])
-    with pytest.raises(Exception, match="bad.json.gz.*broken"):
+    with pytest.raises(Exception, match="bad.json.gz line 2: .*broken"):
         read_literal_lines(spark, path, REVIEW_SCHEMA).collect()
 
 
+@pytest.mark.parametrize("split_bytes", ["100", "1000", "100000"])
+def test_lines_are_numbered_across_splits(spark, tmp_path, split_bytes):
+    """Plain files are cut into splits, gzip files are one each; blank lines count too."""
+    texts = {f"f{k}.txt": [f"{k} {n} {'x' * (n * 7 % 50)}" if n % 5 else "" for n in range(60 + k)] for k in range(3)}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    write(tmp_path / "g.gz", texts["f0.txt"])
+    texts["g.gz"] = texts["f0.txt"]
+    conf = {"spark.sql.files.maxPartitionBytes": split_bytes, "spark.sql.files.openCostInBytes": "1"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        rows = numbered_lines(spark, str(tmp_path)).collect()
+        bad = [*[repr(GOOD[0])] * 40, "", "{'username': broken", repr(GOOD[0])]
+        (tmp_path / "bad").mkdir()
+        (tmp_path / "bad" / "b.txt").write_text("\n".join(bad))
+        with pytest.raises(Exception, match="b.txt line 42: "):
+            read_literal_lines(spark, str(tmp_path / "bad"), REVIEW_SCHEMA).collect()
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    if split_bytes == "100":
+        assert len({(r["_source"], r["_block"]) for r in rows}) > 40
+    found = {}
+    for r in rows:
+        found.setdefault(r["_source"].rsplit("/", 1)[1], []).append((r["_line"], r["value"]))
+    assert {name: sorted(lines) for name, lines in found.items()} == {name: list(enumerate(lines, 1)) for name, lines in texts.items()}
+
+
 def test_permissive_keeps_the_bad_line(spark, tmp_path):
     path = write(tmp_path / "bad.json.gz", [repr(GOOD[0]), "{'username': broken", "[1, 2]"])
     rows = read_literal_lines(spark, path, REVIEW_SCHEMA, "PERMISSIVE").collect()
@@ -100,14 +129,40 @@ def test_export_inserts_only_what_is_missing(spark, tmp_path):
     train = spark.createDataFrame([(1, 10), (1, 11)], "user_id int, item_id int").withColumn("event_time", F.make_timestamp_ntz(F.lit(2020), F.lit(1), "item_id", F.lit(0), F.lit(0), F.lit(0)))
     test = spark.createDataFrame([(2, 10, 1.0), (1, 12, 3.0)], "user_id int, item_id int, hours double").withColumn("event_time", F.lit("2021-01-01").cast("timestamp_ntz"))
     catalog = spark.createDataFrame([(10, "t", "c", "u")], "item_id int, title string, category string, image_url string")
-    for _ in range(2):
-        export_serving(serving_tables(train, test, catalog), str(tmp_path))
-    counts = {n: spark.read.parquet(str(tmp_path / n)).count() for n in ("users", "items", "interactions")}
-    assert counts == {"users": 2, "items": 1, "interactions": 4}
-    created = {r["user_id"]: str(r["created_at"]) for r in spark.read.parquet(str(tmp_path / "users")).collect()}
+    path, tables = str(tmp_path), serving_tables(train, test, catalog)
+    for batch in ("one", "one", "two"):
+        export_serving(tables, path, batch)
+    table = lambda name: read_export(spark, path, name)
+    assert {n: table(n).count() for n in ("users", "items", "interactions")} == {"users": 2, "items": 1, "interactions": 4}
+    created = {r["user_id"]: str(r["created_at"]) for r in table("users").collect()}
     assert created == {1: "2020-01-10 00:00:00", 2: "2021-01-01 00:00:00"}
-    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "interactions")).collect()) == [1, 2, 3, 4]
+    assert sorted(r["id"] for r in table("interactions").collect()) == [1, 2, 3, 4]
     assert insert_missing(catalog, None, "item_id").count() == 1
+    export_serving(tables, path)  # a batch without a name is a new one
+    assert table("interactions").count() == 6 and len(published_batches(spark, path)) == 3
+    with pytest.raises(ValueError, match="named by"):
+        export_serving(tables, path, "../x")
+
+
+def test_a_broken_export_leaves_nothing(spark, tmp_path):
+    import os
+
+    users = spark.createDataFrame([(1, "2020-01-01")], "user_id int, created_at string")
+    items = spark.createDataFrame([(10, "t")], "item_id int, title string")
+    good = spark.createDataFrame([(1, 10, "2020-01-01")], "user_id int, item_id int, event_time string")
+    broken = good.withColumn("event_time", F.raise_error(F.lit("lost")).cast("string"))
+    path = str(tmp_path / "export")
+    assert read_export(spark, path, "users") is None
+    with pytest.raises(Exception, match="lost"):
+        export_serving({"users": users, "items": items, "interactions": broken}, path, "one")
+    assert published_batches(spark, path) == [] and read_export(spark, path, "users") is None
+    assert not [f for _, _, files in os.walk(path) for f in files]
+    # Parts of a batch whose driver died are not read and are replaced by the next try.
+    users.write.parquet(os.path.join(path, "users", "one"))
+    users.write.mode("append").parquet(os.path.join(path, "users", "one"))
+    assert read_export(spark, path, "users") is None
+    export_serving({"users": users, "items": items, "interactions": good}, path, "one")
+    assert [read_export(spark, path, n).count() for n in ("users", "items", "interactions")] == [1, 1, 1]
 
 
 def test_prepare_from_files(spark, tmp_path):
