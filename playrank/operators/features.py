@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playrank.functions.scalars import clip, cyclic_hour, days_between, feature_name, log_price, scaled_year
 from playrank.operators.interactions import positive_rate
-from playrank.operators.relational import lookup_join, skewed_join
+from playrank.operators.relational import global_rank, lookup_join, skewed_join
 from playrank.session import materialize
 
 UNKNOWN = "Unknown"
-MAX_CATEGORIES = 5_000
 
 # The numeric ranking features, in model order.
 NUMERIC_FEATURES = [
@@ -100,18 +100,29 @@ def last_events(train: DataFrame) -> DataFrame:
     return train.groupBy("user_id").agg(F.max("event_time").alias("last_event_time"))
 
 
-def category_vocabulary(rows: DataFrame) -> list[str]:
-    """Sorted category values. Each becomes a feature column, so their number is limited."""
-    values = rows.select(F.coalesce("category", F.lit(UNKNOWN)).alias("c")).distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(values) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories cannot be one-hot encoded")
-    return sorted(r["c"] for r in values)
+def category_vocabulary(rows: DataFrame) -> DataFrame:
+    """(place, value): the category values in sorted order; NULL counts as Unknown. Written, however many there are."""
+    values = rows.select(F.coalesce("category", F.lit(UNKNOWN)).alias("value")).distinct()
+    return materialize(global_rank(values, [F.col("value").asc()], "place").select((F.col("place") - 1).alias("place"), "value"), "vocabulary")
 
 
-def one_hot(vocabulary: Sequence[str], category: Column) -> list[Column]:
-    """One 0/1 column per known value; an unseen value is all zero, NULL counts as Unknown."""
-    value = F.coalesce(category, F.lit(UNKNOWN))
-    return [(value == F.lit(v)).cast("int").alias(f"category_{v}") for v in vocabulary]
+def with_category_index(rows: DataFrame, vocabulary: DataFrame, spread: str = "user_id") -> DataFrame:
+    """Add ``category_index``, the value's place in the vocabulary; an unseen value has the place behind the last.
+
+    The index stands for one 0/1 column per known value, all zero for an unseen one: ``one_hot_vector`` makes it a sparse
+    vector, and the plan stays the same however many values there are.
+    """
+    places = vocabulary.select(F.col("value").alias("_value"), "place")
+    joined = lookup_join(rows.withColumn("_value", F.coalesce("category", F.lit(UNKNOWN))), places, "_value", spread)
+    return joined.withColumn("category_index", F.coalesce("place", F.lit(vocabulary.count()))).drop("_value", "place")
+
+
+def one_hot_vector(rows: DataFrame, categories: int, column: str = "category_vector") -> DataFrame:
+    """Add the sparse vector of ``categories`` 0/1 entries that ``category_index`` stands for."""
+    nominal = {"ml_attr": {"type": "nominal", "num_vals": categories, "name": "category"}}
+    placed = rows.withColumn("_index", F.col("category_index").cast("double").alias("_index", metadata=nominal))
+    encoder = OneHotEncoder(inputCol="_index", outputCol=column, handleInvalid="keep", dropLast=True)  # the place kept for unseen values is the last
+    return encoder.fit(placed).transform(placed).drop("_index")
 
 
 def user_profiles(rows: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -169,18 +180,18 @@ def cross_and_temporal(candidates: DataFrame, train: DataFrame, catalog: DataFra
     )
 
 
-def build_features(candidates: DataFrame, train: DataFrame, catalog: DataFrame, vocabulary: Sequence[str] | None = None) -> tuple[DataFrame, list[str], list[str]]:
-    """(features, feature names, vocabulary). The names are an explicit list, so a context
-    column that happens to be among the candidates never becomes a feature."""
+def build_features(candidates: DataFrame, train: DataFrame, catalog: DataFrame, vocabulary: DataFrame | None = None) -> tuple[DataFrame, list[str], DataFrame]:
+    """(features, numeric feature names, vocabulary). The names are an explicit list, so a context
+    column that happens to be among the candidates never becomes a feature. The category is given
+    as ``category_index``, its place in the vocabulary table."""
     candidates = materialize(candidates, "candidates")  # read for its users and for its rows
     items = materialize(item_features(train, catalog), "item_features")  # counted, joined and listed
     rows = cross_and_temporal(candidates, train, catalog, items)
     if vocabulary is None:
         vocabulary = category_vocabulary(items)
-    encoded = one_hot(vocabulary, F.col("category"))
-    names = NUMERIC_FEATURES + [f"category_{v}" for v in vocabulary]
     keys = ["user_id", "item_id", "event_time", "hours", "is_positive"]
-    return rows.select(*keys, *NUMERIC_FEATURES, *encoded), names, list(vocabulary)
+    encoded = with_category_index(rows.select(*keys, *NUMERIC_FEATURES, "category"), vocabulary)
+    return encoded.select(*keys, *NUMERIC_FEATURES, "category_index"), list(NUMERIC_FEATURES), vocabulary
 
 
 def align(ids: DataFrame, rows: DataFrame, key: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +18,10 @@ from playrank.operators.features import (
     item_categories,
     item_features,
     last_events,
-    one_hot,
+    one_hot_vector,
     playtime_ratio,
     user_features,
+    with_category_index,
 )
 from playrank.operators.relational import lookup_join
 from playrank.plans.fixtures import Prepared, clock_events, prepared, sql
@@ -53,7 +55,7 @@ def _round_sql(names: list[str]) -> str:
     return ", ".join(f"round(CAST({n} AS DOUBLE), 9) AS {n}" for n in names)
 
 
-def validation_features(data: Prepared) -> tuple[DataFrame, list[str], list[str]]:
+def validation_features(data: Prepared) -> tuple[DataFrame, list[str], DataFrame]:
     rows = ranking_candidates(popular_candidates(data), data.validation, data.train)
     return build_features(rows, data.train, data.catalog)
 
@@ -141,12 +143,12 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = category_vocabulary(data.catalog)
     rows = lookup_join(data.test.select("user_id", "item_id"), item_categories(data.catalog), "item_id", "user_id")
     unseen = rows.select("user_id", (-F.col("item_id")).alias("item_id"), F.lit("never seen before").alias("category"))
-    flags = one_hot(vocabulary, F.col("category"))
-    wide = rows.select("user_id", "item_id", "category").unionByName(unseen).select("user_id", "item_id", *flags)
-    total = F.aggregate(F.array(*[F.col(f"`category_{v}`") for v in vocabulary]), F.lit(0), lambda a, x: a + x)
-    unknown = F.col("category_Unknown") if "Unknown" in vocabulary else F.lit(0)
-    economy = F.col("category_ECONOMY") if "ECONOMY" in vocabulary else F.lit(0)
-    return wide.select("user_id", "item_id", economy.alias("economy"), unknown.alias("unknown"), total.alias("flags"))
+    indexed = with_category_index(rows.select("user_id", "item_id", "category").unionByName(unseen), vocabulary)
+    encoded = one_hot_vector(indexed, vocabulary.count())
+    named = lookup_join(encoded, vocabulary.select(F.col("place").alias("category_index"), "value"), "category_index", "user_id")
+    is_value = lambda v: F.coalesce((F.col("value") == v).cast("int"), F.lit(0))
+    flags = F.aggregate(vector_to_array("category_vector"), F.lit(0.0), lambda a, x: a + x).cast("int")
+    return named.select("user_id", "item_id", is_value("ECONOMY").alias("economy"), is_value("Unknown").alias("unknown"), flags.alias("flags"))
 
 
 @query(
@@ -154,13 +156,13 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql("train validation catalog", f"SELECT user_id, item_id, event_time, is_positive, {_round_sql([n for n in NUMERIC_FEATURES if n not in _OWN_ROUNDING])}, round(user_total_hours, 6) AS user_total_hours, round(user_item_hours_vs_avg + 1e-12, 9) AS user_item_hours_vs_avg, category FROM feat", **FEATURE_VIEWS),
 )
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The one-hot columns are folded back into the category they encode.
+    """The category's index is taken back to the category it stands for.
 
     A ratio of two means can end exactly in a 5 at any place; the nudge decides those alike.
     """
     rows, _, vocabulary = validation_features(prepared(spark, sf_dir))
-    category = F.coalesce(*[F.when(F.col(f"`category_{v}`") == 1, F.lit(v)) for v in vocabulary])
-    rows = rows.select("user_id", "item_id", "event_time", "is_positive", *NUMERIC_FEATURES, category.alias("category"))
+    rows = lookup_join(rows, vocabulary.select(F.col("place").alias("category_index"), F.col("value").alias("category")), "category_index", "user_id")
+    rows = rows.select("user_id", "item_id", "event_time", "is_positive", *NUMERIC_FEATURES, "category")
     rows = rows.withColumn("user_item_hours_vs_avg", F.col("user_item_hours_vs_avg") + F.lit(1e-12))
     rows = rounded(rows, *[n for n in NUMERIC_FEATURES if n != "user_total_hours"], places=9)
     return rounded(rows, "user_total_hours")

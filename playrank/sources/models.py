@@ -1,11 +1,9 @@
-"""Model artefacts as tables: factor tables, rankings, vocabularies, weights and trees."""
+"""Model artefacts as tables: factor tables, rankings, vocabularies and weights."""
 
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
 
-from pyspark.ml.regression import DecisionTreeRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,19 +15,10 @@ def load_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(path, name))
 
 
-def save_vocabulary(spark: SparkSession, values: Sequence[str], path: str) -> None:
-    """Values with their places, which encoding a later split must keep."""
-    save_table(spark.createDataFrame(list(enumerate(values)), "place int, value string"), path, "vocabulary")
+def save_vocabulary(vocabulary: DataFrame, path: str) -> None:
+    """(place, value) rows, which encoding a later split must keep."""
+    save_table(vocabulary.select("place", "value"), path, "vocabulary")
 
 
-def load_vocabulary(spark: SparkSession, path: str) -> list[str]:
-    return [r["value"] for r in load_table(spark, path, "vocabulary").orderBy("place").collect()]
-
-
-def save_trees(trees: list[DecisionTreeRegressionModel], path: str) -> None:
-    for number, tree in enumerate(trees):
-        tree.write().overwrite().save(os.path.join(path, f"tree-{number:04d}"))
-
-
-def load_trees(path: str, count: int) -> list[DecisionTreeRegressionModel]:
-    return [DecisionTreeRegressionModel.load(os.path.join(path, f"tree-{n:04d}")) for n in range(count)]
+def load_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    return load_table(spark, path, "vocabulary")

@@ -11,10 +11,10 @@ from playrank.operators import similarity
 from playrank.operators.baselines import PopularityRecommender, RandomRecommender
 from playrank.operators.candidates import ranking_candidates
 from playrank.operators.evaluation import all_metrics, candidate_ndcg, ranker_metrics
-from playrank.operators.features import NUMERIC_FEATURES, build_features, contains_value
+from playrank.operators.features import NUMERIC_FEATURES, build_features, category_vocabulary, contains_value, with_category_index
 from playrank.operators.interactions import ground_truth, history, item_index, item_sets
 from playrank.operators.mf import BprConfig, BprRecommender, bpr_step, negatives_in_block
-from playrank.operators.ranker import LambdaRanker, RankerConfig, bucketed, lambda_targets
+from playrank.operators.ranker import LambdaRanker, RankerConfig, assemble, bucketed, lambda_targets
 from playrank.operators.sampling import pair_negatives, sampled_candidates
 from playrank.operators.serving import active_users, serving_candidates, with_popular_fallback
 from playrank.operators.towers import TowerConfig, TwoTowerRecommender, block_gradient, forward, init_tower, log_sum, loss_and_gradient, merged_log_sum
@@ -222,8 +222,8 @@ def test_saved_models_recommend_the_same(spark, tmp_path):
     towers.item_vectors = train.select("item_id", F.array(F.length("item_id").cast("double"), F.lit(1.0)).alias("vec")).distinct()
     towers.save(path)
     assert lists(TwoTowerRecommender.load(spark, path).recommend(users, seen, 2)) == lists(towers.recommend(users, seen, 2))
-    save_vocabulary(spark, ["b", "a", "Unknown"], path)
-    assert load_vocabulary(spark, path) == ["b", "a", "Unknown"]
+    save_vocabulary(spark.createDataFrame([(0, "a"), (1, "b"), (2, "Unknown")], "place bigint, value string"), path)
+    assert {tuple(r) for r in load_vocabulary(spark, path).collect()} == {(0, "a"), (1, "b"), (2, "Unknown")}
 
 
 @pytest.mark.parametrize(("block", "sums"), [(50_000, 64), (9, 2)])
@@ -456,20 +456,63 @@ def test_ranker_learns_and_survives_saving(spark, tmp_path):
     assert {(r[0], r[1]): r[3] for r in again.score(df).collect()} == {(r[0], r[1]): r[3] for r in ranker.score(df).collect()}
 
 
+def test_scores_of_flat_trees_equal_tree_by_tree_ones(spark):
+    """With categories: what boosting added round by round in the JVM is what one pass over the node arrays gives."""
+    import playrank.operators.ranker as module
+
+    rng = random.Random(6)
+    rows = [(u, i, rng.random() < 0.3 + 0.4 * (i % 4 == 1), rng.random(), None if rng.random() < 0.3 else rng.random(), i % 4 if i % 5 else 4) for u in range(50) for i in range(14)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, is_positive boolean, a double, b double, category_index bigint")
+    vocabulary = spark.createDataFrame([(k, f"v{k}") for k in range(4)], "place bigint, value string")
+    config = RankerConfig(rounds=5, max_depth=4, min_rows=3, feature_fraction=0.8, rewrite_every=2, early_stopping=9)
+    by_tree, added = assemble(df, ["a", "b"], 4).withColumn("score", F.lit(0.0)), module._add
+    kept = []
+    module._add = lambda df, tree, columns, rate: kept.append((tree, columns, rate)) or added(df, tree, columns, rate)
+    try:
+        ranker = LambdaRanker(config).fit(df.where("user_id < 40"), df.where("user_id >= 40"), ["a", "b"], vocabulary)
+    finally:
+        module._add = added
+    for tree, columns, rate in kept[: 2 * len(ranker.trees) : 2]:
+        by_tree = added(by_tree, tree, columns, rate)
+    expected = {(r["user_id"], r["item_id"]): r["score"] for r in by_tree.collect()}
+    assert {(r["user_id"], r["item_id"]): r["score"] for r in ranker.score(df).collect()} == expected
+    assert len(set(expected.values())) > 10
+    importance = {r["feature"]: r["gain"] for r in ranker.feature_importance(spark).collect()}
+    assert set(importance) == {"a", "b", "a_missing", "b_missing", "category_v0", "category_v1", "category_v2", "category_v3"}
+    assert sum(importance.values()) == pytest.approx(sum(sum(g.values()) for g in ranker.importance)) and importance["category_v1"] > 0
+
+
+def test_many_categories_are_one_sparse_vector(spark):
+    """Twenty thousand values: no column per value, and the encoded rows stay short."""
+    rows = spark.range(20_000).select((F.col("id") % 100).alias("user_id"), F.col("id").alias("item_id"), F.concat(F.lit("c"), "id").alias("category"), F.lit(True).alias("is_positive"), F.lit(1.5).alias("x"))
+    vocabulary = category_vocabulary(rows.where("item_id < 19000"))
+    indexed = with_category_index(rows, vocabulary)
+    assert len(indexed.columns) == len(rows.columns) + 1
+    assert assemble(indexed, ["x"], vocabulary.count())._jdf.queryExecution().toString().count("c123") == 0
+    got = assemble(indexed, ["x"], vocabulary.count()).where("item_id % 1000 = 999").collect()
+    places = {r["value"]: r["place"] for r in vocabulary.collect()}
+    assert [v for v, _ in sorted(places.items(), key=lambda x: x[1])] == sorted(places) and len(places) == 19_000
+    assert len(got) == 20
+    for r in got:
+        place = places.get(f"c{r['item_id']}")
+        assert r["features"].size == 2 + 19_000 and dict(zip(r["features"].indices.tolist(), r["features"].values.tolist(), strict=True)) == {0: 1.5} | ({2 + place: 1.0} if place is not None else {})
+
+
 def test_features_for_cold_users_and_unknown_items(spark, planted):
     train, held, catalog = planted
     at = lambda df: df.withColumn("event_time", F.lit("2020-05-01 06:00:00").cast("timestamp_ntz"))
     rows = spark.createDataFrame([(0, 1, 1.0, True), (999, 1, 2.0, False), (0, 777, None, False)], "user_id int, item_id int, hours double, is_positive boolean")
     seen = at(train).withColumn("event_time", F.lit("2020-04-01").cast("timestamp_ntz"))
-    features, names, vocabulary = build_features(at(rows), seen, catalog, vocabulary=["odd"])
-    assert names == [*NUMERIC_FEATURES, "category_odd"] and vocabulary == ["odd"]
+    given = spark.createDataFrame([(0, "odd")], "place bigint, value string")
+    features, names, vocabulary = build_features(at(rows), seen, catalog, vocabulary=given)
+    assert names == NUMERIC_FEATURES and vocabulary is given
     got = {(r["user_id"], r["item_id"]): r for r in features.collect()}
-    assert got[0, 1]["days_since_last"] == 30.25 and got[0, 1]["category_odd"] == 1
+    assert got[0, 1]["days_since_last"] == 30.25 and got[0, 1]["category_index"] == 0
     assert got[0, 1]["hour_sin"] == pytest.approx(1.0)
     cold = got[999, 1]
     assert (cold["user_activity_count"], cold["days_since_last"], cold["user_item_hours_vs_avg"], cold["user_category_affinity"]) == (None, 365.0, 1.0, 0.0)
     unknown = got[0, 777]
-    assert (unknown["item_popularity"], unknown["category_odd"], unknown["user_item_hours_vs_avg"]) == (None, 0, 1.0)
+    assert (unknown["item_popularity"], unknown["category_index"], unknown["user_item_hours_vs_avg"]) == (None, 1, 1.0)
     empty, _, _ = build_features(at(rows).limit(0), seen, catalog)
     assert empty.count() == 0
 
