@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from playrank.llm.runs import ROW, join_by_share, keyed_rows, split_by_keys
 from playrank.llm.text import chunks, lines, signed, span_hashes, words
 from playrank.session import materialize
 
@@ -47,8 +48,8 @@ def _line_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ranked(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Numbers for the key tuples that occur at least twice, in their sorted order."""
-    again = pairs.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    """Numbers for the key tuples that occur at least twice, in their sorted order, and how often (``n``)."""
+    again = pairs.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
     return materialize(again.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()), "ranks")
 
 
@@ -56,7 +57,7 @@ def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
     """(d, from_line, to_line): line ranges to delete, merged, per document key ``d``."""
     found = materialize(docs.select("doc_id", "d", "text").mapInArrow(_line_ids, "doc_id bigint, d bigint, pos bigint, line bigint, r bigint, words bigint"), "lines")
     names = _ranked(found.select("r"), ["r"])
-    level = found.join(names, "r").select("doc_id", "d", "pos", "line", "words", F.col("rank").alias("r")).distinct()
+    level = join_by_share(found, names, ["r"], found.count()).select("doc_id", "d", "pos", "line", "words", F.col("rank").alias("r")).distinct()
     level = materialize(level, "level")
 
     row = W.partitionBy("d").orderBy("pos")
@@ -82,7 +83,7 @@ def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
         ahead = current.select("d", (F.col("pos") - F.lit(1 << (k - 1))).alias("pos"), F.col("r").alias("r2"))
         pairs = materialize(current.withColumnRenamed("r", "r1").join(ahead, ["d", "pos"]), "pairs")
         names = _ranked(pairs, ["r1", "r2"])
-        current = materialize(pairs.join(names, ["r1", "r2"]).select("d", "pos", F.col("rank").alias("r")), "level")
+        current = materialize(join_by_share(pairs, names, ["r1", "r2"], pairs.count()).select("d", "pos", F.col("rank").alias("r")), "level")
         ranks = ranks.unionByName(current.select(F.lit(k).alias("k"), "d", "pos", "r"))
 
     # Two overlapping pieces of 2^k lines cover a run; a run with a piece of no rank is not repeated.
@@ -92,8 +93,8 @@ def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
     keyed = windows.withColumn("second", F.col("start") + F.col("len") - size).join(head, ["k", "d", "start"]).join(tail, ["k", "d", "second"])
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "d", "start")
     keyed = materialize(keyed.withColumn("place", place), "intervals")
-    first = keyed.groupBy("len", "head", "tail").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = keyed.join(first, ["len", "head", "tail"]).where(F.col("place") > F.col("first"))
+    first = materialize(keyed.groupBy("len", "head", "tail").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
+    later = join_by_share(keyed, first, ["len", "head", "tail"], keyed.count()).where(F.col("place") > F.col("first"))
 
     # Merged by position, so the blank lines between two deleted lines are inside the range.
     in_order = W.partitionBy("d").orderBy("start", "len")
@@ -103,8 +104,11 @@ def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
     return merged.groupBy("d", "run").agg(F.min("from_line").alias("from_line"), F.max("to_line").alias("to_line")).drop("run")
 
 
-def document_key(doc_id: Column, text: Column) -> Column:
-    return F.xxhash64(doc_id, text)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc, d): each row as one value and its document's key. Rows without an id are documents of their own, told apart by a written key."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    alone = keyed_rows(row.where("doc.doc_id IS NULL")).withColumn("d", F.xxhash64(F.lit("row"), ROW)).drop(ROW)
+    return row.where("doc.doc_id IS NOT NULL").withColumn("d", F.xxhash64(F.col("doc.doc_id").cast("bigint"), "doc.text")).unionByName(alone)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
@@ -113,16 +117,21 @@ def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     Lines are split at ``\\n`` and equal if all their bytes are. A line is deleted if it lies in a run of at least
     ``min_words`` words that occurs earlier, in another document or further up in its own; blank lines between deleted
     ones go with them. Null texts stay null, empty and blank texts stay as they are. Rows with equal doc_id and text
-    are the same document and get the same result; a null doc_id comes last in the order. An empty table gives no rows.
-    Columns whose names begin with ``_`` in the input are kept unless they are called ``_deleted``.
+    are the same document and get the same result; rows with a null doc_id are documents of their own and come last in
+    the order. An empty table gives no rows. All columns of the input are kept, whatever their names, but for one called
+    ``_deleted``, which is replaced. Only texts that lose lines are shuffled.
     """
     if min_words < 1:
         raise ValueError("min_words must be positive")
-    keyed = docs.withColumn("__d", document_key(F.col("doc_id").cast("bigint"), F.col("text")))
-    plain = keyed.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("__d").alias("d"), "text").where("text IS NOT NULL")
+    docs = docs.drop("_deleted")
+    keyed = _keyed(docs)
+    plain = keyed.select(F.col("doc.doc_id").cast("bigint").alias("doc_id"), "d", F.col("doc.text").alias("text")).where("text IS NOT NULL")
     runs = repeated_runs(plain, min_words)
-    ranges = runs.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("from_line", "to_line"))).alias("__cut"))
-    joined = keyed.join(ranges.withColumnRenamed("d", "__d"), "__d", "left")
-    left = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.exists("__cut", lambda r: (r["from_line"] <= i) & (i <= r["to_line"])))
-    text = F.when(F.col("__cut").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c != "_deleted"], F.col("__cut").alias("_deleted"))
+    ranges = runs.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("from_line", "to_line"))).alias("cut"))
+    ranges = materialize(ranges, "ranges")
+    touched, whole = split_by_keys(keyed, "d", ranges.select("d"))
+    joined = touched.join(ranges, "d", "left").select("doc", "cut").unionByName(whole.select("doc", F.lit(None).cast(ranges.schema["cut"].dataType).alias("cut")))
+    left = F.filter(F.split("doc.text", "\n", -1), lambda _, i: ~F.exists("cut", lambda r: (r["from_line"] <= i) & (i <= r["to_line"])))
+    text = F.when(F.col("cut").isNull(), F.col("doc.text")).otherwise(F.array_join(left, "\n"))
+    kept = [(text if c == "text" else F.col("doc").getField(c)).alias(c) for c in docs.columns]
+    return joined.select(*kept, F.col("cut").alias("_deleted"))

@@ -8,6 +8,9 @@ draws, by the multivariate hypergeometric law, how many of each source's blocks
 a seeded shuffle.
 
 The driver holds one row per source (its size and quota), never documents.
+
+The mix of texts follows from the same layout where the rows are: a row's draws depend on its own hash, its source's
+blocks and, in the one block per source that the quota ends in, on a last hash. Texts are shuffled once, to their places.
 """
 
 from __future__ import annotations
@@ -19,10 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from playrank.llm.runs import ROW, keyed_rows
+from playrank.operators.relational import lookup_join
 from playrank.session import materialize
 
 BLOCKS = 256  # two hex digits of the order; a source with a third of all rows gives as many
+WORDS_PER_PART = 4_000_000  # of a shard, in one partition of the mix
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -52,7 +56,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], percent: int, most:
     ).withColumn("capped", F.col("limit") * F.col("open") <= F.col("w") * (F.col("total") - F.col("full")))
     spent = F.coalesce(F.sum(F.when(F.col("capped"), F.col("limit"))).over(whole), F.lit(0))
     rest = F.sum(F.when(~F.col("capped"), F.col("w"))).over(whole)
-    target = F.when(F.col("capped"), F.col("limit").cast("double")).otherwise(F.col("w") * (F.col("total") - spent) / rest)
+    target = F.when(F.col("capped"), F.col("limit").cast("double")).otherwise(F.col("w") * ((F.col("total") - spent) / rest))
     return level.select("source", "source_size", target.alias("target"))
 
 
@@ -81,28 +85,32 @@ def split_quotas(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> n
     return counts
 
 
-def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), percent: int = 150, most: int = 2, shards: int = 8, seed: str = "mix", row: str | None = None) -> DataFrame:
-    """(doc_id, source, size, source_size, target, draws) and the column ``row``, if one is named, for every row of ``docs`` (doc_id, text, source, ...).
+def _order(seed: str) -> Column:
+    """The hash that rows of a source stand in the order of; those without an id by their texts."""
+    text = F.col("text").cast("string")
+    return F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.md5(text))))
 
-    ``draws`` is an array of (pass, words, shard, place): what the mix takes of the document and where it goes, ``place``
-    being its shuffled sort key inside the shard. ``words`` below ``size`` is a passage from the document's start; there
-    is one such cut per source, so every source gives its target rounded to a word. A null text has size 0, a null source
-    is one source; repeated rows are rows of their own; an empty table gives no rows. Other columns are left aside. A
-    document of size 0 is never drawn. Documents without an id are ordered by their texts.
+
+def _block(h: str) -> Column:
+    return F.conv(F.substring(h, 1, 2), 16, 10).cast("int")
+
+
+def _layout(docs: DataFrame, weights: Sequence[int], percent: int, most: int, shards: int, seed: str) -> tuple[DataFrame, DataFrame, int]:
+    """What the mix takes, before any row is looked at on its own.
+
+    Gives the rows without their texts, a row per source and block (the block's words, those before it, the source's
+    quota, and where in the numbering of its blocks each shard ends), and the words of the whole mix.
     """
     spark = docs.sparkSession
     text = F.col("text").cast("string")
-    key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.md5(text))))
-    kept = [row] if row else []
     sized = docs.select(
-        *kept,
         "doc_id",
         F.col("source").cast("string").alias("source"),
         word_count(text).alias("size"),
-        key.alias("h"),
+        _order(seed).alias("h"),
         F.coalesce(F.crc32(text), F.lit(-1)).alias("crc"),
     )
-    sized = materialize(sized.withColumns({"b": F.conv(F.substring("h", 1, 2), 16, 10).cast("int"), "c": F.substring("h", 3, 3)}), "sized")
+    sized = materialize(sized.withColumns({"b": _block("h"), "c": F.substring("h", 3, 3)}), "sized")
 
     blocks = materialize(sized.groupBy("source", "b").agg(F.sum("size").alias("words")), "blocks")
     sizes = blocks.groupBy("source").agg(F.sum("words").alias("source_size"))
@@ -112,40 +120,62 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), percent: int =
     quotas = materialize(targets.withColumn("passes", F.least(passes, F.lit(most))).withColumn("rest", quota - F.col("passes") * F.col("source_size")), "quotas")
 
     order = W.partitionBy("source").orderBy("b").rowsBetween(W.unboundedPreceding, -1)
-    # ``i`` numbers the blocks a source has without gaps; further passes go on where the last one ended.
-    placed = blocks.withColumns({"before": F.coalesce(F.sum("words").over(order), F.lit(0)), "i": F.count("*").over(order), "held": F.count("*").over(W.partitionBy("source"))})
+    # ``i`` numbers a source's blocks with words without gaps; further passes go on where the last one ended.
+    filled = F.when(F.col("words") > 0, 1)
+    placed = blocks.withColumns({"before": F.coalesce(F.sum("words").over(order), F.lit(0)), "i": F.count(filled).over(order), "held": F.count(filled).over(W.partitionBy("source"))})
     same = lambda left, right: left["source"].eqNullSafe(right["source"])
     placed = placed.join(quotas, same(placed, quotas)).drop(quotas["source"])
     # Block numbers a source gives: all of them once per pass, then those the rest reaches into.
-    reached = F.count(F.when(F.col("before") < F.col("rest"), 1)) + F.first("passes") * F.count("*")
-    given = placed.groupBy("source").agg(reached.alias("n")).orderBy(F.col("source").asc_nulls_last()).collect()  # one row per source
+    reached = F.count(F.when(F.col("before") < F.col("rest"), filled)) + F.first("passes") * F.count(filled)
+    given = placed.groupBy("source").agg(reached.alias("n"), F.first("target").alias("target")).orderBy(F.col("source").asc_nulls_last()).collect()  # one row per source
     counts = split_quotas(np.array([r["n"] for r in given], np.int64), shards, np.random.default_rng(abs(hash_seed(seed))))
     ends = [(r["source"], [int(x) for x in np.cumsum(c)[:-1]]) for r, c in zip(given, counts, strict=True)]
     deal = spark.createDataFrame(ends, "source string, ends array<bigint>")
     placed = placed.join(deal, same(placed, deal)).drop(deal["source"])
-    table = materialize(placed.withColumnRenamed("source", "s").withColumnRenamed("b", "bb"), "placed")
+    return sized, materialize(placed, "placed"), int(sum(r["target"] or 0 for r in given))
+
+
+def _cut() -> Column:
+    """Whether a source's quota ends inside the block."""
+    return (F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))
+
 
+def _dealt(turn: Column, h: Column, seed: str) -> tuple[Column, Column]:
+    """(shard, place) of a row's draw in a pass."""
+    number = turn * F.col("held") + F.col("i")
+    shard = F.size(F.filter("ends", lambda e: e <= number))
+    return shard, F.md5(F.concat_ws("|", F.lit(seed), turn.cast("string"), h))
+
+
+def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), percent: int = 150, most: int = 2, shards: int = 8, seed: str = "mix") -> DataFrame:
+    """(doc_id, source, block, size, source_size, target, draws) for every row of ``docs`` (doc_id, text, source, ...).
+
+    ``draws`` is an array of (pass, words, shard, place): what the mix takes of the document and where it goes, ``place``
+    being its shuffled sort key inside the shard. ``words`` below ``size`` is a passage from the document's start; there
+    is one such cut per source, so every source gives its target rounded to a word. A null text has size 0, a null source
+    is one source; repeated rows are rows of their own; an empty table gives no rows. Other columns are left aside,
+    whatever their names. A document of size 0 is never drawn. Documents without an id are ordered by their texts.
+    """
+    sized, placed, _ = _layout(docs, weights, percent, most, shards, seed)
+    table = placed.withColumnRenamed("source", "s").withColumnRenamed("b", "bb")
     rows = sized.join(table, sized["source"].eqNullSafe(table["s"]) & (F.col("b") == F.col("bb"))).drop("s", "bb")
-    cut = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))
-    inside = rows.where(cut)
+    inside = rows.where(_cut())
     parts = inside.groupBy("source", "c").agg(F.sum("size").alias("part_words"))
     parts = parts.select(F.col("source").alias("s"), F.col("c").alias("cc"), F.coalesce(F.sum("part_words").over(W.partitionBy("source").orderBy("c").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
     inside = inside.join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("c") == F.col("cc"))).drop("s", "cc")
     within = W.partitionBy("source", "c").orderBy("h", "size", "crc", "doc_id").rowsBetween(W.unboundedPreceding, -1)
     start = F.col("before") + F.col("earlier") + F.coalesce(F.sum("size").over(within), F.lit(0))
     inside = inside.withColumn("partial", F.least(F.greatest(F.col("rest") - start, F.lit(0)), F.col("size"))).drop("earlier")
-    outside = rows.where(~cut).withColumn("partial", F.when(F.col("before") < F.col("rest"), F.col("size")).otherwise(F.lit(0)))
+    outside = rows.where(~_cut()).withColumn("partial", F.when(F.col("before") < F.col("rest"), F.col("size")).otherwise(F.lit(0)))
 
     whole = F.transform(F.sequence(F.lit(0), F.lit(most)), lambda p: F.struct(p.alias("pass"), F.when(p < F.col("passes"), F.col("size")).when(p == F.col("passes"), F.col("partial")).otherwise(0).cast("bigint").alias("words")))
 
     def dealt(draw: Column) -> Column:
-        number = draw["pass"] * F.col("held") + F.col("i")
-        shard = F.size(F.filter("ends", lambda e: e <= number))
-        place = F.md5(F.concat_ws("|", F.lit(seed), draw["pass"].cast("string"), F.col("h")))
+        shard, place = _dealt(draw["pass"], F.col("h"), seed)
         return F.struct(draw["pass"].alias("pass"), draw["words"].alias("words"), shard.alias("shard"), place.alias("place"))
 
     draws = F.transform(F.filter(whole, lambda d: d["words"] > 0), dealt)
-    return outside.unionByName(inside).select("doc_id", "source", "size", "source_size", "target", draws.alias("draws"), *kept)
+    return outside.unionByName(inside).select("doc_id", "source", F.col("b").alias("block"), "size", "source_size", "target", draws.alias("draws"))
 
 
 def hash_seed(seed: str) -> int:
@@ -153,26 +183,53 @@ def hash_seed(seed: str) -> int:
     return int.from_bytes(seed.encode()[:16].ljust(16, b"\0"), "big")
 
 
-def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its n-th word."""
-    ends = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    return F.array_join(F.slice(ends, F.lit(1), n.cast("int")), "")
-
-
-def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
-    """The mix itself: the columns of ``docs`` plus ``_shard`` and ``_place``, one row per draw.
+def _last_hashes(sized: DataFrame, placed: DataFrame) -> DataFrame:
+    """(source, b, last): in the block a source's quota ends in, the last hash whose rows are still drawn.
 
-    A draw that takes part of a document has its text cut after that many words. ``in_shards`` puts the rows in order.
-    The plan is brought back to the texts by a written row key, so doc_id may repeat or be null.
+    Rows are drawn whole; those at the border are drawn if that comes nearer to the quota. Equal hashes (rows that repeat
+    an id) are drawn together.
+    """
+    cuts = placed.where(_cut()).select(F.col("source").alias("s"), F.col("b").alias("bb"), "before", "rest")
+    inside = sized.join(cuts, sized["source"].eqNullSafe(cuts["s"]) & (F.col("b") == F.col("bb"))).drop("s", "bb")
+    units = inside.groupBy("source", "b", "c", "h").agg(F.sum("size").alias("size"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+    parts = units.groupBy("source", "c").agg(F.sum("size").alias("part_words"))
+    earlier = F.coalesce(F.sum("part_words").over(W.partitionBy("source").orderBy("c").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select(F.col("source").alias("s"), F.col("c").alias("cc"), earlier.alias("earlier"))  # 4,096 per source at most
+    units = units.join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("c") == F.col("cc")))
+    within = F.coalesce(F.sum("size").over(W.partitionBy("source", "c").orderBy("h").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    left = F.col("rest") - F.col("before") - F.col("earlier") - within
+    taken = units.withColumn("taken", 2 * left >= F.col("size"))
+    return taken.where("taken").groupBy("source", "b").agg(F.max("h").alias("last"))
+
+
+def mixed_documents(
+    docs: DataFrame, weights: Sequence[int] = (3, 1, 2), percent: int = 150, most: int = 2, shards: int = 8, seed: str = "mix", in_order: bool = False
+) -> DataFrame:
+    """The mix itself: the columns of ``docs`` plus ``_shard`` and ``_place``, one row per draw; with ``in_order`` shard by shard, each in its shuffled order.
+
+    Every text is whole, so a source comes within half a document of its quota (rows with equal doc_id count as one).
+    Rows that repeat an id are all drawn or none, and as often as the others of their source; those without an id are
+    told apart by their texts. Texts without words are never drawn. All columns of the input are kept, whatever their
+    names, but for ``_shard`` and ``_place``, which are replaced. An empty table gives no rows.
     """
     docs = docs.drop("_shard", "_place")
-    rows = keyed_rows(docs)
-    plan = mix_plan(rows, row=ROW, **options).select(ROW, F.col("size").alias("__size"), F.explode("draws").alias("__draw"))
-    joined = rows.join(plan, ROW)
-    text = F.when(F.col("__draw.words") < F.col("__size"), first_words(F.col("text"), F.col("__draw.words"))).otherwise(F.col("text"))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns], F.col("__draw.shard").alias("_shard"), F.col("__draw.place").alias("_place"))
-
-
-def in_shards(mixed: DataFrame) -> DataFrame:
-    """Rows of ``mixed_documents`` shard by shard, each in its shuffled order; a shard may span several partitions."""
-    return mixed.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place")
+    sized, placed, words = _layout(docs, weights, percent, most, shards, seed)
+    last = _last_hashes(sized, placed).select(F.col("source").alias("s"), F.col("b").alias("bb"), "last")
+    marked = placed.join(last, placed["source"].eqNullSafe(last["s"]) & (F.col("b") == F.col("bb")), "left")
+    key = F.concat(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")), F.lit("|"), F.col("b").cast("string"))
+    table = materialize(marked.select(key.alias("key"), "before", "words", "rest", "passes", "held", "i", "ends", "last"), "marked")
+
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.where(F.col("text").cast("string").rlike(WORD)).select(every, F.col("source").cast("string").alias("source"), _order(seed).alias("h"))
+    rows = lookup_join(rows.withColumn("b", _block("h")).withColumn("key", key), table, "key", "h", "inner")
+    whole = F.when(_cut(), F.coalesce(F.col("h") <= F.col("last"), F.lit(False))).otherwise(F.col("before") < F.col("rest"))
+    turns = F.filter(F.sequence(F.lit(0), F.lit(most)), lambda p: (p < F.col("passes")) | ((p == F.col("passes")) & whole))
+    drawn = rows.withColumn("turn", F.explode(turns))
+    shard, place = _dealt(F.col("turn"), F.col("h"), seed)
+    drawn = drawn.select("doc", shard.alias("shard"), place.alias("place"))
+    if in_order:
+        # Places are hashes, so equal stretches of them hold about equally many rows.
+        parts = max(1, -(-words // (shards * WORDS_PER_PART)))
+        stretch = F.expr(f"CAST(conv(substring(place, 1, 6), 16, 10) AS BIGINT) * {parts} div {1 << 24}")
+        drawn = drawn.withColumn("part", (F.col("shard") * parts + stretch).cast("int")).repartitionById(shards * parts, "part").sortWithinPartitions("shard", "place")
+    return drawn.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns], F.col("shard").alias("_shard"), F.col("place").alias("_place"))

@@ -21,6 +21,7 @@ from playrank.llm.set_join import jaccard_components
 from playrank.llm.sharding import shard_records
 from playrank.llm.warc import archive_pages
 from playrank.llm.whitening import whiten
+from playrank.session import materialize
 
 WORDS_SQL = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -85,16 +86,40 @@ def mix_sql(docs: str) -> str:
                    coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
             FROM sized s JOIN quotas q ON s.source IS NOT DISTINCT FROM q.source),
         mixed AS MATERIALIZED (
-            SELECT doc_id, size, source_size, target, coalesce(passes, 0) AS passes,
+            SELECT doc_id, source, h[1:2] AS block, size, source_size, target, coalesce(passes, 0) AS passes,
                    greatest(least(size, round(target)::BIGINT - coalesce(passes, 0) * source_size - before), 0)::BIGINT AS partial
-            FROM drawn)"""
+            FROM drawn),
+        -- Blocks with words that the sources give, again in every pass; the shards share them evenly.
+        dealt AS (
+            SELECT coalesce(sum(times), 0)::BIGINT AS given
+            FROM (SELECT max(passes * (size > 0)::BIGINT + (partial > 0)::BIGINT) AS times FROM mixed GROUP BY source, block) x)"""
 
 
-@query("op4_mixing", "WITH " + mix_sql("documents") + " SELECT doc_id, size, source_size, round(target, 3) AS target, passes * size + partial AS taken FROM mixed")
+MIXING_SQL = f"""
+    WITH {mix_sql("documents")}
+    SELECT doc_id, size, source_size, target, passes * size + partial AS taken,
+           passes * (size > 0)::BIGINT + (partial > 0)::BIGINT AS draws, given // 8 AS least_blocks, (given + 7) // 8 AS most_blocks
+    FROM mixed, dealt"""
+
+
+@query("op4_mixing", MIXING_SQL)
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mix_plan(table(spark, sf_dir, "documents"))
+    """The plan's rows, with the fewest and most blocks that a shard was dealt."""
+    plan = materialize(mix_plan(table(spark, sf_dir, "documents"), shards=8), "plan")
+    dealt = plan.select("source", "block", F.explode("draws").alias("d")).select("source", "block", "d.pass", "d.shard").distinct()
+    counts = {r["shard"]: r["count"] for r in dealt.groupBy("shard").count().collect()}  # eight rows
+    blocks = [counts.get(k, 0) for k in range(8)]
     taken = F.aggregate("draws", F.lit(0).cast("bigint"), lambda total, d: total + d["words"])
-    return plan.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), taken.alias("taken"))
+    return plan.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        taken.alias("taken"),
+        F.size("draws").cast("bigint").alias("draws"),
+        F.lit(min(blocks)).cast("bigint").alias("least_blocks"),
+        F.lit(max(blocks)).cast("bigint").alias("most_blocks"),
+    )
 
 
 def line_dedup_sql(docs: str, min_words: int = 50) -> str:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playrank.llm.runs import components, key_runs, run_bounds
+from playrank.llm.runs import components, join_by_share, key_runs, run_bounds
 from playrank.llm.text import chunks, mix, shingle_sets, signed
 from playrank.session import materialize
 
@@ -386,5 +386,8 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
 
     roots = components(edges)
     named = nodes.join(roots, nodes["sig"] == roots["node"], "left").select("doc_id", "n_shingles", "sig", F.coalesce("root", "sig").alias("root"))
-    smallest = named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(smallest, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = materialize(named, "named")
+    smallest = named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+    grouped = join_by_share(named, smallest, ["root"], named.count())
+    alone = named.where("root IS NULL").withColumn("component_id", F.lit(None).cast("bigint"))
+    return grouped.unionByName(alone).select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

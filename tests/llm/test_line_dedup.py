@@ -89,3 +89,32 @@ def test_odd_rows(odd_docs):
 
 def test_empty_table(no_docs):
     assert dedup_lines(no_docs).count() == 0
+
+
+def test_rows_without_an_id_are_documents_of_their_own(make_docs):
+    passage = " ".join(f"p{i}" for i in range(60))
+    got = sorted(r["text"] for r in dedup_lines(make_docs([(None, passage), (None, passage), (3, f"x\n{passage}")]), 50).collect())
+    assert got == ["", "", f"x\n{passage}"]
+    alone = sorted(r["text"] for r in dedup_lines(make_docs([(None, passage)] * 3), 50).collect())
+    assert alone == ["", "", passage]
+
+
+def test_columns_of_any_name_are_kept(make_docs):
+    from pyspark.sql import functions as F
+
+    rows = texts(4)
+    names = ["__d", "__cut", "__row", "__block", "__bits", "d", "doc", "cut", "r", "n", "a.b"]
+    docs = make_docs(rows).withColumns({c: F.lit(f"clash {c}") for c in names}).withColumn("_deleted", F.lit("gone"))
+    got = dedup_lines(docs, 5)
+    assert got.columns == [*make_docs(rows).columns, *names, "_deleted"]
+    kept = got.collect()
+    assert all(r[c] == f"clash {c}" for r in kept for c in names)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == brute(rows, 5)
+
+
+def test_hot_lines_take_the_broadcast_way(make_docs, monkeypatch):
+    import playrank.llm.runs as module
+
+    rows = [(i, "\n".join([f"own {i}", *[f"line {k} of many" for k in range(6)], "the common line"])) for i in range(80)]
+    monkeypatch.setattr(module, "HOT", 20)
+    assert sorted(((r["doc_id"], r["text"]) for r in dedup_lines(make_docs(rows), 8).collect()), key=str) == brute(rows, 8)

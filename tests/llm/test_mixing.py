@@ -1,8 +1,12 @@
 import hashlib
+import math
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
-from playrank.llm.mixing import hash_seed, in_shards, mix_plan, mixed_documents, split_quotas
+from playrank.llm.mixing import hash_seed, mix_plan, mixed_documents, split_quotas
 
 
 def resharing(sizes, weights, total, most):
@@ -64,13 +68,62 @@ def test_tree_keeps_margins():
     assert np.allclose(mean, 33 / 4, atol=0.5)
 
 
-def test_mixed_texts_hold_the_words_drawn(make_docs):
-    docs = make_docs(corpus())
-    plan = taken(mix_plan(docs))
-    words = {}
-    for r in mixed_documents(docs).collect():
-        words[r["doc_id"]] = words.get(r["doc_id"], 0) + len(r["text"].split())
-    assert {k: v for k, v in words.items() if v} == {k: v[3] for k, v in plan.items() if v[3]}
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def plain_mix(rows):
+    """How often each (doc_id, text, source) row is drawn, whole, for rows without equal ids or with."""
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += words(t)
+    names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
+    target = resharing(sizes, {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}, 1.5 * sum(sizes.values()), 2)
+    units = defaultdict(list)
+    for d, t, s in rows:
+        key = str(d) if d is not None else hashlib.md5((t or "").encode()).hexdigest() if t is not None else None
+        units[s, hashlib.md5("|".join(x for x in ("mix", key) if x is not None).encode()).hexdigest()].append((d, t, s))
+    times = Counter()
+    for s, size in sizes.items():
+        quota = math.floor(target[s] + 0.5)
+        passes = min(quota // size, 2) if size else 0
+        left = quota - passes * size
+        for (source, _), unit in sorted(units.items(), key=lambda u: u[0][1]):
+            if source == s:
+                held = sum(words(t) for _, t, _ in unit)
+                for row in unit:
+                    if words(row[1]):
+                        times[row] += passes + (left > 0 and 2 * left >= held)
+                left -= held
+    return +times
+
+
+@pytest.mark.parametrize("n", [300, 40, 3])
+def test_mixed_texts_are_whole_and_drawn_as_by_hand(make_docs, n):
+    rows = corpus(n)
+    docs = make_docs(rows)
+    got = mixed_documents(docs).collect()
+    assert Counter((r["doc_id"], r["text"], r["source"]) for r in got) == plain_mix(rows)
+    target = {r["source"]: r["target"] for r in mix_plan(docs).collect()}
+    drawn, largest = Counter(), Counter()
+    for r in got:
+        drawn[r["source"]] += words(r["text"])
+    for _, t, s in rows:
+        largest[s] = max(largest[s], words(t))
+    assert all(abs(drawn[s] - target[s]) <= largest[s] / 2 + 1 for s in target)
+
+
+def test_columns_of_any_name_are_kept(make_docs):
+    from pyspark.sql import functions as F
+
+    rows = corpus(30)
+    names = ["__size", "__row", "_size", "doc", "key", "h", "b", "bb", "s", "turn", "part", "last", "before", "words", "ends", "a.b"]
+    docs = make_docs(rows).withColumns({c: F.lit(f"clash {c}") for c in names}).withColumn("_shard", F.lit("gone"))
+    got = mixed_documents(docs, in_order=True)
+    assert got.columns == [*make_docs(rows).columns, *names, "_shard", "_place"]
+    kept = got.collect()
+    assert kept and all(r[c] == f"clash {c}" for r in kept for c in names)
+    assert Counter((r["doc_id"], r["text"], r["source"]) for r in kept) == plain_mix(rows)
 
 
 def test_odd_rows(odd_docs):
@@ -84,23 +137,18 @@ def test_odd_rows(odd_docs):
 
 
 def test_empty_and_wordless_tables(no_docs, make_docs):
-    assert mix_plan(no_docs).count() == 0
+    assert mix_plan(no_docs).count() == 0 and mixed_documents(no_docs, in_order=True).count() == 0
+    assert mixed_documents(make_docs([(1, None), (2, "")])).count() == 0
     assert [r["draws"] for r in mix_plan(make_docs([(1, None), (2, "")])).collect()] == [[], []]
 
 
-def test_rows_that_share_an_id_or_have_none_are_mixed_as_rows_of_their_own(make_docs):
-    """Every row comes as often as its own draws say, never once per pair of rows."""
+def test_rows_that_share_an_id_or_have_none(odd_docs, make_docs):
+    """Rows with one id are drawn together, never once per pair of rows; those without are told apart by their texts."""
     rows = [(7, "a b c d"), (7, "e f"), (7, "g h i"), *[(None, f"n{i} x{i} y{i}") for i in range(30)], *[(i, f"u{i} v{i}") for i in range(100, 130)]]
-    docs = make_docs([(*r, f"src{i % 2}") for i, r in enumerate(rows)])
-    got = mixed_documents(docs).collect()
-    words = sum(len(r["text"].split()) for r in got)
-    assert abs(words - 1.5 * sum(len(t.split()) for _, t in rows)) <= 2
-    originals, times = {t for _, t in rows}, {}
-    for r in got:
-        whole = next(t for t in originals if t == r["text"] or t.startswith(r["text"] + " "))
-        times[whole] = times.get(whole, 0) + 1
-    assert max(times.values()) <= 2
-    assert sum(r["text"] not in originals for r in got) <= 2  # one cut per source
+    rows = [(*r, f"src{i % 2}") for i, r in enumerate(rows)]
+    assert Counter((r["doc_id"], r["text"], r["source"]) for r in mixed_documents(make_docs(rows)).collect()) == plain_mix(rows)
+    odd = [(r["doc_id"], r["text"], r["source"]) for r in odd_docs.collect()]
+    assert Counter((r["doc_id"], r["text"], r["source"]) for r in mixed_documents(odd_docs, in_order=True).collect()) == plain_mix(odd)
 
 
 def test_blocks_are_dealt_as_the_tree_says(make_docs):
@@ -121,5 +169,16 @@ def test_blocks_are_dealt_as_the_tree_says(make_docs):
     assert (counts == split_quotas(given, 8, np.random.default_rng(hash_seed("mix")))).all()
     assert counts.sum(0).max() - counts.sum(0).min() <= 1
 
-    order = [(r["_shard"], r["_place"]) for r in in_shards(mixed_documents(docs)).collect()]
+    order = [(r["_shard"], r["_place"]) for r in mixed_documents(docs, in_order=True).collect()]
     assert order == sorted(order) and len({s for s, _ in order}) == 8
+
+
+def test_shards_of_several_partitions_stay_in_order(make_docs, monkeypatch):
+    import playrank.llm.mixing as module
+
+    docs = make_docs(corpus(200))
+    monkeypatch.setattr(module, "WORDS_PER_PART", 300)
+    mixed = mixed_documents(docs, in_order=True)
+    assert mixed.rdd.getNumPartitions() > 16
+    order = [(r["_shard"], r["_place"]) for r in mixed.collect()]
+    assert order == sorted(order)

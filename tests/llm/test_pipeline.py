@@ -67,14 +67,13 @@ def test_near_copies(stages):
 
 
 def test_mix(stages):
-    from playrank.llm.queries import mix_sql
+    from collections import Counter
+
+    from test_mixing import plain_mix
 
     before, after = stages[3]
-    text = f"WITH {mix_sql('{docs}')} SELECT doc_id, passes * size + partial AS taken FROM mixed WHERE taken > 0"
-    drawn = {}
-    for r in after.collect():
-        drawn[r["doc_id"]] = drawn.get(r["doc_id"], 0) + len(r["text"].split())
-    assert drawn == dict(sql(before, text))
+    times = Counter(tuple(r) for r in after.select("doc_id", "text", "source").collect())
+    assert times == plain_mix([tuple(r) for r in before.select("doc_id", "text", "source").collect()])
 
 
 def test_encoding(stages):
@@ -94,12 +93,55 @@ def test_run_equals_the_stages(spark, stages):
     assert rows(corpus_pipeline.run(spark, SF), "doc_id", "ids_sha256") == rows(stages[-1][1], "doc_id", "ids_sha256")
 
 
-def test_odd_rows_pass_every_stage(odd_docs, no_docs, spark):
+def test_odd_rows_by_stage(odd_docs, spark):
+    """What every stage makes of odd rows, row by row."""
+    from collections import Counter
+
+    import corpus_pipeline
+    import sentencepiece
+    from odd_rows import ODD
+    from test_line_dedup import brute
+    from test_mixing import plain_mix
+
+    from playrank.llm.queries import public_model
+
+    texts = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    good = {(r["doc_id"], r["text"]) for r in odd_docs.collect() if r["text"] and len(r["text"].split()) >= 10}
+    kept = texts(corpus_pipeline.quality(spark, odd_docs, SF))
+    assert set(kept) <= good and (None, ODD[0][1]) in kept
+    assert texts(corpus_pipeline.lines(spark, odd_docs, SF)) == brute(ODD, 50)
+    once = [r for i, r in enumerate(ODD) if r[0] != 6 and not (r[0] == 7 and ODD[i - 1][0] == 7)]
+    assert texts(corpus_pipeline.near_copies(spark, odd_docs, SF)) == sorted(once, key=str)
+    mixed = corpus_pipeline.mix(spark, odd_docs, SF).select("doc_id", "text", "source").collect()
+    assert Counter(map(tuple, mixed)) == plain_mix([(r["doc_id"], r["text"], r["source"]) for r in odd_docs.collect()])
+    library = sentencepiece.SentencePieceProcessor(model_file=public_model())
+    coded = sorted(((r["doc_id"], list(r["ids"])) for r in corpus_pipeline.encode(spark, odd_docs, SF).collect()), key=str)
+    assert coded == sorted(((d, library.encode(t or "")) for d, t in ODD), key=str)
+
+
+def test_no_rows_by_stage(no_docs, spark):
+    import corpus_pipeline
+
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_docs, SF).collect() == []
+
+
+def test_a_stage_deletes_what_the_one_before_wrote_and_nothing_else(spark, make_docs, tmp_path):
+    import os
+
     import corpus_pipeline
 
-    for docs in (odd_docs, no_docs):
-        for _, stage in corpus_pipeline.STAGES[1:]:
-            assert stage(spark, docs, SF).count() >= 0
+    text = lambda k: " ".join(f"w{k}n{i}" for i in range(30))
+    docs = make_docs([(k, text(k // 2)) for k in range(10)])
+    first = corpus_pipeline.near_copies(spark, docs, SF)
+    written = list(corpus_pipeline._working[spark.sparkContext.applicationId])
+    assert written and all(os.path.exists(p) for p in written)
+    first.write.parquet(str(tmp_path / "kept"))
+    corpus_pipeline.mix(spark, spark.read.parquet(str(tmp_path / "kept")), SF).collect()
+    assert not any(os.path.exists(p) for p in written)
+    # A result that was not written keeps its tables.
+    unwritten = corpus_pipeline.lines(spark, make_docs([(1, "a\n" * 60 + text(1)), (2, "a\n" * 60 + text(2))]), SF)
+    assert corpus_pipeline.mix(spark, unwritten, SF).count() > 0
 
 
 def test_one_row_stays_of_repeated_and_null_ids(make_docs):
