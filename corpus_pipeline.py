@@ -1,38 +1,59 @@
 """A training-data pipeline over ``documents``: filter, delete repeated lines, keep one of each group of near copies, mix, encode.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
-one's docs. All but the last return the columns of ``documents``; ``n_chars`` follows the text.
+one's docs. All but the last return the columns of ``documents``; ``n_chars`` follows the text. When a stage begins, the
+working tables of the stage before are deleted, since its result has been written.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playrank.llm.line_dedup import dedup_lines
-from playrank.llm.mixing import in_shards, mixed_documents
+from playrank.llm.mixing import mixed_documents
 from playrank.llm.pieces import encode_digests
 from playrank.llm.quality_rules import filter_quality
 from playrank.llm.queries import public_model
-from playrank.llm.runs import ROW, keyed_rows
+from playrank.llm.runs import split_by_keys
 from playrank.llm.set_join import jaccard_components
-from playrank.session import new_path
+from playrank.session import drop_tables, materialize, new_path, recording
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_working: dict[str, list[str]] = {}  # by application, the tables that its last stage wrote
+
+
+def _stage(work: Stage) -> Stage:
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        session = docs.sparkSession
+        drop_tables(session, _working.pop(session.sparkContext.applicationId, []), keep=docs)
+        with recording() as written:
+            result = work(session, docs, sf_dir)
+        _working[session.sparkContext.applicationId] = written
+        return result
+
+    return run_stage
 
 
 def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base limits or a learned rule reject go."""
     labels = spark.read.parquet(os.path.join(sf_dir, "labels.parquet"))
     return filter_quality(docs, labels).select(*COLUMNS)
 
 
+@_stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated runs of lines go; so does a document of which no word is left."""
     cut = dedup_lines(docs, 50)
@@ -40,25 +61,37 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _counted(cut.where(~F.coalesce(emptied, F.lit(False))))
 
 
+@_stage
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row stays of each group linked by 5-word shingles at 0.8 or more: that with the smallest id, null last.
 
-    Rows are told apart by a written key, so rows that repeat an id or have none are copies like all others.
+    Rows that repeat an id or have none are copies like all others; of rows with equal id and text one stays. Rows
+    without words stay. Only rows that may have to go are shuffled.
     """
-    rows = keyed_rows(docs.select(*COLUMNS))
-    groups = jaccard_components(rows.select(F.col(ROW).alias("doc_id"), "text"), 5, 80)
-    groups = groups.select(F.col("doc_id").alias(ROW), "component_id")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("text"), F.xxhash64("lang", "source", "n_chars").alias("others"), ROW)
-    placed = rows.select(ROW, place.alias("place")).join(groups, ROW)
-    first = placed.groupBy("component_id").agg(F.min("place").alias("place")).select(F.col(f"place.{ROW}").alias(ROW))
-    return rows.join(first, ROW, "left_semi").select(*COLUMNS)
-
-
+    rows = docs.select(F.xxhash64(F.col("doc_id").cast("bigint"), "text").alias("key"), *COLUMNS)
+    groups = jaccard_components(rows.select(F.col("key").alias("doc_id"), "text"), 5, 80).where("n_shingles > 0")
+    groups = groups.groupBy(F.col("doc_id").alias("key")).agg(F.first("component_id").alias("component_id"), F.count("*").alias("copies"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("text"))
+    placed = rows.groupBy("key").agg(F.min(place).alias("place")).join(groups, "key")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("place", "key")).alias("first")).select(F.col("first.key").alias("key"), F.lit(True).alias("stays"))
+    # Of a key: whether its rows go, or one of several stays.
+    judged = groups.select("key", "copies").join(first, "key", "left").where("stays IS NULL OR copies > 1").select("key", F.coalesce("stays", F.lit(False)).alias("stays"))
+    judged = materialize(judged, "judged")
+    asked, others = split_by_keys(rows, "key", judged)
+    unjudged = asked.join(judged, "key", "left_anti")
+    several = asked.join(judged.where("stays").select("key"), "key")
+    nth = F.row_number().over(W.partitionBy("key").orderBy("lang", "source", "n_chars"))
+    one = several.withColumn("nth", nth).where("nth = 1").select(*rows.columns)
+    return others.unionByName(unjudged).unionByName(one).select(*COLUMNS)
+
+
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: a document comes as often as the mix draws it, in the order of the shards."""
-    return _counted(in_shards(mixed_documents(docs)))
+    """Sources at their target weights: a whole document comes as often as the mix draws it, in the order of the shards."""
+    return _counted(mixed_documents(docs, in_order=True))
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text."""
     return encode_digests(docs, public_model(), with_ids=True)
