@@ -21,8 +21,8 @@ def keyed_rows(df: DataFrame) -> DataFrame:
     return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
 
 
-def join_by_share(left: DataFrame, right: DataFrame, keys: list[str], total: int, n: str = "n") -> DataFrame:
-    """Inner join to a table that has each key once, ``n`` being the rows ``left`` has of it, ``total`` all of them.
+def join_by_share(left: DataFrame, right: DataFrame, keys: list[str], total: int, n: str = "n", how: str = "inner") -> DataFrame:
+    """Join (inner or left) to a table that has each key once, ``n`` being the rows ``left`` has of it, ``total`` all of them.
 
     Keys with a share of 1/``HOT`` or more, ``HOT`` at most, are broadcast, so no key's rows have to meet in one task. The
     column ``n`` is left out.
@@ -30,7 +30,7 @@ def join_by_share(left: DataFrame, right: DataFrame, keys: list[str], total: int
     often = F.col(n) * HOT >= F.lit(total)
     hot = F.broadcast(right.where(often).drop(n))
     rest = left.join(hot.select(*keys), keys, "left_anti")
-    return left.join(hot, keys).unionByName(rest.join(right.where(~often).drop(n), keys))
+    return left.join(hot, keys).unionByName(rest.join(right.where(~often).drop(n), keys, how))
 
 
 def split_by_keys(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:

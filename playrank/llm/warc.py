@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, IsNull
 
+from playrank.llm.runs import join_by_share, split_by_keys
 from playrank.session import materialize, new_path
 
 FILE_BYTES = 64 << 20
@@ -101,13 +102,15 @@ class _Input:
         self.buffer, self.at = self.buffer[self.at :] + new, 0
         return bool(new)
 
-    def until(self, mark: bytes) -> bytes | None:
-        """Bytes up to and with the mark; None at the end of the file."""
+    def until(self, mark: bytes, limit: int | None = None) -> bytes | None:
+        """Bytes up to and with the mark; None at the end of the file. With a limit, None too if the mark is not within it."""
         seen = self.at
-        while (found := self.buffer.find(mark, seen)) < 0:
+        while (found := self.buffer.find(mark, seen, None if limit is None else self.at + limit)) < 0:
             had = len(self.buffer) - self.at
+            if limit is not None and had >= limit:
+                return None
             if not self._more():
-                if self.buffer.strip():
+                if limit is not None or self.buffer.strip():
                     raise ValueError("a WARC record breaks off")
                 return None
             seen = max(0, had - len(mark))
@@ -148,6 +151,22 @@ def fields(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in pairs}
 
 
+def digest_of(value: str | None) -> str | None:
+    """A SHA-1 in base 32 as bare hexadecimal digits; any other digest as it stands."""
+    if value and value.lower().startswith("sha1:") and len(value) == 37:
+        try:
+            return base64.b32decode(value[5:].upper()).hex()
+        except ValueError:
+            return value
+    return value
+
+
+def stated_length(http: bytes) -> int | None:
+    """The length that an HTTP head states, if it states one."""
+    value = fields(http).get("content-length", "")
+    return int(value) if value.isascii() and value.isdigit() else None
+
+
 class WarcPartition(InputPartition):
     def __init__(self, file: str) -> None:
         self.file = file
@@ -207,18 +226,22 @@ class WarcReader(DataSourceReader):
         try:
             while (head := source.until(b"\r\n\r\n")) is not None:
                 header = fields(head.lstrip())
+                if not header.get("content-length", "").isdigit():
+                    raise ValueError("a WARC record without a length")
                 length = int(header["content-length"])
                 row: dict = {n: header.get(h) for n, h in HEADER_OF.items()}
                 for n in ("record_id", "refers_to"):
                     row[n] = row[n] and row[n].strip("<>")
-                if row["payload_digest"]:
-                    row["payload_digest"] = base64.b32decode(row["payload_digest"].removeprefix("sha1:")).hex()
+                row["payload_digest"] = digest_of(row["payload_digest"])
                 if not self._wanted(row):
                     source.skip(length + 4)
                     continue
-                http = source.until(b"\r\n\r\n") if "application/http" in header.get("content-type", "") else b""
-                row["payload_length"] = int(fields(http)["content-length"]) if http else length
+                # A block without a blank line has no HTTP head; all of it is payload then.
+                http = (source.until(b"\r\n\r\n", length) or b"") if "application/http" in header.get("content-type", "") else b""
                 rest = length - len(http)
+                # What a revisit leaves out is only stated; all else has the length that is there.
+                stated = stated_length(http) if row["warc_type"] == "revisit" else None
+                row["payload_length"] = rest if stated is None else stated
                 if self.skip_payload or row["warc_type"] == "revisit":
                     row["payload"] = None
                     source.skip(rest + 4)
@@ -266,8 +289,12 @@ def page_records(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     sized = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("target_uri"), payload.alias("payload"))
     sized = sized.withColumns({"payload_digest": F.sha1("payload"), "payload_length": F.octet_length("payload").cast("bigint")})
-    large = sized.where(F.col("payload_length") >= least_bytes).groupBy(F.col("payload_digest").alias("same")).agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
-    found = sized.join(large.where("n > 1").drop("n"), F.col("payload_digest") == F.col("same"), "left")
+    large = sized.where(F.col("payload_length") >= least_bytes).groupBy("payload_digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
+    large = materialize(large.where("n > 1"), "repeated")
+    # Only pages whose payload may be repeated are shuffled, and a payload that many share is not one task's group.
+    sized = sized.withColumn("hash", F.xxhash64("payload_digest"))
+    asked, others = split_by_keys(sized, "hash", large.select(F.xxhash64("payload_digest").alias("hash")))
+    found = join_by_share(asked, large, ["payload_digest"], pages.count(), how="left").unionByName(others.withColumn("first", F.lit(None).cast("bigint")))
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     name = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")))
     return found.select(

@@ -89,6 +89,70 @@ def test_unwanted_payloads_are_not_read(tmp_path, monkeypatch):
     assert sum(b.num_rows for b in batches) == 2 and len(read) <= 6
 
 
+def record(kind, block, **header):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"Content-Length: {len(block)}", *[f"{k.replace('_', '-')}: {v}" for k, v in header.items()]]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_archives_of_others_are_read(tmp_path, packed):
+    """HTTP heads without a length, foreign digests, blocks without a blank line, records that are no HTTP."""
+    http = "application/http; msgtype=response"
+    sha = "sha1:" + __import__("base64").b32encode(hashlib.sha1(b"body").digest()).decode()
+    raw = b"".join(
+        [
+            record("warcinfo", b"software: x\r\n"),
+            record("response", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\nbody", Content_Type=http, WARC_Payload_Digest=sha, WARC_Record_ID="<urn:a>"),
+            record("response", b"HTTP/1.1 200 OK\r\nContent-Length: 999\r\n\r\nshort", Content_Type=http, WARC_Payload_Digest="md5:0123456789abcdef", WARC_Record_ID="<urn:b>"),
+            record("response", b"no blank line here", Content_Type=http, WARC_Payload_Digest="sha1:notbase32!", WARC_Record_ID="<urn:c>"),
+            record("response", b"", Content_Type=http, WARC_Record_ID="<urn:d>"),
+            record("revisit", b"HTTP/1.1 200 OK\r\nContent-Length: 77\r\n\r\n", Content_Type=http, WARC_Record_ID="<urn:e>", WARC_Refers_To="<urn:a>"),
+            record("revisit", b"HTTP/1.1 200 OK\r\nContent-Length: many\r\n\r\n", Content_Type=http, WARC_Record_ID="<urn:f>"),
+            record("resource", b"\x00\r\n\r\n\xff", WARC_Record_ID="<urn:g>"),
+            record("response", b"HTTP/1.1 200 OK\r\n\r\nlast", Content_Type=http, WARC_Record_ID="<urn:h>"),
+        ]
+    )
+    name = tmp_path / ("x.warc.gz" if packed else "x.warc")
+    name.write_bytes(gzip.compress(raw) if packed else raw)
+    for payload in ("read", "skip"):
+        reader = WarcReader({"path": str(tmp_path), "payload": payload})
+        rows = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+        assert [(r["record_id"], r["payload_length"], r["payload_digest"]) for r in rows] == [
+            (None, 13, None),
+            ("urn:a", 4, hashlib.sha1(b"body").hexdigest()),
+            ("urn:b", 5, "md5:0123456789abcdef"),
+            ("urn:c", 18, "sha1:notbase32!"),
+            ("urn:d", 0, None),
+            ("urn:e", 77, None),
+            ("urn:f", 0, None),
+            ("urn:g", 6, None),
+            ("urn:h", 4, None),
+        ]
+        if payload == "read":
+            assert [r["payload"] for r in rows] == [b"software: x\r\n", b"body", b"short", b"no blank line here", b"", None, None, b"\x00\r\n\r\n\xff", b"last"]
+
+
+def test_a_record_without_a_length_is_an_error(tmp_path):
+    (tmp_path / "a.warc").write_bytes(b"WARC/1.0\r\nWARC-Type: response\r\n\r\nx")
+    reader = WarcReader({"path": str(tmp_path)})
+    with pytest.raises(ValueError, match="without a length"):
+        list(reader.read(reader.partitions()[0]))
+
+
+def test_a_payload_that_many_pages_share(spark, monkeypatch):
+    import playrank.llm.runs as module
+
+    monkeypatch.setattr(module, "HOT", 4)
+    rows = [(k, f"u{k}", "shared" * 300 if k % 3 == 0 else f"pair {k // 20}" * 200 if k % 3 == 1 else f"own {k}" * 300) for k in range(120)]
+    got = page_records(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    last = {}
+    for k, _, html in rows:
+        last[html] = max(last.get(html, k), k)
+    assert sorted((r["record_id"], r["warc_type"], r["refers_to"]) for r in got) == sorted(
+        (f"urn:page:{k}", "response" if last[h] == k else "revisit", None if last[h] == k else f"urn:page:{last[h]}") for k, _, h in rows
+    )
+
+
 def test_a_broken_archive_is_an_error(tmp_path):
     import playrank.llm.warc as module
 
