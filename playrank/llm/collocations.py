@@ -32,7 +32,7 @@ from playrank.llm.runs import ROW, keyed_rows
 from playrank.llm.text import LOWER, SPACE, chunks, mix, signed, span_hashes, words
 from playrank.session import materialize
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20  # bytes of text looked at together
 LEAST_BITS, MOST_BITS = 16, 28
 BITS_PER_PAIR = 16
 BLOCK = 32_768  # bits in one value of Spark's bitmap aggregate
@@ -160,14 +160,13 @@ def mine_phrases(docs: DataFrame, longest: int = 4, min_count: int = 30, cover:
     total = edges.groupBy("lang").agg(F.sum("c").alias("n"))
 
     # From level to level: a node has the flow of the edges that leave it and of the ends that stop at it.
-    level, levels = edges, [edges.where(F.col("words") == longest)]
+    frequent = lambda level, k: level.where((F.col("words") == k) & (F.col("c") >= min_count))
+    level, often = edges, frequent(edges, longest)
     for k in range(longest - 1, 0, -1):
         level = level.groupBy("lang", F.least("words", F.lit(k)).alias("words"), _first_words(k).alias("phrase")).agg(F.sum("c").alias("c"))
-        levels.append(level.where(F.col("words") == k))
-    often = levels[0]
-    for more in levels[1:]:
-        often = often.unionByName(more)
-    often = materialize(often.where(F.col("c") >= min_count).select("lang", "words", "phrase", F.col("c").alias("f")), "runs")
+        level = materialize(level, "nodes")
+        often = often.unionByName(frequent(level, k))
+    often = often.withColumnRenamed("c", "f")
 
     sides = F.array(F.struct(F.lit(1).alias("out"), _first_words(F.col("words") - 1).alias("part")), F.struct(F.lit(0).alias("out"), _first_words(1 - F.col("words")).alias("part")))
     around = often.where("words > 1").select("lang", "f", F.explode(sides).alias("side")).select("lang", "f", "side.*")
