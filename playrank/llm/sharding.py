@@ -7,12 +7,15 @@
 3. Records are range-partitioned once, texts included. Inside a range a running sum of bytes gives each record's exact
    place in the whole order, and so its shard: shards differ by less than one record.
 
-The order is (hash of the text, doc_id, checksum), so equal texts stand together, and a text that makes up a large share of
-all rows is cut between its documents like anything else.
+The order is (hash of the text, doc_id, checksum), so equal texts stand together. A border between shards is moved to the
+edge of a group of equal texts where the group is small against a shard (``1 / WHOLE``); only a larger group is cut between
+its documents.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,6 +24,7 @@ from playrank.session import materialize, new_path
 
 RANGES = 256
 DRAWS = 16  # sampled keys per range
+WHOLE = 32
 PIECE_BYTES = 32 << 20  # a range above twice this, or above twice its fair share, is subdivided
 
 KEY = ["__key", "__id", "__crc"]
@@ -59,12 +63,13 @@ def shard_records(docs: DataFrame, shards: int = 8, ranges: int = RANGES, piece_
     """Write every row of ``docs`` (doc_id, text, ...) to folders ``_shard=0..`` and read them: all columns plus _size, _shard, _slot.
 
     Size is the text's UTF-8 bytes plus one, so null and empty texts weigh 1. ``_slot`` counts from 0 without gaps inside
-    a shard, in key order. Equal rows are interchangeable, null ids come first within equal texts, an empty table gives
+    a shard, in key order. Rows of equal text share a shard unless they hold more than ``1 / WHOLE`` of one (about a range's
+    share with many ranges). Equal rows are interchangeable, null ids come first within equal texts, an empty table gives
     no rows. Input columns called _size, _shard, _slot or like the working ``__`` columns are replaced.
     """
     if shards < 1 or ranges < 1:
         raise ValueError("shards and ranges must be positive")
-    working = [*KEY, "__size", "_size", "_shard", "_slot", "__range", "__sub"]
+    working = [*KEY, "__size", "_size", "_shard", "_slot", "__range", "__sub", "__held", "__from"]
     keep = [c for c in docs.columns if c not in working]
     records = _keyed(docs.select(*keep))
     keys = materialize(records.select(*KEY, "__size"), "keys")
@@ -79,8 +84,12 @@ def shard_records(docs: DataFrame, shards: int = 8, ranges: int = RANGES, piece_
     edges = sample.select(*KEY, quantile.alias("q"), F.floor((upto - F.col("w")) * ranges / whole).alias("q0"))
     chosen = edges.where((F.col("q") > F.col("q0")) & (F.col("q") < ranges)).orderBy(*KEY).collect()  # below ``ranges`` rows
 
+    # A splitter whose text is no other splitter's stands before all rows of the text, so only large groups are split.
+    shared = Counter(row["__key"] for row in chosen)
+
     def literal(row) -> Column:
-        return F.struct(*[F.lit(row[c]).cast("bigint").alias(c) for c in KEY])
+        inside = shared[row["__key"]] > 1
+        return F.struct(*[F.lit(row[c] if inside or c == "__key" else None).cast("bigint").alias(c) for c in KEY])
 
     first = F.array(*[literal(r) for r in chosen]) if chosen else F.array().cast(f"array<{KEY_TYPE}>")
     range_of = _count_below(first, F.lit(len(chosen)), max(1, len(chosen).bit_length()))
@@ -93,6 +102,8 @@ def shard_records(docs: DataFrame, shards: int = 8, ranges: int = RANGES, piece_
     inner = _drawn(ranged.join(overfull, "__range"), F.col("pieces") * DRAWS, F.col("bytes"), "second")
     turn = W.partitionBy("__range").orderBy(*KEY)
     inner = inner.withColumn("nth", F.row_number().over(turn)).where(F.col("nth") % DRAWS == 0)
+    inner = inner.withColumn("inside", F.count("*").over(W.partitionBy("__range", "__key")) > 1)
+    inner = inner.withColumns({c: F.when(F.col("inside"), F.col(c)) for c in KEY[1:]})
     finer = inner.groupBy("__range").agg(F.array_sort(F.collect_set(F.struct(*KEY))).alias("inner"))
     finer = materialize(finer, "splitters")
 
@@ -113,8 +124,12 @@ def shard_records(docs: DataFrame, shards: int = 8, ranges: int = RANGES, piece_
     # The one shuffle of whole records.
     piece = W.partitionBy("__range", "__sub").orderBy(*KEY)
     ordered = placed(records).withColumns({"__nth": F.row_number().over(piece), "__upto": F.sum("__size").over(piece.rowsBetween(W.unboundedPreceding, 0))})
+    group = W.partitionBy("__range", "__sub", "__key")
+    ordered = ordered.withColumns({"__held": F.sum("__size").over(group), "__from": F.min(F.col("__upto") - F.col("__size")).over(group)})
     joined = ordered.join(offsets, ["__range", "__sub"])
-    middle = 2 * (F.col("__bytes") + F.col("__upto")) - F.col("__size")
+    of_row = 2 * (F.col("__bytes") + F.col("__upto")) - F.col("__size")
+    of_group = 2 * (F.col("__bytes") + F.col("__from")) + F.col("__held")
+    middle = F.when(F.col("__held") * F.lit(shards * WHOLE) <= F.lit(total), of_group).otherwise(of_row)
     shard = F.least(F.lit(shards - 1), F.floor(middle * F.lit(shards) / F.lit(2 * max(total, 1)))).cast("int")
     out = joined.select(*keep, F.col("__size").alias("_size"), (F.col("__rows") + F.col("__nth") - 1).alias("__row"), shard.alias("_shard"))
     out.write.partitionBy("_shard").parquet(path)

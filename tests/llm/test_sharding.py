@@ -12,7 +12,7 @@ def rows_of(n, hot=0.0, seed=1):
     return [(i, "the one hot text" if rng.random() < hot else "x" * int(rng.exponential(200))) for i in range(n)]
 
 
-def check(rows, got, shards):
+def check(rows, got, shards, group=0):
     assert sorted((r["doc_id"], r["text"]) for r in got) == sorted(rows)
     size = np.zeros(shards)
     slots = {}
@@ -23,7 +23,7 @@ def check(rows, got, shards):
         largest = max(largest, r["_size"])
         slots.setdefault(r["_shard"], []).append(r["_slot"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    assert size.max() - size.min() <= 2 * largest
+    assert size.max() - size.min() <= 2 * max(largest, group)
     return slots
 
 
@@ -42,6 +42,21 @@ def test_equal_texts_stand_together(make_docs):
     assert sum(a != b for a, b in zip(order, order[1:], strict=False)) == 39
 
 
+@pytest.mark.parametrize("piece_bytes", [32 << 20, 300])
+def test_small_groups_of_equal_texts_are_not_cut(make_docs, piece_bytes):
+    """Groups of one to five; beside them one text with a third of all rows, which has to be cut."""
+    rows = [(i, f"text {i // 3 if i % 2 else i // 5} " + "y" * (i // 3 % 7)) for i in range(2000)] + [(i, "hot") for i in range(2000, 5000)]
+    got = shard_records(make_docs(rows), 4, ranges=16, piece_bytes=piece_bytes).collect()
+    check(rows, got, 4, group=200)
+    shards, sizes = {}, {}
+    for r in got:
+        shards.setdefault(r["text"], set()).add(r["_shard"])
+        sizes[r["text"]] = sizes.get(r["text"], 0) + r["_size"]
+    small = [t for t in sizes if sizes[t] * 4 * 32 <= sum(sizes.values())]
+    assert len(small) > 500 and all(len(shards[t]) == 1 for t in small)
+    assert len(shards["hot"]) > 1 or sizes["hot"] * 4 < sum(sizes.values())
+
+
 def test_shards_are_folders(spark, make_docs, tmp_path):
     rows = rows_of(200)
     shard_records(make_docs(rows), 4, path=str(tmp_path / "out")).count()
