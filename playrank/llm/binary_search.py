@@ -5,7 +5,7 @@ m segments at least, so looking up each segment's values at growing radius r fin
 done as soon as its k-th verified distance is covered; until then only queries still open take part in the next radius.
 
 Codes are indexed per (segment, value prefix), about ``GROUP_CODES`` in each, and a query visits the prefixes within its radius.
-Inside a group its probes are table lookups. Equal codes are one entry (with their k smallest ids), so a code that a third of
+Inside a group its probes are table lookups, or, where they outnumber the group's codes, a comparison with each. Equal codes are one entry (with their k smallest ids), so a code that a third of
 the rows share costs no more than any other.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from playrank.session import materialize
 
 BITS = 64
 GROUP_CODES = 4096
+LITERALS = 512  # near prefixes written into a plan at most
 
 
 def sign_code(vector: Column | str) -> Column:
@@ -49,7 +51,7 @@ def _search(width: int, prefix_bits: int, radius: int, k: int):
     low_bits = width - prefix_bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_weight = {w: masks(low_bits, w) for w in range(min(radius, low_bits) + 1)}
+        by_weight: dict[int, np.ndarray] = {}
         for table in key_runs(batches, ["seg", "prefix"]):
             seg, prefix, query = (table[c].to_numpy() for c in ("seg", "prefix", "query"))
             code, least, bound = (table[c].to_numpy() for c in ("code", "least_id", "bound"))
@@ -68,22 +70,30 @@ def _search(width: int, prefix_bits: int, radius: int, k: int):
                 own = value(asked)
                 away = np.bitwise_count(((own >> low_bits) ^ int(prefix[a])).astype(np.uint64))
                 for w in np.unique(away).tolist():
-                    if w > radius or radius - w not in by_weight:
+                    if w > radius or radius - w > low_bits:
                         continue
                     some = asked[away == w]
-                    step = max(1, (1 << 20) // max(1, len(by_weight[radius - w])))
+                    probing = comb(low_bits, radius - w) <= len(held)
+                    if probing and radius - w not in by_weight:
+                        by_weight[radius - w] = masks(low_bits, radius - w)
+                    step = max(1, (1 << 20) // max(1, len(by_weight[radius - w]) if probing else len(held)))
                     for at in range(0, len(some), step):
                         part = some[at : at + step]
-                        probes = ((value(part) & ((1 << low_bits) - 1))[:, None] ^ by_weight[radius - w][None, :]).ravel()
-                        first, last = (starts[probes], starts[probes + 1]) if low_bits <= 20 else (np.searchsorted(low, probes), np.searchsorted(low, probes, "right"))
-                        n = last - first
-                        hit = np.flatnonzero(n)
-                        if not len(hit):
+                        mine_low = value(part) & ((1 << low_bits) - 1)
+                        if probing:
+                            probes = (mine_low[:, None] ^ by_weight[radius - w][None, :]).ravel()
+                            first, last = (starts[probes], starts[probes + 1]) if low_bits <= 20 else (np.searchsorted(low, probes), np.searchsorted(low, probes, "right"))
+                            n = last - first
+                            hit = np.flatnonzero(n)
+                            count = n[hit]
+                            offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                            rows = held[np.repeat(first[hit], count) + offset]
+                            who = part[np.repeat(hit // len(by_weight[radius - w]), count)]
+                        else:  # more probes than codes: compare with the codes themselves
+                            one, other = np.nonzero(np.bitwise_count((mine_low[:, None] ^ low[None, :]).astype(np.uint64)) == radius - w)
+                            who, rows = part[one], held[other]
+                        if not len(rows):
                             continue
-                        count = n[hit]
-                        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                        rows = held[np.repeat(first[hit], count) + offset]
-                        who = part[np.repeat(hit // len(by_weight[radius - w]), count)]
                         differ = code[who].view(np.uint64) ^ code[rows].view(np.uint64)
                         distance = np.bitwise_count(differ).astype(np.int64)
                         # A pair is reported where it is met first: at its smallest segment distance, the lowest such segment.
@@ -135,8 +145,13 @@ def search_codes(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     open_queries = materialize(queries.select(F.col("query_code").alias("code"), F.lit(BITS).cast("bigint").alias("bound")).distinct(), "open")
     found: DataFrame | None = None
     for radius in range(width + 1):
-        near = np.concatenate([masks(prefix_bits, w) for w in range(min(radius, prefix_bits) + 1)])
-        visits = open_queries.select("code", "bound", segments).withColumn("prefix", F.explode(F.transform(F.array(*[F.lit(int(x)) for x in near]), lambda x: head.bitwiseXOR(x.cast("bigint")))))
+        if sum(comb(prefix_bits, w) for w in range(min(radius, prefix_bits) + 1)) <= LITERALS:
+            near = np.concatenate([masks(prefix_bits, w) for w in range(min(radius, prefix_bits) + 1)])
+            prefixes = F.transform(F.array(*[F.lit(int(x)) for x in near]), lambda x: head.bitwiseXOR(x.cast("bigint")))
+        else:  # too many for a plan: of all prefixes those near enough
+            every = F.sequence(F.lit(0).cast("bigint"), F.lit((1 << prefix_bits) - 1).cast("bigint"))
+            prefixes = F.filter(every, lambda x, r=radius: F.bit_count(x.bitwiseXOR(head)) <= r)
+        visits = open_queries.select("code", "bound", segments).withColumn("prefix", F.explode(prefixes))
         visits = visits.select("seg", "prefix", F.lit(True).alias("query"), "code", F.lit(0).cast("bigint").alias("least_id"), "bound")
         dealt = index.unionByName(visits).repartition("seg", "prefix").sortWithinPartitions("seg", "prefix")
         new = materialize(dealt.mapInArrow(_search(width, prefix_bits, radius, k), "query_code bigint, code bigint, distance bigint"), "found")

@@ -43,12 +43,13 @@ def test_wide_segments_and_prefixes(spark):
     rows = codes(5000, 40, 20, 8)
     queries = rows[::500]
     schema = "id bigint, code bigint"
-    before, module.GROUP_CODES = module.GROUP_CODES, 64
+    before = module.GROUP_CODES, module.LITERALS
     try:
-        got = search_codes(spark.createDataFrame(rows, schema), spark.createDataFrame(queries, schema), 10)
-        assert sorted(tuple(r) for r in got.collect()) == brute(rows, queries, 10)
+        for module.GROUP_CODES, module.LITERALS in ((64, 512), (64, 3)):
+            got = search_codes(spark.createDataFrame(rows, schema), spark.createDataFrame(queries, schema), 10)
+            assert sorted(tuple(r) for r in got.collect()) == brute(rows, queries, 10)
     finally:
-        module.GROUP_CODES = before
+        module.GROUP_CODES, module.LITERALS = before
 
 
 def test_equal_codes_nulls_and_empty_sides(spark):
