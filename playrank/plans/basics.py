@@ -549,22 +549,27 @@ def union_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "rel9_set_difference",
-    sql("catalog train test", "SELECT item_id FROM catalog EXCEPT SELECT item_id FROM train WHERE hours > 4.9 EXCEPT SELECT item_id FROM test WHERE hours > 4.9"),
+    sql(
+        "train validation test",
+        """SELECT user_id, item_id FROM (SELECT * FROM train UNION ALL SELECT * FROM validation UNION ALL SELECT * FROM test) every
+           EXCEPT SELECT user_id, item_id FROM train EXCEPT SELECT user_id, item_id FROM test WHERE is_positive""",
+    ),
 )
 def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalog items without a long session in either split."""
+    """All pairs less those seen in training, less the held-out positives."""
     data = prepared(spark, sf_dir)
-    items = data.catalog.select("item_id")
-    for part in (data.train, data.test):
-        items = items.join(part.where("hours > 4.9").select("item_id").distinct(), "item_id", "left_anti")
-    return items
+    pairs = history(data.train, data.validation, data.test)
+    for gone in (data.train.select("user_id", "item_id"), ground_truth(data.test)):
+        pairs = pairs.join(gone, ["user_id", "item_id"], "left_anti")
+    return pairs
 
 
-@query("rel10_set_intersection", sql("train test", "SELECT count(*) AS common FROM (SELECT item_id FROM train WHERE hours > 4 INTERSECT SELECT item_id FROM test WHERE hours > 4) c"))
+@query("rel10_set_intersection", sql("train test", "SELECT count(*) AS common FROM (SELECT item_id FROM test WHERE is_positive INTERSECT SELECT item_id FROM train) c"))
 def set_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out positive items that the training catalog holds."""
     data = prepared(spark, sf_dir)
-    left = data.train.where("hours > 4").select("item_id").distinct()
-    return left.join(data.test.where("hours > 4").select("item_id").distinct(), "item_id", "left_semi").agg(F.count(F.lit(1)).alias("common"))
+    wanted = data.test.where("is_positive").select("item_id").distinct()
+    return wanted.join(data.train.select("item_id").distinct(), "item_id", "left_semi").agg(F.count(F.lit(1)).alias("common"))
 
 
 @query("rel11_rank_frequency", sql("interactions", "SELECT item_id, n, row_number() OVER (ORDER BY n DESC, item_id) AS rank FROM (SELECT item_id, count(*) AS n FROM interactions GROUP BY item_id) c"))
