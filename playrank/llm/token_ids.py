@@ -18,7 +18,8 @@ from itertools import chain
 
 import numpy as np
 
-KEPT = 400_000  # words, and stretches, known per process
+KEPT = 400_000  # stretches known per process
+WORDS_KEPT = 600_000  # words, which are dearer to ask for
 WORD_END = "</w>"
 
 # The pattern that the vocabulary file cuts words by, over lower-cased characters below U+02B0.
@@ -106,8 +107,10 @@ class TokenIds:
         whole = sorted(set(range(len(texts))) - set(plain))
         for k, e in zip(whole, self.library.encode_batch_fast([texts[k] for k in whole], add_special_tokens=False), strict=True):
             result[k] = np.array(e.ids, np.uint32)
-        if len(self.stretches) > KEPT or len(self.words) > KEPT:
-            self.words, self.stretches = _Known(), _Known()
+        if len(self.stretches) > KEPT:
+            self.stretches = _Known()
+        if len(self.words) > WORDS_KEPT:
+            self.words = _Known()
         parts = [texts[k].lower().split() for k in plain]
         numbers, new = self.stretches.numbers(list(chain.from_iterable(parts)))
         if new:

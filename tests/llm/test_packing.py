@@ -46,6 +46,7 @@ def test_words_are_learned_anew_when_forgotten(encoder, library, monkeypatch):
     import playrank.llm.token_ids as module
 
     monkeypatch.setattr(module, "KEPT", 3)
+    monkeypatch.setattr(module, "WORDS_KEPT", 4)
     for text in ["one two three four", "five six", "one seven two"]:
         assert encoder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
