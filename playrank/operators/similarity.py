@@ -81,17 +81,26 @@ def pruned_top_k(users: np.ndarray, groups: Groups, k: int, seen: np.ndarray) ->
     bound = np.minimum(users @ groups.centre.T + length * groups.radius, length * groups.length) + groups.bias
     bound += ROUNDING * (1.0 + np.abs(bound))
     kth = np.full(m, -np.inf)
-    found = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+    found = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
     waiting: list[tuple] = []
     held = skipped = 0
 
     def settle() -> None:
+        """Raise the k-th scores and let go of what lies below them."""
         nonlocal found, waiting, held
-        parts = [found[:3], *waiting]
-        found = _cut(*(np.concatenate([p[c] for p in parts]) for c in range(3)), k)
-        last = found[3] == k - 1
-        kth[found[0][last]] = found[2][last]
-        waiting, held = [], 0
+        rows, cols, scores = (np.concatenate([p[c] for p in [found, *waiting]]) for c in range(3))
+        order = np.argsort(rows.astype(np.uint16), kind="stable")  # USERS_AT_ONCE rows at most
+        rows, cols, scores = rows[order], cols[order], scores[order]
+        count = np.bincount(rows, minlength=m)
+        if len(rows) and count.max() >= k:
+            table = np.full((m, int(count.max())), -np.inf)
+            table[rows, np.arange(len(rows)) - (np.cumsum(count) - count)[rows]] = scores
+            np.maximum(kth, -np.partition(-table, k - 1, axis=1)[:, k - 1], out=kth)
+            keep = scores >= kth[rows]
+            rows, cols, scores = rows[keep], cols[keep], scores[keep]
+        if len(rows) > 4 * m * k:  # ties that no list has room for
+            rows, cols, scores, _ = _cut(rows, cols, scores, k)
+        found, waiting, held = (rows, cols, scores), [], 0
 
     def unseen(row: np.ndarray, col: np.ndarray) -> np.ndarray:
         key = row * groups.n + col
@@ -128,7 +137,7 @@ def pruned_top_k(users: np.ndarray, groups: Groups, k: int, seen: np.ndarray) ->
         if held > m * k:
             settle()
     settle()
-    return *found, skipped
+    return *_cut(*found, k), skipped
 
 
 def _task(k: int):
