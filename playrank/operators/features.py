@@ -255,6 +255,7 @@ def item_tower_features(
     """(item features, names): play statistics, genre and tag flags, price, year, developer size."""
     genres = [r["value"] for r in top_values(catalog, "genres", n_genres, "|").collect()]  # n_genres rows
     tags = [r["value"] for r in top_values(catalog, "tags", n_tags, "|").collect()]  # n_tags rows
+    # The feature names here and below are the item-side inputs of the two-tower model, in model order.
     stats = train.groupBy("item_id").agg(
         F.count("user_id").cast("double").alias("feat_popularity"),
         F.avg("hours").alias("feat_avg_hours"),

@@ -20,11 +20,21 @@ from playrank.operators.serving import active_users, serving_candidates, with_po
 from playrank.operators.towers import TowerConfig, TwoTowerRecommender, block_gradient, forward, init_tower, log_sum, loss_and_gradient, merged_log_sum
 from playrank.sources.models import load_vocabulary, save_vocabulary
 
-# A games evening: everybody has played some of four games, and each held-out game is new to the player.
-EVENING = [("ann", "chess"), ("ann", "go"), ("bob", "go"), ("bob", "darts"), ("bob", "chess"), ("cy", "darts")]
-SEASON = [(p, g) for p, games in {"ann": "chess go", "bob": "go darts", "cy": "darts tag", "dee": "tag chess", "eve": "chess darts"}.items() for g in games.split()]
-NEXT = [("ann", "darts"), ("bob", "tag"), ("cy", "chess"), ("dee", "go"), ("eve", "tag")]
-LAST = [("ann", "tag"), ("bob", "chess"), ("cy", "go"), ("dee", "darts"), ("eve", "go")]
+GAMES = [f"game{n}" for n in range(8)]
+
+
+def season(seed, players=7, seen=6):
+    """(seen, next, last) pairs drawn at random: everybody has seen all games but two, which come in the next two splits."""
+    rng = random.Random(seed)
+    parts: tuple[list, list, list] = ([], [], [])
+    for p in range(players):
+        order = rng.sample(GAMES, len(GAMES))
+        for part, games in zip(parts, (order[:seen], order[seen : seen + 1], order[seen + 1 :]), strict=True):
+            part += [(f"player{p}", g) for g in games]
+    return parts
+
+
+SEASON, NEXT, LAST = season(8)
 
 
 def pairs(spark, rows, positive=True):
@@ -49,9 +59,10 @@ def crowd(spark, n_users=40, n_items=25, seed=3):
 
 
 def test_history_and_truth(spark):
-    df = pairs(spark, EVENING).withColumn("is_positive", F.col("item_id") != "go")
-    assert {r["user_id"]: r["items"] for r in item_sets(history(df)).collect()} == {"ann": ["chess", "go"], "bob": ["chess", "darts", "go"], "cy": ["darts"]}
-    assert {(r["user_id"], r["item_id"]) for r in ground_truth(df).collect()} == {("ann", "chess"), ("bob", "darts"), ("bob", "chess"), ("cy", "darts")}
+    liked = [(p, g) for p, g in SEASON if g != GAMES[0]]
+    df = pairs(spark, SEASON).withColumn("is_positive", F.col("item_id") != GAMES[0])
+    assert {r["user_id"]: r["items"] for r in item_sets(history(df)).collect()} == {p: sorted(g for q, g in SEASON if q == p) for p, _ in SEASON}
+    assert {(r["user_id"], r["item_id"]) for r in ground_truth(df).collect()} == set(liked)
 
 
 @pytest.mark.parametrize("k", [1, 4, 30])
@@ -192,18 +203,19 @@ def test_end_to_end_on_short_splits(spark):
     model = BprRecommender(BprConfig(n_factors=4, epochs=2)).fit(train)
     for recs in (model.recommend(truth, history(train, valid), 2), PopularityRecommender().fit(train).recommend(truth, history(train, valid), 2)):
         row = all_metrics(recs, truth, truth.select("user_id"), train.select("item_id").distinct(), 2, 2).first()
-        assert row["users"] == 5 and row["recall"] == 1.0  # one item is left for each user
+        assert row["users"] == len(LAST) and row["recall"] == 1.0  # one item is left for each user
 
 
 def test_bpr_recommends_unseen_and_skips_unknown(spark):
-    train = pairs(spark, EVENING)
+    train = pairs(spark, SEASON)
     model = BprRecommender(BprConfig(n_factors=4, epochs=3)).fit(train)
-    users = spark.createDataFrame([("ann",), ("stranger",)], "user_id string")
-    assert lists(model.recommend(users, history(train), 5)) == {"ann": ["darts"]}
+    users = spark.createDataFrame([("player2",), ("stranger",)], "user_id string")
+    got = lists(model.recommend(users, history(train), 5))
+    assert got.keys() == {"player2"} and set(got["player2"]) == set(GAMES) - {g for p, g in SEASON if p == "player2"}
     with pytest.raises(RuntimeError):
         BprRecommender().recommend(users, history(train))
     with pytest.raises(ValueError, match="positive"):
-        BprRecommender().fit(pairs(spark, EVENING, False))
+        BprRecommender().fit(pairs(spark, SEASON, False))
 
 
 def test_saved_models_recommend_the_same(spark, tmp_path):
