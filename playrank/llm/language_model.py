@@ -273,8 +273,8 @@ def _descend(table: np.ndarray, seen: np.ndarray, row: np.ndarray, gradient: np.
     table[rows] -= RATE * sums / np.sqrt(seen[rows])[:, None].astype(np.float32)
 
 
-def dealt_texts(texts: DataFrame, part_bytes: int) -> tuple[DataFrame | None, int]:
-    """(round, part, doc_id, text) of the texts to learn from, and the number of rounds.
+def dealt_texts(texts: DataFrame, part_bytes: int) -> tuple[DataFrame | None, int, int]:
+    """(round, part, doc_id, text) of the texts to learn from, and the numbers of rounds and parts.
 
     Parts of about ``part_bytes`` follow from a hash of the rows, and their number from the bytes of all texts; there are
     as many rounds as each has parts. More data means more rounds and more parts in each.
@@ -282,14 +282,14 @@ def dealt_texts(texts: DataFrame, part_bytes: int) -> tuple[DataFrame | None, in
     learned = texts.where(~F.col("held_out")).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     held = learned.agg(F.sum(F.octet_length("text") + F.lit(1)).alias("n")).first()["n"]
     if not held:
-        return None, 0
+        return None, 0, 0
     parts = -(-held // part_bytes)
     rounds = int(np.ceil(np.sqrt(parts)))
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int")
     dealt = learned.withColumn("part", part).withColumn("round", F.pmod("part", F.lit(rounds)).cast("int"))
     path = new_path(texts.sparkSession, "dealt")
     dealt.write.partitionBy("round").parquet(path)
-    return texts.sparkSession.read.schema(dealt.schema).parquet(path), rounds
+    return texts.sparkSession.read.schema(dealt.schema).parquet(path), rounds, parts
 
 
 def train(texts: DataFrame, known: Lexicon, part_bytes: int = PART_BYTES) -> Tables:
@@ -297,7 +297,7 @@ def train(texts: DataFrame, known: Lexicon, part_bytes: int = PART_BYTES) -> Tab
     context = texts.sparkSession.sparkContext
     model = Tables(known)
     seen = [np.zeros(len(t)) for t in model.all()]
-    dealt, rounds = dealt_texts(texts, part_bytes)
+    dealt, rounds, parts = dealt_texts(texts, part_bytes)
     shapes = [t.shape for t in model.all()]
     schema = "part int, rows binary, change binary, seen binary"
 
@@ -349,9 +349,12 @@ def train(texts: DataFrame, known: Lexicon, part_bytes: int = PART_BYTES) -> Tab
                             if len(rows):
                                 yield packed(number * BLOCKS + block, rows, (mine[rows] - start[rows]).astype(np.float16), count[rows])
 
-        given = dealt.where(F.col("round") == turn).select("part", "doc_id", "text", F.xxhash64("text").alias("h"))
-        given = given.repartition(2 * rounds, "part").sortWithinPartitions("part", "doc_id", "h").select("part", "text")
-        summed = given.mapInArrow(run, schema).repartition("part").sortWithinPartitions("part").mapInArrow(average, schema)
+        # One task per part, and one per block of the tables.
+        place = F.floor(F.col("part") / rounds).cast("int")
+        given = dealt.where(F.col("round") == turn).select("part", "doc_id", "text", F.xxhash64("text").alias("h"), place.alias("place"))
+        given = given.repartitionById(-(-parts // rounds), "place").sortWithinPartitions("part", "doc_id", "h").select("part", "text")
+        changes = given.mapInArrow(run, schema).withColumn("block", F.pmod("part", F.lit(BLOCKS))).repartitionById(BLOCKS, "block").drop("block")
+        summed = changes.sortWithinPartitions("part").mapInArrow(average, schema)
         for row in summed.toLocalIterator():  # at most one row per table block, 20 MB in all
             at = row["part"] // BLOCKS
             rows = np.frombuffer(row["rows"], np.int32)
