@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playrank.operators.interactions import ground_truth
-from playrank.operators.relational import global_rank, lookup_join, top_k_per_group
+from playrank.operators.relational import SALTS, deal, global_rank, lookup_join, parts_for, top_k_per_group
 from playrank.session import materialize
 
 
@@ -90,10 +90,22 @@ def split_groups(rows: DataFrame, share: float = 0.8, key: str = "user_id") -> D
     return rows.join(ranked.select(key, part.alias("part")), key)
 
 
-def most_played(split: DataFrame, k: int) -> DataFrame:
-    """Items of each user by total hours."""
-    totals = split.groupBy("user_id", "item_id").agg(F.sum("hours").alias("total_hours"))
-    return top_k_per_group(totals, "user_id", [F.col("total_hours").desc(), F.col("item_id").asc()], k)
+def most_played(split: DataFrame, k: int, places: int | None = None, rows: int | None = None) -> DataFrame:
+    """Items of each user by total hours; totals that are equal to ``places`` digits count as equal.
+
+    Rows are summed and ranked in tasks of limited size whatever the table's: beyond what the session's partitions hold
+    they are dealt by user and a salt of the item, each task keeps a user's first ``k`` items there, and only these meet
+    by user. ``rows`` bounds the rows of the split; they are counted if it is not given.
+    """
+    total, order = F.sum("hours"), [F.col("total_hours").desc(), F.col("item_id").asc()]
+    total = (total if places is None else F.round(total, places)).alias("total_hours")
+    parts = parts_for(split.sparkSession, split.count() if rows is None else rows)
+    if not parts:
+        return top_k_per_group(split.groupBy("user_id", "item_id").agg(total), "user_id", order, k)
+    salted = split.select("user_id", "item_id", "hours", F.pmod(F.xxhash64("item_id"), F.lit(SALTS)).alias("_salt"))
+    totals = deal(salted, parts, "user_id", "_salt").groupBy("user_id", "_salt", "item_id").agg(total)
+    first = top_k_per_group(totals, ["user_id", "_salt"], order, k).drop("_salt", "rank")
+    return top_k_per_group(deal(first, parts, "user_id"), "user_id", order, k)
 
 
 def group_share(rows: DataFrame, keys: list[str], within: str) -> DataFrame:

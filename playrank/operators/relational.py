@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +16,7 @@ BROADCAST_BYTES = 64 << 20
 SMALL_ROWS = 100_000
 SALTS = 32
 HEAVY = 100  # values with a hundredth of all rows are heavy
+TASK_ROWS = 500_000  # rows that one task sorts or sums up
 
 
 def top_k_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -25,6 +26,17 @@ def top_k_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[C
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
+def parts_for(spark: SparkSession, rows: int) -> int:
+    """Partitions that so many rows need; 0 where the session's own number is enough."""
+    parts = -(-rows // TASK_ROWS)
+    return parts if parts > int(spark.conf.get("spark.sql.shuffle.partitions")) else 0
+
+
+def deal(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """Rows dealt by ``keys`` to that many partitions; as they are for 0."""
+    return df.repartition(parts, *keys) if parts else df
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first in ``order``, which must be total."""
     return top_k_per_group(df, keys, order, 1, "_rn").drop("_rn")

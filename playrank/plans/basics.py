@@ -26,7 +26,7 @@ from playrank.operators.interactions import ground_truth, group_layout, group_si
 from playrank.operators.relational import global_rank, lookup_join, top_k_per_group
 from playrank.operators.sampling import sample_rows
 from playrank.operators.splitting import most_recent, split_boundaries, time_based_split
-from playrank.plans.fixtures import catalog, clock_events, interactions, item_vectors, prepared, raw_events, sql
+from playrank.plans.fixtures import catalog, clock_events, interactions, item_vectors, prepared, raw_events, sql, table
 from playrank.plans.registry import query, rounded
 from playrank.session import materialize
 
@@ -380,8 +380,8 @@ def max_and_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sum_and_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours are whole tenths; rounding the sums keeps equal totals equal on both engines."""
-    totals = raw_events(spark, sf_dir).groupBy("user_id", "item_id").agg(F.round(F.sum("hours"), 6).alias("hours"))
-    return rounded(most_played(totals, 3), "total_hours")
+    rows = table(spark, sf_dir, "lineitem").count()  # from the footers; a line has one order
+    return rounded(most_played(raw_events(spark, sf_dir), 3, places=6, rows=rows), "total_hours")
 
 
 @query(

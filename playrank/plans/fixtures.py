@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playrank.operators.relational import deal, parts_for
 from playrank.operators.similarity import mean_item_vectors
 from playrank.operators.splitting import time_based_split
 from playrank.session import SESSION_CONF, folder_stamp, materialize, new_path, shared_dir
@@ -24,6 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as play events: customer = user, part = item, quantity = playtime."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    parts = parts_for(spark, lines.count())  # from the footers
+    lines, orders = deal(lines, parts, "l_orderkey"), deal(orders, parts, "o_orderkey")
     number = F.col("l_linenumber")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("user_id"),
