@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
 one's docs. All but the last return the columns of ``documents``; ``n_chars`` follows the text. When a stage begins, the
-working tables of the stage before are deleted, since its result has been written.
+working tables of the stage before are deleted, since its result has been written; from then on texts go to the Python
+workers in small batches, as the session's setting says.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from playrank.llm.set_join import jaccard_components
 from playrank.session import drop_tables, materialize, new_path, recording
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+BATCH_ROWS = 1000  # texts in one Arrow batch: a batch stands in memory several times, in the JVM and in the Python worker
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _working: dict[str, list[str]] = {}  # by application, the tables that its last stage wrote
 
@@ -33,6 +35,7 @@ def _stage(work: Stage) -> Stage:
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         session = docs.sparkSession
+        session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
         drop_tables(session, _working.pop(session.sparkContext.applicationId, []), keep=docs)
         with recording() as written:
             result = work(session, docs, sf_dir)
