@@ -11,6 +11,7 @@ SF = "/root/testdata/sf0.001"
 NAMES = [
     "ag11_monthly_resample",
     "ag12_pairwise_correlation",
+    "ag13_population_deviation",
 ]
 
 
