@@ -13,6 +13,7 @@ NAMES = [
     "ag12_pairwise_correlation",
     "ag13_population_deviation",
     "ag1_user_aggregate",
+    "ag2_item_aggregate",
 ]
 
 
