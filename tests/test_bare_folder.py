@@ -14,6 +14,7 @@ NAMES = [
     "ag13_population_deviation",
     "ag1_user_aggregate",
     "ag2_item_aggregate",
+    "ag4_two_key_count",
 ]
 
 
