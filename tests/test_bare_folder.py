@@ -15,6 +15,7 @@ NAMES = [
     "ag1_user_aggregate",
     "ag2_item_aggregate",
     "ag4_two_key_count",
+    "ag3_sample_deviation",
 ]
 
 
