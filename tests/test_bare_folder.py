@@ -16,6 +16,7 @@ NAMES = [
     "ag2_item_aggregate",
     "ag4_two_key_count",
     "ag3_sample_deviation",
+    "ag7_value_counts",
 ]
 
 
