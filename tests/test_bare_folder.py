@@ -17,6 +17,7 @@ NAMES = [
     "ag4_two_key_count",
     "ag3_sample_deviation",
     "ag7_value_counts",
+    "ag5_max_and_first",
 ]
 
 
