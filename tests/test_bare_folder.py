@@ -19,6 +19,7 @@ NAMES = [
     "ag7_value_counts",
     "ag5_max_and_first",
     "ag8_exact_quantiles",
+    "ag9_global_counts",
 ]
 
 
