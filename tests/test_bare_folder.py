@@ -20,6 +20,7 @@ NAMES = [
     "ag5_max_and_first",
     "ag8_exact_quantiles",
     "ag9_global_counts",
+    "ev3_ndcg",
 ]
 
 
