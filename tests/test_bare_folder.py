@@ -21,6 +21,7 @@ NAMES = [
     "ag8_exact_quantiles",
     "ag9_global_counts",
     "ev3_ndcg",
+    "ev2_recall",
 ]
 
 
