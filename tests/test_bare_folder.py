@@ -24,6 +24,7 @@ NAMES = [
     "ev2_recall",
     "ev1_history_and_truth",
     "ev4_catalog_coverage",
+    "ev5_all_metrics",
 ]
 
 
