@@ -68,4 +68,4 @@ def pair_negatives(positives: DataFrame, index: DataFrame, n_items: int, seed: i
     number = hash_number(seed, F.col("user_id"), F.col("item_id"))
     queries = pairs.join(left.where("left > 0"), "user_id").select("user_id", "item_id", (number % F.col("left")).alias("nth"))
     names = index.select("idx", F.col("item_id").alias("negative"))
-    return lookup_join(nth_unseen(queries, own), names, "idx", "user_id", "inner").select("user_id", "item_id", "negative")
+    return lookup_join(nth_unseen(queries, own), names, "idx", "user_id", "inner", write=True).select("user_id", "item_id", "negative")
