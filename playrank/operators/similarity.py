@@ -20,11 +20,12 @@ from pyspark.sql import types as T
 
 from playrank.functions.arrow import matrix
 from playrank.functions.vectors import l2_normalize, mean_vector
-from playrank.operators.relational import lookup_join, top_k_per_group
+from playrank.operators.relational import fits_broadcast, lookup_join, top_k_per_group
 from playrank.session import materialize
 
 BLOCK_ITEMS = 100_000  # items whose vectors a task holds together; 51 MB at 64 dimensions
 GROUP_ITEMS = 128
+ITEM_COPIES = 2_000_000  # item rows sent in all, unless every core needs a copy of its own
 USERS_AT_ONCE = 2048
 ROUNDING = 1e-9  # by which bounds are widened
 ITEM, USER, SEEN = 0, 1, 2  # kinds of rows that a task gets
@@ -224,8 +225,8 @@ def score_top_k(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | No
     if n_items == 0:
         return spark.createDataFrame([], schema)
     n_blocks = -(-n_items // BLOCK_ITEMS)
-    # Tasks stream their users, so parts need not follow their number.
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Tasks stream their users, so parts need not follow their number; each part gets a copy of the items.
+    n_parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(spark.sparkContext.defaultParallelism, ITEM_COPIES // n_items))
     absent = lambda c, kind: F.lit(None).cast(kind).alias(c)
     part = F.pmod(F.xxhash64("user_id"), F.lit(n_parts)).cast("int")
     parts = F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1)))
@@ -241,6 +242,7 @@ def score_top_k(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | No
 
     if n_blocks == 1:
         one = F.lit(0).alias("block")
+        seen = seen.join(F.broadcast(items.select("item_id")), "item_id", "left_semi")  # a block's ids at most
         return meet(items.select("*", one), users.select("*", one), seen.select("*", one), 1)
 
     # Blocks by length and bias; where the cuts lie decides speed alone.
@@ -282,5 +284,8 @@ def recommend_from_vectors(users: DataFrame, user_vectors: DataFrame, items: Dat
 
 def mean_item_vectors(pairs: DataFrame, items: DataFrame, dim: int) -> DataFrame:
     """Unit-length mean of the vectors of a user's items; stands in for a trained user side."""
-    joined = lookup_join(pairs.select("user_id", "item_id"), items.select("item_id", "vec"), "item_id", "user_id", "inner")
+    items = items.select("item_id", "vec")
+    joined = lookup_join(pairs.select("user_id", "item_id"), items, "item_id", "user_id", "inner")
+    if not fits_broadcast(items):  # rows come by item, and a vector is smaller than the sums of one
+        joined = joined.select("user_id", "vec").repartition("user_id")
     return joined.groupBy("user_id").agg(mean_vector(F.col("vec"), dim).alias("vec")).select("user_id", l2_normalize(F.col("vec")).alias("vec"))

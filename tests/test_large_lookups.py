@@ -9,7 +9,7 @@ import playrank.operators.relational as relational
 SF_DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["sv1_trending"])
+@pytest.mark.parametrize("name", ["sv1_trending", "sv4_most_played", "sv6_item_cards", "sv3_similar_items", "sv5_because_you_liked"])
 def test_cards_from_a_large_catalog(spark, monkeypatch, name):
     query = entry.queries()[name]
     told = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
@@ -28,3 +28,39 @@ def test_only_heavy_keys_are_repeated(spark):
     sent = joined.drop("u")._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN (k" in sent and joined.count() == 4000
     assert relational.heavy_values(left, "k") == [7]
+
+
+@pytest.mark.parametrize("block", [100, 10_000])
+def test_items_are_not_copied_per_shuffle_partition(spark, monkeypatch, block):
+    """Items go to a few parts, however many shuffle partitions there are; lists stay the same."""
+    from playrank.operators import similarity
+
+    monkeypatch.setattr(similarity, "BLOCK_ITEMS", block)
+    vec = F.array(*[F.sin(F.col("id") * (i + 1)) for i in range(4)])
+    items, users = spark.range(300).select(F.col("id").alias("item_id"), vec.alias("vec")), spark.range(50).select(F.col("id").alias("user_id"), vec.alias("vec"))
+    seen = spark.range(400).select((F.col("id") % 50).alias("user_id"), (F.col("id") % 350).alias("item_id"))
+    rows = lambda: sorted(map(str, similarity.score_top_k(users, items, 5, seen).collect()))
+    few = rows()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(similarity, "ITEM_COPIES", 1, raising=False)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        plan = similarity.score_top_k(users, items, 5, seen)._jdf.queryExecution().optimizedPlan().toString()
+        assert rows() == few
+        assert "sequence(0, 36" not in plan and "[0,1,2,3,4,5,6,7,8,9,10" not in plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_means_of_vectors_too_large_to_broadcast(spark, monkeypatch):
+    from playrank.operators import similarity
+
+    items = spark.range(40).select(F.col("id").alias("item_id"), F.array(*[F.sin(F.col("id") * (i + 1)).cast("float") for i in range(4)]).alias("vec"))
+    pairs = spark.range(3000).select((F.col("id") % 70).alias("user_id"), (F.col("id") * 7 % 50).alias("item_id"))
+    rows = lambda: {r["user_id"]: [round(x, 9) for x in r["vec"]] for r in similarity.mean_item_vectors(pairs, items, 4).collect()}
+    small = rows()
+    monkeypatch.setattr(relational, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(similarity, "fits_broadcast", lambda *_: False, raising=False)
+    plan = similarity.mean_item_vectors(pairs, items, 4)._jdf.queryExecution().executedPlan().toString()
+    assert rows() == small and len(small) == 70
+    assert "REPARTITION_BY_COL" in plan and "partial_sum" in plan
