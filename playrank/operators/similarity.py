@@ -23,7 +23,7 @@ from playrank.functions.vectors import l2_normalize, mean_vector
 from playrank.operators.relational import fits_broadcast, lookup_join, top_k_per_group
 from playrank.session import materialize
 
-BLOCK_ITEMS = 100_000  # items whose vectors a task holds together; 51 MB at 64 dimensions
+BLOCK_ITEMS = 200_000  # items whose vectors a task holds together; 102 MB at 64 dimensions. Users are sent once per block
 GROUP_ITEMS = 128
 ITEM_COPIES = 2_000_000  # item rows sent in all, unless every core needs a copy of its own
 USERS_AT_ONCE = 2048
@@ -72,16 +72,16 @@ def _cut(rows: np.ndarray, cols: np.ndarray, scores: np.ndarray, k: int) -> tupl
     return rows[keep], cols[keep], scores[keep], place[keep]
 
 
-def pruned_top_k(users: np.ndarray, groups: Groups, k: int, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+def pruned_top_k(users: np.ndarray, groups: Groups, k: int, seen: np.ndarray, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
     """(row, column, score, place) of every user's k best items, and how many (user, group) pairs were skipped.
 
-    ``seen`` holds ``row * n + column`` of what is left out, sorted.
+    ``seen`` holds ``row * n + column`` of what is left out, sorted; what scores below a user's ``floor`` is left out too.
     """
     m = len(users)
     length = np.linalg.norm(users, axis=1)[:, None]
     bound = np.minimum(users @ groups.centre.T + length * groups.radius, length * groups.length) + groups.bias
     bound += ROUNDING * (1.0 + np.abs(bound))
-    kth = np.full(m, -np.inf)
+    kth = np.full(m, -np.inf) if floor is None else floor.copy()
     found = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
     waiting: list[tuple] = []
     held = skipped = 0
@@ -119,9 +119,9 @@ def pruned_top_k(users: np.ndarray, groups: Groups, k: int, seen: np.ndarray) ->
         scores[(seen // groups.n)[place >= 0], place[place >= 0]] = -np.inf
     if scores.shape[1] > k:
         least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-        row, col = np.nonzero((scores >= least) & np.isfinite(scores))
+        row, col = np.nonzero((scores >= np.maximum(least, kth[:, None])) & np.isfinite(scores))
     else:
-        row, col = np.nonzero(np.isfinite(scores))
+        row, col = np.nonzero((scores >= kth[:, None]) & np.isfinite(scores))
     waiting.append((row, cols[col], scores[row, col]))
     settle()
     for g in order[start:]:
@@ -153,6 +153,7 @@ def _task(k: int):
         asked = rows.take(pa.array(at))
         names = asked["user_id"].combine_chunks()
         vectors = matrix(asked["vec"])
+        floor = asked["bias"].fill_null(-np.inf).to_numpy()
         owner = np.cumsum(kind == USER) - 1
         listed = np.flatnonzero((kind == SEEN) & (owner >= 0))
         marks = rows.take(pa.array(listed))
@@ -164,7 +165,7 @@ def _task(k: int):
         for start in range(0, len(at), USERS_AT_ONCE):
             stop = min(start + USERS_AT_ONCE, len(at))
             mine = seen[np.searchsorted(seen, start * groups.n) : np.searchsorted(seen, stop * groups.n)] - start * groups.n
-            row, col, value, nth, _ = pruned_top_k(vectors[start:stop], groups, k, mine)
+            row, col, value, nth, _ = pruned_top_k(vectors[start:stop], groups, k, mine, floor[start:stop])
             found = [names.take(pa.array(row + start)), pa.array((nth + 1).astype(np.int32)), item_ids.take(pa.array(col)), pa.array(value)]
             yield pa.RecordBatch.from_arrays(found, ["user_id", "rank", "item_id", "score"])
 
@@ -218,7 +219,9 @@ def score_top_k(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | No
         items = items.withColumn("bias", F.lit(0.0))
     items = items.select("item_id", F.col("vec").cast("array<double>").alias("vec"), F.col("bias").cast("double").alias("bias"))
     items = materialize(items, "scored_items")
+    absent = lambda c, kind: F.lit(None).cast(kind).alias(c)
     users = users.select("user_id", F.col("vec").cast("array<double>").alias("vec"))
+    no_floor = absent("floor", "double")
     seen = seen.select("user_id", "item_id") if seen is not None else spark.createDataFrame([], T.StructType([T.StructField("user_id", user_type), T.StructField("item_id", item_type)]))
     n_items = items.count()  # from the files' footers
     schema = T.StructType([T.StructField("user_id", user_type), T.StructField("rank", T.IntegerType()), T.StructField("item_id", item_type), T.StructField("score", T.DoubleType())])
@@ -227,14 +230,13 @@ def score_top_k(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | No
     n_blocks = -(-n_items // BLOCK_ITEMS)
     # Tasks stream their users, so parts need not follow their number; each part gets a copy of the items.
     n_parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(spark.sparkContext.defaultParallelism, ITEM_COPIES // n_items))
-    absent = lambda c, kind: F.lit(None).cast(kind).alias(c)
     part = F.pmod(F.xxhash64("user_id"), F.lit(n_parts)).cast("int")
     parts = F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1)))
 
     def meet(items: DataFrame, users: DataFrame, seen: DataFrame, blocks: int) -> DataFrame:
-        """All take a ``block``; the best k of each user in each block."""
+        """All take a ``block``; the best k of each user in each block, but for what scores below the user's ``floor``."""
         item_rows = items.select("block", parts.alias("part"), F.lit(ITEM).alias("kind"), absent("user_id", user_type), "item_id", "vec", "bias")
-        user_rows = users.select("block", part.alias("part"), F.lit(USER).alias("kind"), "user_id", absent("item_id", item_type), "vec", absent("bias", "double"))
+        user_rows = users.select("block", part.alias("part"), F.lit(USER).alias("kind"), "user_id", absent("item_id", item_type), "vec", F.col("floor").alias("bias"))
         seen_rows = seen.select("block", part.alias("part"), F.lit(SEEN).alias("kind"), "user_id", "item_id", absent("vec", "array<double>"), absent("bias", "double"))
         rows = item_rows.unionByName(user_rows).unionByName(seen_rows).withColumn("task", (F.col("part") * blocks + F.col("block")).cast("int"))
         rows = rows.repartitionById(n_parts * blocks, "task").drop("task", "part")
@@ -243,7 +245,7 @@ def score_top_k(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | No
     if n_blocks == 1:
         one = F.lit(0).alias("block")
         seen = seen.join(F.broadcast(items.select("item_id")), "item_id", "left_semi")  # a block's ids at most
-        return meet(items.select("*", one), users.select("*", one), seen.select("*", one), 1)
+        return meet(items.select("*", one), users.select("*", one, no_floor), seen.select("*", one), 1)
 
     # Blocks by length and bias; where the cuts lie decides speed alone.
     placed = items.withColumn("reach", _length("vec") + F.abs("bias"))
@@ -255,11 +257,11 @@ def score_top_k(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | No
     users = materialize(users, "scored_users")
     where = lookup_join(seen, placed.select("item_id", "block"), "item_id", "user_id", "inner")
     where = materialize(where.join(users.select("user_id"), "user_id", "left_semi"), "seen_in_blocks")
-    ahead = materialize(meet(placed.where(F.col("block") == first), users.withColumn("block", F.lit(first)), where.where(F.col("block") == first), n_blocks), "first_block")
+    ahead = materialize(meet(placed.where(F.col("block") == first), users.select("*", F.lit(first).alias("block"), no_floor), where.where(F.col("block") == first), n_blocks), "first_block")
     kth = ahead.where(F.col("rank") == k).select("user_id", F.col("score").alias("kth"))
     reached = [F.when(F.coalesce(F.col("kth") <= (F.col("length") * reach[b][0] + reach[b][1]) * 1.0 + (F.col("length") * reach[b][0] + abs(reach[b][1]) + 1.0) * ROUNDING, F.lit(True)), b) for b in others]
     open_to = F.filter(F.array(*reached), lambda b: b.isNotNull()) if others else F.array().cast("array<int>")
-    asked = users.join(kth, "user_id", "left").withColumn("length", _length("vec")).select("user_id", "vec", F.explode(open_to).alias("block"))
+    asked = users.join(kth, "user_id", "left").withColumn("length", _length("vec")).select("user_id", "vec", F.col("kth").alias("floor"), F.explode(open_to).alias("block"))
     rest = meet(placed.where(F.col("block") != first), asked, where.where(F.col("block") != first), n_blocks)
     best = top_k_per_group(ahead.unionByName(rest).drop("rank"), "user_id", [F.col("score").desc(), F.col("item_id").asc()], k)
     return best.select("user_id", "rank", "item_id", "score")

@@ -64,3 +64,19 @@ def test_means_of_vectors_too_large_to_broadcast(spark, monkeypatch):
     plan = similarity.mean_item_vectors(pairs, items, 4)._jdf.queryExecution().executedPlan().toString()
     assert rows() == small and len(small) == 70
     assert "REPARTITION_BY_COL" in plan and "partial_sum" in plan
+
+
+def test_later_blocks_return_only_what_can_enter_a_list(spark):
+    import numpy as np
+
+    from playrank.operators.similarity import group_items, pruned_top_k
+
+    rng = np.random.default_rng(3)
+    users, items = rng.normal(size=(40, 4)), rng.normal(size=(900, 4))
+    groups, none = group_items(items, np.zeros(900)), np.empty(0, np.int64)
+    row, col, score, _, _ = pruned_top_k(users, groups, 20, none)
+    floor = np.array([np.sort(score[row == r])[-7] for r in range(40)])
+    again = pruned_top_k(users, groups, 20, none, floor)
+    keep = score >= floor[row]
+    assert keep.sum() == 280 and np.array_equal(again[0], row[keep]) and np.array_equal(again[1], col[keep])
+    assert all(len(pruned_top_k(users, groups, 20, none, np.full(40, np.inf))[c]) == 0 for c in range(4))
