@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from playrank.functions.scalars import clip
 from playrank.operators.interactions import positive_rate
 from playrank.operators.relational import global_rank, running_total
+from playrank.session import own_shuffles
 
 # The quantiles and sizes the report shows.
 ACTIVITY_QUANTILES = (0.50, 0.75, 0.90, 0.95, 0.99)
@@ -167,7 +168,8 @@ def correlated_pairs(rows: DataFrame, columns: Sequence[str], limit: float = COR
     columns have no correlation and drop out.
     """
     numbers = rows.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    means = numbers.agg(*[F.avg(f"`{c}`").alias(c) for c in columns]).first()
+    with own_shuffles(rows.sparkSession):  # the rows are made twice
+        means = numbers.agg(*[F.avg(f"`{c}`").alias(c) for c in columns]).first()
     shifts = np.array([m if m is not None else 0.0 for m in means])
     schema = "a int, b int, n double, x double, y double, xx double, yy double, xy double"
     sums = numbers.mapInArrow(_pair_sums(list(columns), shifts), schema).groupBy("a", "b")

@@ -24,3 +24,14 @@ def test_turns_leave_nothing_behind(spark, monkeypatch):
     assert len(parts) == 3 * 4 and set(parts) == {3}  # 120 pairs: 4 blocks of 30 items, parts of 50 pairs a turn at most
     assert left.count("bpr_turn") == 1 and left.count("bpr_users") == 0 and left.count("bpr_items") == 2
     assert model.item_factors.count() == 30 and model.user_factors.count() == 40
+
+
+def test_means_for_correlations_leave_no_shuffles(spark, monkeypatch):
+    """The rows are made twice; the first time's shuffles are not held for the second."""
+    from playrank.operators import exploration
+
+    rows = spark.range(500).select(F.col("id").alias("a"), (F.col("id") * 3 % 17).alias("b")).repartition(4, "a")
+    entered = []
+    whole = exploration.own_shuffles
+    monkeypatch.setattr(exploration, "own_shuffles", lambda s: (entered.append(1), whole(s))[1])
+    assert exploration.correlated_pairs(rows, ["a", "b"], 0.0).count() == 1 and entered
