@@ -162,12 +162,12 @@ def cross_and_temporal(candidates: DataFrame, train: DataFrame, catalog: DataFra
     """Candidates with user, item, cross and temporal features and the category.
 
     ``items`` are the item features of ``train``. Only training rows of users who have
-    candidates are aggregated. The candidates are shuffled once, by user; item features come
-    from the lookup and the category affinity from the user's own map.
+    candidates are aggregated. Item features come from the lookup; then the candidates are
+    shuffled once, by user, and the category affinity comes from the user's own map.
     """
     asked = candidates.select("user_id").distinct()
     users = user_profiles(shuffled_join(train, asked, "user_id", "left_semi"), catalog, told=train)
-    joined = lookup_join(shuffled_join(candidates, users, "user_id", "left"), items, "item_id", "user_id", told=candidates)
+    joined = shuffled_join(lookup_join(candidates, items, "item_id", "user_id", told=candidates), users, "user_id", "left")  # a user's map is never sent on
     hour_sin, hour_cos = cyclic_hour(F.col("event_time"))
     return joined.withColumns(
         {

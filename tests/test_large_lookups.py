@@ -80,3 +80,18 @@ def test_later_blocks_return_only_what_can_enter_a_list(spark):
     keep = score >= floor[row]
     assert keep.sum() == 280 and np.array_equal(again[0], row[keep]) and np.array_equal(again[1], col[keep])
     assert all(len(pruned_top_k(users, groups, 20, none, np.full(40, np.inf))[c]) == 0 for c in range(4))
+
+
+def test_category_maps_are_not_sent_with_the_candidates(spark, monkeypatch):
+    """Candidates meet the items first: the item lookup must not shuffle each row with its user's map of shares."""
+    from playrank.operators.features import cross_and_temporal, item_features
+    from playrank.plans.fixtures import prepared
+
+    data = prepared(spark, SF_DIR)
+    asked = data.validation.select("user_id", "item_id", "event_time", "hours", "is_positive")
+    monkeypatch.setattr(relational, "fits_broadcast", lambda *_: False)
+    rows = cross_and_temporal(asked, data.train, data.catalog, item_features(data.train, data.catalog))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [line for line in plan if "Join LeftOuter" in line]
+    assert "(user_id" in joins[0] and "_salt" not in joins[0]  # the last join is by user
+    assert rows.count() == asked.count()
